@@ -8,6 +8,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 import oracles
+from tradewind.lazy import Frames
 from tradewind.operators.quality import run_checks, summary
 from tradewind.operators.scratch import materialize
 from tradewind.plans import dashboard as d
@@ -44,7 +45,7 @@ class Tables:
         self.staged = stage(marketplace_tables(spark, folder))
 
     @cached_property
-    def warehouse(self) -> dict[str, DataFrame]:
+    def warehouse(self) -> Frames:
         return w.build_warehouse(self.staged, self.spark, S)
 
     @cached_property
@@ -57,11 +58,11 @@ class Tables:
         return w.fact_order_items(self.staged["order_items"], self.stored_orders)
 
     @cached_property
-    def stored_warehouse(self) -> dict[str, DataFrame]:
-        return self.warehouse | {
-            "fact_orders": self.stored_orders,
-            "fact_order_items": self.items_of_stored_orders,
-        }
+    def stored_warehouse(self) -> Frames:
+        return self.warehouse.replacing(
+            fact_orders=lambda: self.stored_orders,
+            fact_order_items=lambda: self.items_of_stored_orders,
+        )
 
     @cached_property
     def history(self) -> DataFrame:
@@ -128,7 +129,7 @@ class Tables:
         return m.risk_register(self.rfm, self.by_state, self.payment_outliers, S)
 
     @cached_property
-    def marts(self) -> dict[str, DataFrame]:
+    def marts(self) -> Frames:
         return m.build_marts(self.stored_warehouse, S)
 
     def check(self, name: str) -> DataFrame:

@@ -5,7 +5,7 @@ A check counts violations. All row predicates of a table are counted in one pass
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
@@ -74,7 +74,7 @@ def _labelled(counted: DataFrame, check: Check) -> DataFrame:
     return counted.select(F.lit(check.name).alias("check"), "violations")
 
 
-def run_checks(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
+def run_checks(tables: Mapping[str, DataFrame], checks: list[Check]) -> DataFrame:
     """(status, check, violations, description), one row per check."""
     by_table: dict[str, list[RowCheck]] = {}
     for check in checks:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewind.plans import marts as m
-from tradewind.plans import warehouse as w
 from tradewind.plans.checks import quality_report
+from tradewind.plans.marts import build_marts, risk_register
+from tradewind.plans.warehouse import build_warehouse, fact_order_items
 from tradewind.settings import Settings
 from tradewind.sources.raw import stage
 from tradewind.sources.sink import ensure_database, write_table
@@ -23,7 +24,7 @@ class Built:
 
 def store_warehouse(
     spark: SparkSession,
-    raw: dict[str, DataFrame],
+    raw: Mapping[str, DataFrame],
     database: str,
     settings: Settings = Settings(),
     buckets: int = 0,
@@ -35,44 +36,35 @@ def store_warehouse(
     ensure_database(spark, database)
     staged = stage(raw)
     stored = {}
-    built = w.build_warehouse(staged, spark, settings)
+    built = build_warehouse(staged, spark, settings)
     for name in ("dim_date", "dim_customers", "dim_sellers", "dim_products"):
         stored[name] = write_table(built[name], database, name)
     by_order = {"bucket_by": "order_id", "buckets": buckets}
     stored["fact_orders"] = write_table(built["fact_orders"], database, "fact_orders", **by_order)
-    items = w.fact_order_items(staged["order_items"], stored["fact_orders"])
+    items = fact_order_items(staged["order_items"], stored["fact_orders"])
     stored["fact_order_items"] = write_table(items, database, "fact_order_items", **by_order)
     return stored
 
 
 def store_marts(
-    spark: SparkSession, wh: dict[str, DataFrame], database: str, settings: Settings = Settings()
+    spark: SparkSession, wh: Mapping[str, DataFrame], database: str, settings: Settings = Settings()
 ) -> dict[str, DataFrame]:
     """Build and store the nine marts; the risk register reads the stored marts it rests on."""
     ensure_database(spark, database)
-    orders, items, customers = wh["fact_orders"], wh["fact_order_items"], wh["dim_customers"]
-    builders = {
-        "customer_rfm": lambda: m.customer_rfm(orders, customers, settings),
-        "monthly_sales": lambda: m.monthly_sales(orders, wh["dim_date"], settings),
-        "category_performance": lambda: m.category_performance(items, wh["dim_products"], settings),
-        "delivery_by_state": lambda: m.delivery_by_state(orders, customers, items, settings),
-        "satisfaction_vs_delivery": lambda: m.satisfaction_vs_delivery(orders, settings),
-        "data_quality": lambda: m.data_quality(orders, items, settings),
-        "payment_outliers": lambda: m.payment_outliers(orders, settings),
-        "delivery_outliers": lambda: m.delivery_outliers(orders, settings),
-        "risk_register": lambda: m.risk_register(
+    stored: dict[str, DataFrame] = {}
+    built = build_marts(wh, settings).replacing(
+        risk_register=lambda: risk_register(
             stored["customer_rfm"], stored["delivery_by_state"], stored["payment_outliers"], settings
-        ),
-    }
-    stored = {}
-    for name, build in builders.items():
-        stored[name] = write_table(build(), database, name)
+        )
+    )
+    for name in built:
+        stored[name] = write_table(built[name], database, name)
     return stored
 
 
 def run_pipeline(
     spark: SparkSession,
-    raw: dict[str, DataFrame],
+    raw: Mapping[str, DataFrame],
     warehouse_db: str = "warehouse",
     marts_db: str = "marts",
     settings: Settings = Settings(),

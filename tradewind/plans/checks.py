@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, functions as F
 
 from tradewind.operators.quality import Check, ForeignKeyCheck, RowCheck, UniqueCheck, not_null, run_checks
@@ -113,5 +115,5 @@ WAREHOUSE_CHECKS: list[Check] = [
 ]
 
 
-def quality_report(wh: dict[str, DataFrame], checks: list[Check] = WAREHOUSE_CHECKS) -> DataFrame:
+def quality_report(wh: Mapping[str, DataFrame], checks: list[Check] = WAREHOUSE_CHECKS) -> DataFrame:
     return run_checks(wh, checks)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -17,6 +18,7 @@ from tradewind.functions.numeric import (
     round_half_away,
     safe_ratio,
 )
+from tradewind.lazy import Frames
 from tradewind.operators.order_statistics import with_ntiles
 from tradewind.operators.outliers import iqr_outliers
 from tradewind.operators.scratch import materialize
@@ -430,20 +432,25 @@ def risk_register(
     )
 
 
-def build_marts(wh: dict[str, DataFrame], settings: Settings = Settings()) -> dict[str, DataFrame]:
+def build_marts(wh: Mapping[str, DataFrame], settings: Settings = Settings()) -> Frames:
     """All nine marts. Pass stored or materialized warehouse tables: the facts are read often."""
-    orders, items = wh["fact_orders"], wh["fact_order_items"]
-    rfm = customer_rfm(orders, wh["dim_customers"], settings)
-    by_state = delivery_by_state(orders, wh["dim_customers"], items, settings)
-    payments = payment_outliers(orders, settings)
-    return {
-        "customer_rfm": rfm,
-        "monthly_sales": monthly_sales(orders, wh["dim_date"], settings),
-        "category_performance": category_performance(items, wh["dim_products"], settings),
-        "delivery_by_state": by_state,
-        "satisfaction_vs_delivery": satisfaction_vs_delivery(orders, settings),
-        "data_quality": data_quality(orders, items, settings),
-        "payment_outliers": payments,
-        "delivery_outliers": delivery_outliers(orders, settings),
-        "risk_register": risk_register(rfm, by_state, payments, settings),
-    }
+    built = Frames(
+        {
+            "customer_rfm": lambda: customer_rfm(wh["fact_orders"], wh["dim_customers"], settings),
+            "monthly_sales": lambda: monthly_sales(wh["fact_orders"], wh["dim_date"], settings),
+            "category_performance": lambda: category_performance(
+                wh["fact_order_items"], wh["dim_products"], settings
+            ),
+            "delivery_by_state": lambda: delivery_by_state(
+                wh["fact_orders"], wh["dim_customers"], wh["fact_order_items"], settings
+            ),
+            "satisfaction_vs_delivery": lambda: satisfaction_vs_delivery(wh["fact_orders"], settings),
+            "data_quality": lambda: data_quality(wh["fact_orders"], wh["fact_order_items"], settings),
+            "payment_outliers": lambda: payment_outliers(wh["fact_orders"], settings),
+            "delivery_outliers": lambda: delivery_outliers(wh["fact_orders"], settings),
+            "risk_register": lambda: risk_register(
+                built["customer_rfm"], built["delivery_by_state"], built["payment_outliers"], settings
+            ),
+        }
+    )
+    return built

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tradewind.functions.dates import date_key, lenient_timestamp, weekday_from_sunday
 from tradewind.functions.numeric import COORDINATE, exact_avg, exact_sum, round_half_away, safe_ratio
+from tradewind.lazy import Frames
 from tradewind.settings import Settings
 
 # One row per day: three centuries are still far below any broadcast limit.
@@ -205,18 +207,26 @@ def fact_order_items(items: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def build_warehouse(
-    staged: dict[str, DataFrame], spark: SparkSession, settings: Settings = Settings()
-) -> dict[str, DataFrame]:
-    """The six warehouse tables as lazy DataFrames."""
-    centroids = geo_zip_centroid(staged["geolocation"])
-    orders = fact_orders(
-        staged["orders"], staged["customers"], staged["order_payments"], staged["order_reviews"]
+    staged: Mapping[str, DataFrame], spark: SparkSession, settings: Settings = Settings()
+) -> Frames:
+    """The six warehouse tables."""
+
+    def centroids() -> DataFrame:
+        return geo_zip_centroid(staged["geolocation"])
+
+    def orders() -> DataFrame:
+        return fact_orders(
+            staged["orders"], staged["customers"], staged["order_payments"], staged["order_reviews"]
+        )
+
+    built = Frames(
+        {
+            "dim_date": lambda: dim_date(spark, settings.calendar_start, settings.calendar_end),
+            "dim_customers": lambda: dim_customers(staged["customers"], centroids()),
+            "dim_sellers": lambda: dim_sellers(staged["sellers"], centroids()),
+            "dim_products": lambda: dim_products(staged["products"], staged["category_translation"]),
+            "fact_orders": orders,
+            "fact_order_items": lambda: fact_order_items(staged["order_items"], built["fact_orders"]),
+        }
     )
-    return {
-        "dim_date": dim_date(spark, settings.calendar_start, settings.calendar_end),
-        "dim_customers": dim_customers(staged["customers"], centroids),
-        "dim_sellers": dim_sellers(staged["sellers"], centroids),
-        "dim_products": dim_products(staged["products"], staged["category_translation"]),
-        "fact_orders": orders,
-        "fact_order_items": fact_order_items(staged["order_items"], orders),
-    }
+    return built

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
+from tradewind.lazy import Frames
+
 # Raw table -> columns, with the source's own spelling.
 RAW_SCHEMAS = {
     "orders": """order_id string, customer_id string, order_status string,
@@ -33,14 +37,14 @@ RAW_SCHEMAS = {
 STAGING_NAMES = {"payments": "order_payments", "reviews": "order_reviews"}
 
 
-def read_csv_folder(spark: SparkSession, folder: str, **options) -> dict[str, DataFrame]:
+def read_csv_folder(spark: SparkSession, folder: str, **options) -> Frames:
     """Raw tables from ``folder/<table>.csv``, each a file or a folder of parts with headers.
 
     Headers are checked against the declared schema; nothing is scanned to infer types. Free text may span lines, so quoted line breaks are honoured by default for the
     reviews table only, as they stop a file from being split.
     """
-    frames = {}
-    for table, schema in RAW_SCHEMAS.items():
+
+    def read(table: str) -> DataFrame:
         settings = {
             "header": True,
             "enforceSchema": False,
@@ -48,21 +52,24 @@ def read_csv_folder(spark: SparkSession, folder: str, **options) -> dict[str, Da
             "multiLine": table == "reviews",
             **options,
         }
-        frames[table] = spark.read.schema(schema).options(**settings).csv(f"{folder}/{table}.csv")
-    return frames
+        return spark.read.schema(RAW_SCHEMAS[table]).options(**settings).csv(f"{folder}/{table}.csv")
+
+    return Frames({table: (lambda t=table: read(t)) for table in RAW_SCHEMAS})
 
 
-def read_parquet_folder(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return {table: spark.read.parquet(f"{folder}/{table}.parquet") for table in RAW_SCHEMAS}
+def read_parquet_folder(spark: SparkSession, folder: str) -> Frames:
+    return Frames(
+        {t: (lambda t=t: spark.read.parquet(f"{folder}/{t}.parquet")) for t in RAW_SCHEMAS}
+    )
 
 
-def read_database(spark: SparkSession, database: str) -> dict[str, DataFrame]:
-    return {table: spark.table(f"{database}.{table}") for table in RAW_SCHEMAS}
+def read_database(spark: SparkSession, database: str) -> Frames:
+    return Frames({t: (lambda t=t: spark.table(f"`{database}`.`{t}`")) for t in RAW_SCHEMAS})
 
 
-def stage(raw: dict[str, DataFrame], views: bool = False) -> dict[str, DataFrame]:
+def stage(raw: Mapping[str, DataFrame], views: bool = False) -> Frames:
     """Raw tables, unmodified, under their staging names; optionally as temporary views."""
-    staged = {STAGING_NAMES.get(name, name): df for name, df in raw.items()}
+    staged = Frames({STAGING_NAMES.get(name, name): (lambda n=name: raw[n]) for name in raw})
     if views:
         for name, df in staged.items():
             df.createOrReplaceTempView(f"staging_{name}")

@@ -12,6 +12,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tradewind.functions.numeric import first_match
+from tradewind.lazy import Frames
 from tradewind.settings import Settings
 
 RETAIL_SETTINGS = Settings(
@@ -26,23 +27,38 @@ RETAIL_SETTINGS = Settings(
 )
 
 
-def marketplace_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+# The columns the mapping reads; declared, so that planning opens no data file.
+RETAIL_SCHEMAS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "nation": "n_nationkey int, n_name string",
+    "lineitem": """l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,
+        l_extendedprice double, l_tax double""",
+    "events": "event_id bigint, props string",
+    "supplier": "s_suppkey bigint, s_nationkey int",
+    "part": "p_partkey bigint, p_name string, p_type string, p_size int",
+}
+
+
+def marketplace_tables(spark: SparkSession, folder: str) -> Frames:
     """The nine raw marketplace tables over ``folder/<retail table>.parquet``."""
 
     def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{folder}/{name}.parquet")
-
-    return {
-        "orders": _orders(table("orders")),
-        "order_items": _order_items(table("lineitem")),
-        "payments": _payments(table("lineitem")),
-        "reviews": _reviews(table("events")),
-        "customers": _customers(table("orders"), table("customer"), table("nation")),
-        "sellers": _sellers(table("supplier")),
-        "products": _products(table("part")),
-        "geolocation": _geolocation(table("customer")),
-        "category_translation": _translation(table("part")),
-    }
+        return spark.read.schema(RETAIL_SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
+
+    return Frames(
+        {
+            "orders": lambda: _orders(table("orders")),
+            "order_items": lambda: _order_items(table("lineitem")),
+            "payments": lambda: _payments(table("lineitem")),
+            "reviews": lambda: _reviews(table("events")),
+            "customers": lambda: _customers(table("orders"), table("customer"), table("nation")),
+            "sellers": lambda: _sellers(table("supplier")),
+            "products": lambda: _products(table("part")),
+            "geolocation": lambda: _geolocation(table("customer")),
+            "category_translation": lambda: _translation(table("part")),
+        }
+    )
 
 
 def _days(n: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -33,7 +34,7 @@ def write_table(
     return df.sparkSession.table(f"`{database}`.`{name}`")
 
 
-def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
+def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """(table_name, n) for each table, as one query."""
     counts = [
         df.agg(F.count("*").alias("n")).select(F.lit(name).alias("table_name"), "n")
