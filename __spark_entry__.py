@@ -16,6 +16,7 @@ from tradewind.plans import marts as m
 from tradewind.plans import reports as r
 from tradewind.plans import warehouse as w
 from tradewind.plans.checks import WAREHOUSE_CHECKS
+from tradewind.session import tune
 from tradewind.sources.raw import stage
 from tradewind.sources.retail import RETAIL_SETTINGS as S
 from tradewind.sources.retail import marketplace_tables
@@ -36,12 +37,25 @@ ORDER_COLUMNS = [
     "avg_review_score",
 ]
 
+ITEM_COLUMNS = [
+    "order_id",
+    "order_item_id",
+    "product_key",
+    "seller_key",
+    "price",
+    "freight_value",
+    "freight_ratio",
+    "avg_review_score",
+    "delivery_delay_days",
+    "order_status",
+]
+
 
 class Tables:
     """Warehouse and marts over one folder, each built when a query first asks for it."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark = spark
+        self.spark = tune(spark)
         self.staged = stage(marketplace_tables(spark, folder))
 
     @cached_property
@@ -54,14 +68,15 @@ class Tables:
         return materialize(self.warehouse["fact_orders"].select(*ORDER_COLUMNS), "fact_orders")
 
     @cached_property
-    def items_of_stored_orders(self) -> DataFrame:
-        return w.fact_order_items(self.staged["order_items"], self.stored_orders)
+    def stored_items(self) -> DataFrame:
+        items = w.fact_order_items(self.staged["order_items"], self.stored_orders)
+        return materialize(items.select(*ITEM_COLUMNS), "fact_order_items")
 
     @cached_property
     def stored_warehouse(self) -> Frames:
         return self.warehouse.replacing(
             fact_orders=lambda: self.stored_orders,
-            fact_order_items=lambda: self.items_of_stored_orders,
+            fact_order_items=lambda: self.stored_items,
         )
 
     @cached_property
@@ -126,7 +141,7 @@ class Tables:
 
     @cached_property
     def risks(self) -> DataFrame:
-        return m.risk_register(self.rfm, self.by_state, self.payment_outliers, S)
+        return self.marts["risk_register"]
 
     @cached_property
     def marts(self) -> Frames:

@@ -578,6 +578,34 @@ ANSWERS = {name: f"select * from {name}" for name in AS_TABLE} | {
         select 'thousands', {TITLE.format('category')}, round_even(total_revenue / 1000 * 10, 0) / 10
         from ({TOP_CATEGORIES.format(8)})""",
 }
+ANSWERS["dashboard_payload"] = f"""
+    select to_json({{
+        'kpi': (select {{'total_orders': total_orders, 'unique_customers': unique_customers,
+                        'total_revenue': total_revenue::decimal(18,2), 'avg_order_value': avg_order_value::decimal(18,2),
+                        'avg_review_score': avg_review_score::decimal(18,2), 'late_orders': late_orders,
+                        'repeat_pct': repeat_pct::decimal(18,1), 'avg_repeat': avg_repeat::decimal(18,2),
+                        'avg_onetime': avg_onetime::decimal(18,2)}}
+                from kpi_summary, repeat_purchase),
+        'byState': (select list({{'state': state, 'name': state_name, 'lat': lat, 'lng': lng,
+                        'total_orders': total_orders, 'avg_review_score': avg_review_score::decimal(18,2),
+                        'late_pct': late_pct::decimal(18,1),
+                        'avg_delay_days': (round_even(avg_delay_days * 10, 0) / 10)::decimal(18,1),
+                        'avg_freight_value': avg_freight_value::decimal(18,2), 'seller_count': seller_count,
+                        'cs_ratio': cs_ratio::decimal(18,1)}} order by total_orders desc, state)
+                    from state_map),
+        'monthly': (select list({{'label': {MONTH_LABEL}, 'month_name': month_name,
+                        'revenue': total_revenue::decimal(18,2), 'orders': total_orders,
+                        'avg_value': avg_order_value::decimal(18,2), 'avg_review': avg_review_score::decimal(18,2),
+                        'late': late_deliveries}} order by year, month)
+                    from monthly_sales),
+        'rfm': (select list({{'segment': segment, 'count': n, 'pct': pct::decimal(18,1),
+                        'avg_spend': avg_spend::decimal(18,2)}} order by n desc, segment)
+                from ({ANSWERS["segment_share_spend"]})),
+        'categories': (select list({{'category': {TITLE.format("category")}, 'revenue': total_revenue::decimal(18,2),
+                        'units': units_sold, 'review': avg_review_score::decimal(18,2),
+                        'freight_ratio': avg_freight_ratio::decimal(18,3)}} order by total_revenue desc, category)
+                       from ({TOP_CATEGORIES.format(10)}))
+    }})::varchar as payload"""
 ANSWERS |= {f"check_{name}": _check_row(name) for name in CHECKS}
 
 

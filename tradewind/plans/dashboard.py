@@ -95,28 +95,29 @@ def dashboard_payload(
         marks = F.array_sort(F.collect_list(F.struct("place", "mark")))
         return rows.agg(F.transform(marks, lambda m: m["mark"])).scalar()
 
-    repeated = only(repeat, "repeat_pct", "avg_repeat", "avg_onetime")
+    def fixed(column: str, digits: int) -> Column:
+        """A number with a fixed count of decimals, which JSON writes out plainly."""
+        return F.col(column).cast(f"decimal(18,{digits})")
+
     head = only(
         kpi,
         "total_orders",
         "unique_customers",
-        "total_revenue",
-        "avg_order_value",
-        "avg_review_score",
+        fixed("total_revenue", 2).alias("total_revenue"),
+        fixed("avg_order_value", 2).alias("avg_order_value"),
+        fixed("avg_review_score", 2).alias("avg_review_score"),
         "late_orders",
     )
-    fields = {
-        "kpi": F.struct(
-            *[head[c].alias(c) for c in (
-                "total_orders",
-                "unique_customers",
-                "total_revenue",
-                "avg_order_value",
-                "avg_review_score",
-                "late_orders",
-            )],
-            *[repeated[c].alias(c) for c in ("repeat_pct", "avg_repeat", "avg_onetime")],
-        ),
+    repeated = only(
+        repeat,
+        fixed("repeat_pct", 1).alias("repeat_pct"),
+        fixed("avg_repeat", 2).alias("avg_repeat"),
+        fixed("avg_onetime", 2).alias("avg_onetime"),
+    )
+    # Each subquery is named once and then taken apart, so that it is planned once.
+    parts = {
+        "head": head,
+        "repeated": repeated,
         "byState": listed(
             states,
             [F.desc("total_orders"), F.asc("state")],
@@ -125,22 +126,22 @@ def dashboard_payload(
             "lat",
             "lng",
             "total_orders",
-            "avg_review_score",
-            "late_pct",
-            round_half_even(F.col("avg_delay_days"), 1).alias("avg_delay_days"),
-            "avg_freight_value",
+            fixed("avg_review_score", 2).alias("avg_review_score"),
+            fixed("late_pct", 1).alias("late_pct"),
+            round_half_even(F.col("avg_delay_days"), 1).cast("decimal(18,1)").alias("avg_delay_days"),
+            fixed("avg_freight_value", 2).alias("avg_freight_value"),
             "seller_count",
-            "cs_ratio",
+            fixed("cs_ratio", 1).alias("cs_ratio"),
         ),
         "monthly": listed(
             monthly,
             [F.asc("year"), F.asc("month")],
             month_label(F.col("year"), F.col("month")).alias("label"),
             "month_name",
-            F.col("total_revenue").alias("revenue"),
+            fixed("total_revenue", 2).alias("revenue"),
             F.col("total_orders").alias("orders"),
-            F.col("avg_order_value").alias("avg_value"),
-            F.col("avg_review_score").alias("avg_review"),
+            fixed("avg_order_value", 2).alias("avg_value"),
+            fixed("avg_review_score", 2).alias("avg_review"),
             F.col("late_deliveries").alias("late"),
         ),
         "rfm": listed(
@@ -148,18 +149,24 @@ def dashboard_payload(
             [F.desc("n"), F.asc("segment")],
             "segment",
             F.col("n").alias("count"),
-            "pct",
-            "avg_spend",
+            fixed("pct", 1).alias("pct"),
+            fixed("avg_spend", 2).alias("avg_spend"),
         ),
         "categories": listed(
             top_categories(categories, 10),
             [F.desc("total_revenue"), F.asc("category")],
             title_label(F.col("category")).alias("category"),
-            F.col("total_revenue").alias("revenue"),
+            fixed("total_revenue", 2).alias("revenue"),
             F.col("units_sold").alias("units"),
-            F.col("avg_review_score").alias("review"),
-            F.col("avg_freight_ratio").alias("freight_ratio"),
+            fixed("avg_review_score", 2).alias("review"),
+            fixed("avg_freight_ratio", 3).alias("freight_ratio"),
         ),
     }
-    document = F.to_json(F.struct(*[value.alias(name) for name, value in fields.items()]))
-    return states.sparkSession.range(1).select(document.alias("payload"))
+    document = F.struct(
+        F.struct("head.*", "repeated.*").alias("kpi"), *[name for name in parts if name not in ("head", "repeated")]
+    )
+    return (
+        states.sparkSession.range(1)
+        .select(*[value.alias(name) for name, value in parts.items()])
+        .select(F.to_json(document, {"ignoreNullFields": "false"}).alias("payload"))
+    )

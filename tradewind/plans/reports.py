@@ -303,18 +303,26 @@ def payment_histogram(orders: DataFrame, settings: Settings = Settings()) -> Dat
         .select(F.struct("low", "high"))
         .scalar()
     )
-    low, high = span["low"], span["high"]
-    position = F.floor((F.col("payment") - low) * float(bins) / (high - low))
-    counted = paid.groupBy(F.least(position, F.lit(bins - 1)).alias("bin")).agg(F.sum("n").alias("n"))
+    low, width = F.col("span.low"), F.col("span.high") - F.col("span.low")
+    position = F.floor((F.col("payment") - low) * float(bins) / width)
+    counted = (
+        paid.withColumn("span", span)
+        .groupBy(F.least(position, F.lit(bins - 1)).alias("bin"))
+        .agg(F.sum("n").alias("n"))
+    )
+
+    def edge(bin_number):
+        return low + width * bin_number / float(bins)
+
     return (
         orders.sparkSession.range(bins)
-        .withColumnRenamed("id", "bin")
-        .join(counted, "bin", "left")
+        .select(F.col("id").alias("bin"), span.alias("span"))
         .filter(low.isNotNull())
+        .join(counted, "bin", "left")
         .select(
             (F.col("bin") + 1).cast("int").alias("bin"),
-            (low + (high - low) * F.col("bin") / float(bins)).alias("bin_start"),
-            (low + (high - low) * (F.col("bin") + 1) / float(bins)).alias("bin_end"),
+            edge(F.col("bin")).alias("bin_start"),
+            edge(F.col("bin") + 1).alias("bin_end"),
             F.coalesce("n", F.lit(0)).alias("n"),
         )
     )

@@ -9,9 +9,8 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tradewind.functions.numeric import first_match
 from tradewind.lazy import Frames
 from tradewind.settings import Settings
 
@@ -61,140 +60,110 @@ def marketplace_tables(spark: SparkSession, folder: str) -> Frames:
     )
 
 
-def _days(n: Column) -> Column:
-    return F.make_dt_interval(n.cast("int"))
-
-
-def _city(key: Column) -> Column:
-    return F.concat(F.lit("CITY_"), (key % 40).cast("string"))
-
-
 def _orders(orders: DataFrame) -> DataFrame:
-    key, placed = F.col("o_orderkey"), F.col("o_orderdate")
-    status = first_match(
-        [
-            (key % 50 == 0, F.lit("canceled")),
-            (key % 50 == 1, F.lit("unavailable")),
-            (key % 50 == 2, F.lit("shipped")),
-            (key % 50 == 3, F.lit("processing")),
-        ],
-        F.lit("delivered"),
-    )
-    seconds = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), key * 7919 % 86400)
-    transit = 4 + key * 7919 % 31 + F.when(key % 211 == 0, 60).otherwise(0)
-    return orders.select(
-        key.alias("order_id"),
-        key.alias("customer_id"),
-        status.alias("order_status"),
-        (placed + seconds).alias("order_purchase_timestamp"),
-        (placed + _days(F.lit(1))).alias("order_approved_at"),
-        (placed + _days(F.lit(2))).alias("order_delivered_carrier_date"),
-        F.when((status == "delivered") & (key % 97 != 0), placed + _days(transit)).alias(
-            "order_delivered_customer_date"
+    days = "o_orderdate + make_dt_interval(cast({0} as int))".format
+    return orders.withColumn(
+        "order_status",
+        F.expr(
+            """case o_orderkey % 50 when 0 then 'canceled' when 1 then 'unavailable'
+               when 2 then 'shipped' when 3 then 'processing' else 'delivered' end"""
         ),
-        (placed + _days(20 + key % 10)).alias("order_estimated_delivery_date"),
+    ).selectExpr(
+        "o_orderkey as order_id",
+        "o_orderkey as customer_id",
+        "order_status",
+        """o_orderdate + make_dt_interval(0, 0, 0, o_orderkey * 7919 % 86400)
+           as order_purchase_timestamp""",
+        f"{days(1)} as order_approved_at",
+        f"{days(2)} as order_delivered_carrier_date",
+        f"""case when order_status = 'delivered' and o_orderkey % 97 <> 0
+            then {days("4 + o_orderkey * 7919 % 31 + if(o_orderkey % 211 = 0, 60, 0)")} end
+            as order_delivered_customer_date""",
+        f"{days('20 + o_orderkey % 10')} as order_estimated_delivery_date",
     )
 
 
 def _customers(orders: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
-    key, person = F.col("o_orderkey"), F.col("o_custkey")
     return (
-        orders.join(customer, F.col("c_custkey") == person)
-        .join(nation, F.col("n_nationkey") == F.col("c_nationkey"))
-        .select(
-            key.alias("customer_id"),
-            F.when(key % 3 == 0, person).otherwise(1000000 + key).alias("customer_unique_id"),
-            (person % 500).cast("int").alias("customer_zip_code_prefix"),
-            _city(key).alias("customer_city"),
-            F.col("n_name").alias("customer_state"),
+        orders.join(customer, F.expr("c_custkey = o_custkey"))
+        .join(nation, F.expr("n_nationkey = c_nationkey"))
+        .selectExpr(
+            "o_orderkey as customer_id",
+            "if(o_orderkey % 3 = 0, o_custkey, 1000000 + o_orderkey) as customer_unique_id",
+            "cast(o_custkey % 500 as int) as customer_zip_code_prefix",
+            "'CITY_' || (o_orderkey % 40) as customer_city",
+            "n_name as customer_state",
         )
     )
 
 
 def _order_items(lineitem: DataFrame) -> DataFrame:
-    price = F.col("l_extendedprice")
-    return lineitem.select(
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_linenumber").alias("order_item_id"),
-        F.col("l_partkey").alias("product_id"),
-        F.col("l_suppkey").alias("seller_id"),
-        price.alias("price"),
-        (price * F.col("l_tax") * F.col("l_linenumber")).alias("freight_value"),
+    return lineitem.selectExpr(
+        "l_orderkey as order_id",
+        "l_linenumber as order_item_id",
+        "l_partkey as product_id",
+        "l_suppkey as seller_id",
+        "l_extendedprice as price",
+        "l_extendedprice * l_tax * l_linenumber as freight_value",
     )
 
 
 def _payments(lineitem: DataFrame) -> DataFrame:
-    line = F.col("l_linenumber")
-    kind = first_match(
-        [
-            (line % 4 == 0, F.lit("voucher")),
-            (line % 4 == 1, F.lit("credit_card")),
-            (line % 4 == 2, F.lit("boleto")),
-        ],
-        F.lit("debit_card"),
-    )
-    return lineitem.select(
-        F.col("l_orderkey").alias("order_id"),
-        kind.alias("payment_type"),
-        (line * 3 % 10 + 1).alias("payment_installments"),
-        F.col("l_extendedprice").alias("payment_value"),
+    return lineitem.selectExpr(
+        "l_orderkey as order_id",
+        """case l_linenumber % 4 when 0 then 'voucher' when 1 then 'credit_card'
+           when 2 then 'boleto' else 'debit_card' end as payment_type""",
+        "l_linenumber * 3 % 10 + 1 as payment_installments",
+        "l_extendedprice as payment_value",
     )
 
 
 def _reviews(events: DataFrame) -> DataFrame:
-    key = F.col("event_id")
-    message = F.when(key % 5 == 0, F.lit(None)).when(key % 5 == 1, "").otherwise(F.col("props"))
-    return events.select(
-        F.expr("event_id div 2").alias("order_id"),
-        F.expr("cast(1 + (event_id * 31 div 7) % 5 as int)").alias("review_score"),
-        message.alias("review_comment_message"),
+    return events.selectExpr(
+        "event_id div 2 as order_id",
+        "cast(1 + (event_id * 31 div 7) % 5 as int) as review_score",
+        "case event_id % 5 when 0 then null when 1 then '' else props end as review_comment_message",
     )
 
 
 def _sellers(supplier: DataFrame) -> DataFrame:
-    nation = F.col("s_nationkey")
-    return supplier.select(
-        F.col("s_suppkey").alias("seller_id"),
-        (F.col("s_suppkey") % 500).cast("int").alias("seller_zip_code_prefix"),
-        _city(F.col("s_suppkey")).alias("seller_city"),
-        F.concat(F.lit("NATION_"), F.when(nation < 20, nation).otherwise(nation - 20).cast("string")).alias(
-            "seller_state"
-        ),
+    return supplier.selectExpr(
+        "s_suppkey as seller_id",
+        "cast(s_suppkey % 500 as int) as seller_zip_code_prefix",
+        "'CITY_' || (s_suppkey % 40) as seller_city",
+        "'NATION_' || if(s_nationkey < 20, s_nationkey, s_nationkey - 20) as seller_state",
     )
 
 
 def _products(part: DataFrame) -> DataFrame:
-    key, size = F.col("p_partkey"), F.col("p_size")
-    step = (key % 7).cast("int")
-    return part.select(
-        key.alias("product_id"),
-        F.when(key % 13 != 0, F.col("p_type")).alias("product_category_name"),
-        F.length("p_name").alias("product_name_lenght"),
-        (size * 10 + step).alias("product_description_lenght"),
-        step.alias("product_photos_qty"),
-        (size * 100 + step).alias("product_weight_g"),
-        size.alias("product_length_cm"),
-        (size + step).alias("product_height_cm"),
-        (step + 1).alias("product_width_cm"),
+    return part.withColumn("step", F.expr("cast(p_partkey % 7 as int)")).selectExpr(
+        "p_partkey as product_id",
+        "if(p_partkey % 13 = 0, null, p_type) as product_category_name",
+        "length(p_name) as product_name_lenght",
+        "p_size * 10 + step as product_description_lenght",
+        "step as product_photos_qty",
+        "p_size * 100 + step as product_weight_g",
+        "p_size as product_length_cm",
+        "p_size + step as product_height_cm",
+        "step + 1 as product_width_cm",
     )
 
 
 def _geolocation(customer: DataFrame) -> DataFrame:
-    key, nation = F.col("c_custkey"), F.col("c_nationkey")
-    return customer.filter(key % 500 < 490).select(
-        (key % 500).cast("int").alias("geolocation_zip_code_prefix"),
-        (F.lit(-30.0) + nation + (key % 7) * F.lit(0.01)).alias("geolocation_lat"),
-        (F.lit(-70.0) + nation).alias("geolocation_lng"),
+    return customer.filter("c_custkey % 500 < 490").selectExpr(
+        "cast(c_custkey % 500 as int) as geolocation_zip_code_prefix",
+        "-30D + c_nationkey + (c_custkey % 7) * 0.01D as geolocation_lat",
+        "-70D + c_nationkey as geolocation_lng",
     )
 
 
 def _translation(part: DataFrame) -> DataFrame:
     return (
-        part.filter(F.col("p_type") != "PROMO")
+        part.filter("p_type <> 'PROMO'")
         .select("p_type")
         .distinct()
-        .select(
-            F.col("p_type").alias("product_category_name"),
-            F.concat(F.lower("p_type"), F.lit("_goods")).alias("product_category_name_english"),
+        .selectExpr(
+            "p_type as product_category_name",
+            "lower(p_type) || '_goods' as product_category_name_english",
         )
     )
