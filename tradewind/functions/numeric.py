@@ -1,20 +1,21 @@
 """Rounding, order-independent sums and safe ratios.
 
 Sums of doubles depend on the order in which partitions are merged, so the same
-job can differ in the last bit from run to run. Every sum and mean here adds
-fixed-point decimals instead and turns the total into a double once, at the end.
+job can differ in the last bit from run to run. Sums and means here add whole
+units of the last decimal place instead and turn the total into a double once, at
+the end.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
-# Four decimals hold money, freight and four-digit ratios without loss; eighteen
-# digits keep the decimal in a single long.
-EXACT = "decimal(18,4)"
-COORDINATE = "decimal(20,12)"
+# Decimal places that hold money, freight and four-digit ratios without loss.
+PLACES = 4
+COORDINATE_PLACES = 12
 
 
 def round_half_away(value: Column, digits: int = 0) -> Column:
@@ -33,13 +34,27 @@ def round_half_even(value: Column, digits: int = 0) -> Column:
     return F.rint(value.cast("double") * factor) / factor
 
 
-def exact_sum(value: Column, as_type: str = EXACT) -> Column:
-    return F.sum(value.cast(as_type)).cast("double")
+def _units(value: Column, places: int) -> Column:
+    return F.rint(value.cast("double") * float(10**places)).cast("bigint")
 
 
-def exact_avg(value: Column, as_type: str = EXACT) -> Column:
+def exact_sum(value: Column, places: int = PLACES) -> Column:
+    """Sum of doubles to a fixed number of decimals.
+
+    The total has 28 digits, as even one order or customer may hold much of a table.
+    """
+    total = F.sum(_units(value, places).cast("decimal(18,0)"))
+    return (total * F.lit(Decimal(1).scaleb(-places))).cast("double")
+
+
+def exact_avg(value: Column, places: int = PLACES) -> Column:
     """Mean of the non-null values; NULL when there are none."""
-    return safe_ratio(exact_sum(value, as_type), F.count(value))
+    return safe_ratio(exact_sum(value, places), F.count(value))
+
+
+def exact_avg_of_scores(value: Column) -> Column:
+    """Mean of two-decimal scores, kept as decimals of one long."""
+    return safe_ratio(F.sum(value.cast("decimal(3,2)")), F.count(value))
 
 
 def exact_avg_of_ints(value: Column) -> Column:

@@ -12,6 +12,7 @@ from tradewind.functions.numeric import (
     count_when,
     exact_avg,
     exact_avg_of_ints,
+    exact_avg_of_scores,
     exact_sum,
     first_match,
     percent,
@@ -105,7 +106,7 @@ def rfm_customer_orders(
             exact_sum(F.col("total_payment")).alias("monetary"),
             F.max(purchased).alias("last_order_date"),
             F.min(purchased).alias("first_order_date"),
-            exact_avg(F.col("avg_review_score"), "decimal(3,2)").alias("avg_review_score"),
+            exact_avg_of_scores(F.col("avg_review_score")).alias("avg_review_score"),
             exact_avg_of_ints(F.col("delivery_delay_days")).alias("avg_delivery_delay"),
             count_when(_delivered(settings)).alias("delivered_count"),
         )
@@ -200,7 +201,7 @@ def monthly_sales(
             F.countDistinct("customer_key").alias("unique_customers"),
             round_half_away(exact_sum(F.col("total_payment")), 2).alias("total_revenue"),
             round_half_away(exact_avg(F.col("total_payment")), 2).alias("avg_order_value"),
-            round_half_away(exact_avg(F.col("avg_review_score"), "decimal(3,2)"), 2).alias(
+            round_half_away(exact_avg_of_scores(F.col("avg_review_score")), 2).alias(
                 "avg_review_score"
             ),
             count_when(_late()).alias("late_deliveries"),
@@ -223,7 +224,7 @@ def category_performance(
             round_half_away(exact_sum(F.col("price")), 2).alias("total_revenue"),
             round_half_away(exact_avg(F.col("price")), 2).alias("avg_price"),
             round_half_away(exact_avg(F.col("freight_ratio")), 3).alias("avg_freight_ratio"),
-            round_half_away(exact_avg(F.col("avg_review_score"), "decimal(3,2)"), 2).alias(
+            round_half_away(exact_avg_of_scores(F.col("avg_review_score")), 2).alias(
                 "avg_review_score"
             ),
             round_half_away(exact_avg_of_ints(F.col("delivery_delay_days")), 2).alias(
@@ -247,9 +248,9 @@ def delivery_by_state(
     freight, ratio = F.col("freight_value"), F.col("freight_ratio")
     lines = items.groupBy("order_id").agg(
         F.count("*").alias("lines"),
-        F.sum(freight.cast("decimal(18,4)")).alias("freight"),
+        exact_sum(freight).alias("freight"),
         F.count(freight).alias("freight_n"),
-        F.sum(ratio.cast("decimal(6,4)")).alias("ratio"),
+        exact_sum(ratio).alias("ratio"),
         F.count(ratio).alias("ratio_n"),
     )
     places = customers.select("customer_key", F.col("state").alias("customer_state"))
@@ -271,8 +272,8 @@ def delivery_by_state(
             late.alias("late_count"),
             round_half_away(percent(late, F.sum(n)), 1).alias("late_pct"),
             round_half_away(weighted_mean(score.cast("decimal(5,2)")), 2).alias("avg_review_score"),
-            round_half_away(safe_ratio(F.sum("ratio"), F.sum("ratio_n")), 3).alias("avg_freight_ratio"),
-            round_half_away(safe_ratio(F.sum("freight"), F.sum("freight_n")), 2).alias(
+            round_half_away(safe_ratio(exact_sum(F.col("ratio")), F.sum("ratio_n")), 3).alias("avg_freight_ratio"),
+            round_half_away(safe_ratio(exact_sum(F.col("freight")), F.sum("freight_n")), 2).alias(
                 "avg_freight_value"
             ),
         )

@@ -15,6 +15,7 @@ from tradewind.functions.labels import LEVEL_SCORES, level_score, risk_level, ti
 from tradewind.functions.numeric import (
     exact_avg,
     exact_avg_of_ints,
+    exact_avg_of_scores,
     exact_sum,
     percent,
     round_half_away,
@@ -37,7 +38,7 @@ def kpi_summary(orders: DataFrame, settings: Settings = Settings()) -> DataFrame
         F.countDistinct("customer_key").alias("unique_customers"),
         round_half_away(exact_sum(F.col("total_payment")), 0).alias("total_revenue"),
         round_half_away(exact_avg(F.col("total_payment")), 2).alias("avg_order_value"),
-        round_half_away(exact_avg(F.col("avg_review_score"), "decimal(3,2)"), 2).alias("avg_review_score"),
+        round_half_away(exact_avg_of_scores(F.col("avg_review_score")), 2).alias("avg_review_score"),
         round_half_away(delay, 2).alias("avg_delivery_delay"),
         round_half_away(F.abs(delay), 2).alias("avg_days_early"),
         F.sum(F.when(F.col("delivery_delay_days") > 0, 1).otherwise(0)).alias("late_orders"),
@@ -264,7 +265,7 @@ def delivery_outlier_summary(outliers: DataFrame) -> DataFrame:
 
     def review(which):
         score = F.when(which, F.col("avg_review_score"))
-        return round_half_away(exact_avg(score, "decimal(3,2)"), 2)
+        return round_half_away(exact_avg_of_scores(score), 2)
 
     return outliers.groupBy("lower_fence", "upper_fence").agg(
         F.count_if(late).alias("extreme_late"),

@@ -8,7 +8,13 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tradewind.functions.dates import date_key, lenient_timestamp, weekday_from_sunday
-from tradewind.functions.numeric import COORDINATE, exact_avg, exact_sum, round_half_away, safe_ratio
+from tradewind.functions.numeric import (
+    COORDINATE_PLACES,
+    exact_avg,
+    exact_sum,
+    round_half_away,
+    safe_ratio,
+)
 from tradewind.lazy import Frames
 from tradewind.settings import Settings
 
@@ -41,8 +47,8 @@ def dim_date(spark: SparkSession, start: date, end: date) -> DataFrame:
 def geo_zip_centroid(geolocation: DataFrame) -> DataFrame:
     """Mean position of every zip prefix."""
     return geolocation.groupBy(F.col("geolocation_zip_code_prefix").alias("zip_code")).agg(
-        exact_avg(F.col("geolocation_lat"), COORDINATE).alias("lat"),
-        exact_avg(F.col("geolocation_lng"), COORDINATE).alias("lng"),
+        exact_avg(F.col("geolocation_lat"), COORDINATE_PLACES).alias("lat"),
+        exact_avg(F.col("geolocation_lng"), COORDINATE_PLACES).alias("lng"),
     )
 
 
