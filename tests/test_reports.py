@@ -1,0 +1,198 @@
+import json
+import math
+
+import pytest
+
+from tradewind.plans import dashboard as d
+from tradewind.plans import reports as r
+from tradewind.settings import Settings
+
+
+def listed(df):
+    return [tuple(row) for row in df.collect()]
+
+
+@pytest.fixture
+def rfm(spark):
+    return spark.createDataFrame(
+        [("Loyal", 1, 100.0), ("Loyal", 2, 300.0), ("Lost", 1, 50.0), ("At Risk", 1, 50.0)],
+        "segment string, frequency bigint, monetary double",
+    )
+
+
+@pytest.fixture
+def monthly(spark):
+    return spark.createDataFrame(
+        [(2017, 9, "September", 10, 5, 1000.5), (2017, 11, "November", 20, 9, 2000.0), (2018, 2, "February", 1, 1, 2000.0)],
+        "year int, month int, month_name string, total_orders bigint, late_deliveries bigint, total_revenue double",
+    )
+
+
+def test_kpi_summary(fact_orders):
+    orders = fact_orders(
+        ("o1", "p1", "delivered", "2018-01-01 00:00:00", 2, 10.0, "5.00"),
+        ("o2", "p1", "shipped", "2018-01-01 00:00:00", None, 15.5, None),
+        ("o3", "p2", "delivered", "2018-01-01 00:00:00", -10, 1.0, "4.00"),
+        ("o4", "p3", "canceled", "2018-01-01 00:00:00", None, 100.0, "1.00"),
+    )
+    kpi = r.kpi_summary(orders)
+    assert listed(kpi) == [(3, 2, 27.0, 8.83, 4.5, -4.0, 4.0, 1)]
+    assert listed(r.late_order_rate(kpi)) == [(1, 3, 100.0 / 3)]
+
+
+def test_repeat_and_churn(rfm):
+    repeat = r.repeat_purchase(rfm)
+    assert listed(repeat) == [(1, 4, 25.0, 66.67, 300.0)]
+    assert listed(r.churn_pct(repeat)) == [(75.0,)]
+    assert listed(r.repeat_revenue_share(rfm)) == [(300.0, 500.0, 60.0)]
+
+
+def test_segments(rfm):
+    assert listed(r.segment_share(rfm)) == [("Loyal", 2, 50.0), ("At Risk", 1, 25.0), ("Lost", 1, 25.0)]
+    assert listed(r.segment_share_spend(rfm))[0] == ("Loyal", 2, 50.0, 200.0)
+    assert listed(r.segment_summary(rfm))[0] == ("Loyal", 2, 50.0, 400.0)
+
+
+def test_months(monthly):
+    assert [row["month_label"] for row in r.monthly_trend(monthly.withColumnRenamed("month_name", "month_start")).collect()] == [
+        "2018-02", "2017-11", "2017-09",
+    ]
+    assert r.peak_month(monthly).first()["month_label"] == "2017-11"  # the earlier of two equal months
+    assert listed(r.total_revenue_period(monthly)) == [(5000.5,)]
+
+
+def test_top_lists_break_ties_by_name(spark):
+    columns = """category string, total_revenue double, units_sold bigint, avg_price double,
+        avg_freight_ratio double, avg_review_score double"""
+    categories = spark.createDataFrame(
+        [("b_b", 5250.0, 1, 1.0, 0.1, 4.0), ("a_a", 5250.0, 1, 1.0, 0.1, 4.0), ("c", 9.0, 1, 1.0, 0.1, 4.0)], columns
+    )
+    assert [row[0] for row in listed(r.top_categories(categories, 2))] == ["a_a", "b_b"]
+    assert [row[1] for row in listed(r.category_label(categories))] == ["B B", "A A", "C"]
+    kpi = spark.createDataFrame([(16008872.0,)], "total_revenue double")
+    assert listed(r.revenue_scaled(kpi, categories, 1)) == [("millions", "all", 16.01), ("thousands", "A A", 5.2)]
+
+
+def test_delivery_review_pivot(spark):
+    satisfaction = spark.createDataFrame(
+        [(5, "Late (1-7d)", 3), (1, "Late (1-7d)", 1), (4, "Very Early (>14d)", 2)],
+        "review_score int, delivery_bucket string, order_count bigint",
+    )
+    pivot = r.delivery_review_pivot(satisfaction)
+    assert listed(pivot) == [(1, "Very Early (>14d)", 0, 0, 0, 2, 0), (4, "Late (1-7d)", 1, 0, 0, 0, 3)]
+    assert listed(r.delivery_review_pct(pivot))[1] == (4, "Late (1-7d)", 25.0, 0.0, 0.0, 0.0, 75.0)
+
+
+def test_geo_opportunity_and_underserved(spark):
+    people = spark.createDataFrame([("SP",)] * 9 + [("RJ",)] * 7 + [("AM",)] * 5 + [("AC",)], "state string")
+    sellers = spark.createDataFrame([("a", "SP"), ("b", "RJ"), ("c", "RJ"), ("d", "RJ")], "seller_key string, state string")
+    opportunity = r.geo_opportunity(people, sellers)
+    assert listed(opportunity) == [("SP", 9, 1, 9.0), ("RJ", 7, 3, 2.3), ("AM", 5, 0, None), ("AC", 1, 0, None)]
+    settings = Settings(underserved_min_customers=5)
+    assert [row[0] for row in listed(r.underserved_states(opportunity, settings))] == ["RJ", "AM"]
+    assert dict(listed(r.sellers_by_state(sellers))) == {"SP": 1, "RJ": 3}
+
+
+def test_payment_histogram_closes_the_last_bin_and_keeps_empty_ones(fact_orders):
+    amounts = [1.0, 2.0, 2.0, 11.0, 500.0]
+    orders = fact_orders(*[(f"o{i}", "p", "delivered", "2018-01-01 00:00:00", 0, a, None) for i, a in enumerate(amounts)])
+    bins = r.payment_histogram(orders, Settings(histogram_cap=11.0, histogram_bins=10)).orderBy("bin").collect()
+    assert [b["n"] for b in bins] == [1, 2, 0, 0, 0, 0, 0, 0, 0, 2]
+    assert (bins[0]["bin_start"], bins[-1]["bin_end"]) == (1.0, 11.0)
+    one = r.payment_histogram(orders.filter("order_id = 'o0'"), Settings(histogram_bins=4)).orderBy("bin").collect()
+    assert [(b["bin_start"], b["n"]) for b in one] == [(0.5, 0), (0.75, 0), (1.0, 1), (1.25, 0)]
+    assert r.payment_histogram(orders.filter("false")).count() == 0
+
+
+def test_outlier_summaries(spark):
+    paid = spark.createDataFrame(
+        [("o1", 9.0, 3.1, "high_outlier"), ("o2", 7.0, 2.1, "high_outlier"), ("o3", 0.1, -3.0, "low_outlier")],
+        "order_id string, total_payment double, z_score double, outlier_flag string",
+    ).selectExpr("*", "1D as q1", "2D as q3", "1D as iqr", "0.5D as lower_fence", "3.5D as upper_fence")
+    assert listed(r.payment_outlier_summary(paid)) == [(1.0, 2.0, 1.0, 0.5, 3.5, 3, 2, 1)]
+    assert [row[0] for row in listed(r.top_payment_outliers(paid, 2))] == ["o1", "o2"]
+    late = spark.createDataFrame(
+        [("extreme_late", "1.00"), ("extreme_late", "2.00"), ("extreme_early", None)], "outlier_flag string, score string"
+    ).selectExpr("outlier_flag", "cast(score as decimal(3,2)) avg_review_score", "1D lower_fence", "2D upper_fence")
+    assert listed(r.delivery_outlier_summary(late)) == [(1.0, 2.0, 2, 1, 1.5, None)]
+
+
+def test_risk_scores_and_matrix(spark):
+    register = spark.createDataFrame(
+        [("Churn", "High", "High"), ("Payment", "Low", "Medium"), ("Delivery", "Medium", "High")],
+        "risk_category string, likelihood string, impact string",
+    )
+    scored = r.risk_scored(register)
+    assert [(row["risk_category"], row["risk_score"], row["risk_level"]) for row in scored.collect()] == [
+        ("Churn", 9, "High"), ("Delivery", 6, "High"), ("Payment", 2, "Low"),
+    ]
+    cells = {(c["likelihood"], c["impact"]): c for c in r.risk_matrix(scored).collect()}
+    assert len(cells) == 9
+    assert cells[3, 3]["risk_category"] == "Churn" and cells[1, 2]["risk_category"] == "Payment"
+    assert cells[3, 1]["risk_category"] is None and cells[3, 1]["risk_level"] == "Medium"
+
+
+def test_data_quality_shares_and_funnel(spark):
+    profile = spark.createDataFrame(
+        [("fact_orders", 200, 10, 4, 150), ("fact_order_items", 0, 0, 0, 0)],
+        "table_name string, total_rows bigint, excluded_status bigint, zero_payment bigint, clean_delivered bigint",
+    )
+    assert listed(r.data_quality_pct(profile)) == [("fact_orders", 200, 5.0, 75.0, 2.0), ("fact_order_items", 0, None, None, None)]
+    funnel = listed(r.cleaning_funnel(profile))
+    assert [(row[1], row[2], row[3]) for row in funnel] == [
+        ("Raw orders", 200, 100.0), ("After status exclusion", 190, 95.0), ("Clean delivered orders", 150, 75.0),
+        ("Excluded by status filter", 10, 5.0), ("Zero-value payments", 4, 2.0),
+    ]
+
+
+@pytest.fixture
+def states(spark):
+    by_state = spark.createDataFrame(
+        [("SP", 1000, -5.25, 30, 3.0, 4.35, 10.0), ("RJ", 250, -1.0, 40, 16.0, 3.5, 12.0), ("XX", 90, 0.0, 9, 10.0, 4.0, 20.0)],
+        """customer_state string, total_orders bigint, avg_delay_days double, late_count bigint,
+        late_pct double, avg_review_score double, avg_freight_value double""",
+    )
+    sellers = spark.createDataFrame([(str(i), "SP") for i in range(8)] + [("r", "RJ")], "seller_key string, state string")
+    return d.state_map(by_state, sellers)
+
+
+def test_state_map(states):
+    found = {s["state"]: s for s in states.collect()}
+    sp, rj, xx = found["SP"], found["RJ"], found["XX"]
+    assert (sp["state_name"], sp["lat"], sp["lng"], sp["seller_count"], sp["cs_ratio"]) == ("São Paulo", -22.19, -48.79, 8, 125.0)
+    assert (rj["state_name"], rj["cs_ratio"]) == ("Rio de Janeiro", 250.0)
+    assert (xx["state_name"], xx["lat"], xx["lng"], xx["seller_count"], xx["cs_ratio"]) == ("XX", 0.0, 0.0, 0, 90.0)
+    bands = {row[0]: row[1:] for row in listed(d.state_map_bands(states))}
+    assert bands == {"SP": (4, 1, 1, 3), "RJ": (2, 5, 4, 4), "XX": (1, 3, 2, 3)}
+    radius = {row[0]: row[1:] for row in listed(d.state_map_radius(states))}
+    assert radius["SP"][0] == 34.0 and math.isclose(radius["RJ"][1], 8 + 16 / 20 * 22)
+    assert math.isclose(radius["SP"][2], 8 + 0.65 / 2 * 20) and radius["RJ"][3] == 34.0
+
+
+def test_state_filter_rescales_to_the_chosen(states):
+    size = lambda chosen: {row["state"]: row["marker_size"] for row in d.state_filter_scatter(states, chosen).collect()}
+    assert size(["RJ"]) == {"RJ": 38.0}
+    assert size(None)["RJ"] == 10 + 0.25 * 28
+
+
+def test_dashboard_document(spark, fact_orders, rfm, states):
+    orders = fact_orders(("o1", "p1", "delivered", "2018-01-01 00:00:00", 2, 10.0, "5.00"))
+    months = spark.createDataFrame(
+        [(2018, 2, "February", 7, 700.0, 100.0, 4.0, 1), (2017, 12, "December", 5, 12345678.9, 20.0, None, 0)],
+        """year int, month int, month_name string, total_orders bigint, total_revenue double,
+        avg_order_value double, avg_review_score double, late_deliveries bigint""",
+    )
+    categories = spark.createDataFrame(
+        [("bed_bath", 10.0, 1, 10.0, 0.125, 4.0)],
+        """category string, total_revenue double, units_sold bigint, avg_price double, avg_freight_ratio double,
+        avg_review_score double""",
+    )
+    payload = d.dashboard_payload(r.kpi_summary(orders), r.repeat_purchase(rfm), states, months, rfm, categories)
+    document = json.loads(payload.first()["payload"])
+    assert document["kpi"]["total_orders"] == 1 and document["kpi"]["repeat_pct"] == 25.0
+    assert [s["state"] for s in document["byState"]] == ["SP", "RJ", "XX"]
+    assert document["byState"][0]["name"] == "São Paulo" and document["byState"][0]["avg_delay_days"] == -5.2
+    assert [m["label"] for m in document["monthly"]] == ["2017-12", "2018-02"]
+    assert document["monthly"][0]["revenue"] == 12345678.9 and document["monthly"][0]["avg_review"] is None
+    assert [s["segment"] for s in document["rfm"]] == ["Loyal", "At Risk", "Lost"]
+    assert document["categories"] == [{"category": "Bed Bath", "revenue": 10.0, "units": 1, "review": 4.0, "freight_ratio": 0.125}]

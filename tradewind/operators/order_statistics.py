@@ -25,7 +25,7 @@ def order_statistics(
     order: list[str],
     positions: Callable[[int], list[int]],
     weight: str | None = None,
-) -> dict[str, tuple[int, dict[int, Row]]]:
+) -> dict[object, tuple[int, dict[int, Row]]]:
     """Rows found at given 0-based positions of each series, in ascending ``order``.
 
     ``series`` is a column that names a handful of independent orderings. A row with
@@ -125,43 +125,27 @@ def ntile_starts(n: int, tiles: int) -> list[int]:
 def with_ntiles(df: DataFrame, scores: dict[str, Column], tie: str, tiles: int) -> DataFrame:
     """Add one ``NTILE(tiles) OVER (ORDER BY score, tie)`` column per score.
 
-    Each score is a numeric expression, ascending with NULL last. ``tie`` must be unique
-    per row, so that the tiles are reproducible. Only (score, tie) pairs are shuffled;
+    Each score is a numeric expression, ascending; NULL and NaN come last. ``tie`` must be
+    unique per row, so that the tiles are reproducible. Only (score, tie) pairs are shuffled;
     the tiles are then read off by comparing each row with the few cut rows, inside the
     scan of ``df``. ``df`` is read twice: pass a materialized frame.
     """
-    def sort_key(score: Column) -> Column:
-        value = score.cast("double")
-        return F.struct(value.isNull().alias("absent"), value.alias("value"), F.col(tie).alias("tie"))
-
+    # NaN sorts above every number.
+    values = {name: F.coalesce(score.cast("double"), F.lit(float("nan"))) for name, score in scores.items()}
+    names = list(scores)
     stacked = df.select(
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(name).alias("series"), sort_key(score).alias("key"))
-                    for name, score in scores.items()
-                ]
-            )
-        ).alias("s")
-    ).select("s.series", "s.key.absent", "s.key.value", "s.key.tie")
-    found = order_statistics(
-        stacked, "series", ["absent", "value", "tie"], lambda n: ntile_starts(n, tiles)
+        F.col(tie).alias("tie"), F.posexplode(F.array(*values.values())).alias("series", "value")
     )
+    found = order_statistics(stacked, "series", ["value", "tie"], lambda n: ntile_starts(n, tiles))
     tie_type = df.schema[tie].dataType
 
-    def tile(name: str, score: Column) -> Column:
-        _, cuts = found.get(name, (0, {}))
-        passed = [
-            (
-                sort_key(score)
-                >= F.struct(
-                    F.lit(cut["absent"]).alias("absent"),
-                    F.lit(cut["value"]).cast("double").alias("value"),
-                    F.lit(cut["tie"]).cast(tie_type).alias("tie"),
-                )
-            ).cast("int")
+    def tile(name: str) -> Column:
+        _, cuts = found.get(names.index(name), (0, {}))
+        value, key = values[name], F.col(tie)
+        reached = [
+            (value > cut["value"]) | ((value == cut["value"]) & (key >= F.lit(cut["tie"]).cast(tie_type)))
             for cut in cuts.values()
         ]
-        return reduce(lambda a, b: a + b, passed, F.lit(1))
+        return reduce(lambda a, b: a + b, [passed.cast("int") for passed in reached], F.lit(1))
 
-    return df.withColumns({name: tile(name, score) for name, score in scores.items()})
+    return df.withColumns({name: tile(name) for name in names})
