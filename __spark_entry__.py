@@ -81,12 +81,13 @@ class Tables:
 
     @cached_property
     def history(self) -> DataFrame:
-        # The fact is read twice: for the last purchase of all and for the history itself.
-        return m.rfm_customer_orders(self.stored_orders, self.warehouse["dim_customers"], S)
+        wh = self.warehouse
+        return m.rfm_customer_orders(wh["fact_orders"], wh["dim_customers"], S)
 
     @cached_property
     def rfm(self) -> DataFrame:
-        return m.customer_rfm(self.stored_orders, self.warehouse["dim_customers"], S)
+        wh = self.warehouse
+        return m.customer_rfm(wh["fact_orders"], wh["dim_customers"], S)
 
     @cached_property
     def monthly(self) -> DataFrame:

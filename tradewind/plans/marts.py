@@ -94,25 +94,42 @@ def rfm_customer_orders(
 ) -> DataFrame:
     """Purchase history per customer, over orders that were not excluded.
 
-    Orders are reduced to one row per customer before the dimension is joined, so a
-    customer with very many orders meets the join as a single row.
+    One pass over the fact: excluded orders stay in until the last purchase of all is
+    known. Counting orders through a first grouping by order needs no shuffle where the
+    fact is still partitioned by order, and a customer with very many orders meets the
+    dimension as a single row. The result reads a stored table.
     """
-    purchased = F.col("purchased_at").cast("date")
-    history = (
-        orders.filter(~_excluded(settings))
-        .groupBy("customer_key")
-        .agg(
-            F.countDistinct("order_id").alias("frequency"),
-            exact_sum(F.col("total_payment")).alias("monetary"),
-            F.max(purchased).alias("last_order_date"),
-            F.min(purchased).alias("first_order_date"),
-            exact_avg_of_scores(F.col("avg_review_score")).alias("avg_review_score"),
-            exact_avg_of_ints(F.col("delivery_delay_days")).alias("avg_delivery_delay"),
-            count_when(_delivered(settings)).alias("delivered_count"),
-        )
+    kept = ~_excluded(settings)
+
+    def of_kept(column: str) -> Column:
+        return F.when(kept, F.col(column))
+
+    per_order = orders.groupBy("customer_key", "order_id").agg(
+        F.max("purchased_at").alias("latest"),
+        F.bool_or(kept).alias("kept"),
+        exact_sum(of_kept("total_payment")).alias("paid"),
+        F.max(of_kept("purchased_at")).alias("last"),
+        F.min(of_kept("purchased_at")).alias("first"),
+        F.sum(of_kept("avg_review_score").cast("decimal(3,2)")).alias("score"),
+        F.count(of_kept("avg_review_score")).alias("score_n"),
+        F.sum(of_kept("delivery_delay_days")).alias("delay"),
+        F.count(of_kept("delivery_delay_days")).alias("delay_n"),
+        count_when(kept & _delivered(settings)).alias("delivered"),
     )
-    places = customers.select("customer_key", "city", "state", "lat", "lng")
-    return history.join(places, "customer_key").select(
+    per_customer = per_order.groupBy("customer_key").agg(
+        F.max("latest").alias("latest"),
+        count_when(F.col("kept")).alias("frequency"),
+        exact_sum(F.col("paid")).alias("monetary"),
+        F.max("last").cast("date").alias("last_order_date"),
+        F.min("first").cast("date").alias("first_order_date"),
+        safe_ratio(F.sum("score"), F.sum("score_n")).alias("avg_review_score"),
+        safe_ratio(F.sum("delay"), F.sum("delay_n")).alias("avg_delivery_delay"),
+        F.sum("delivered").alias("delivered_count"),
+    )
+    places = customers.select("customer_key", "city", "state", "lat", "lng", F.lit(True).alias("known"))
+    stored = materialize(per_customer.join(places, "customer_key", "left"), "customer_orders")
+    snapshot = stored.agg(F.date_add(F.max("latest").cast("date"), 1)).scalar()
+    return stored.filter(F.col("known") & (F.col("frequency") > 0)).select(
         "customer_key",
         "city",
         "state",
@@ -122,7 +139,7 @@ def rfm_customer_orders(
         "monetary",
         "last_order_date",
         "first_order_date",
-        F.datediff(rfm_snapshot_date(orders).scalar(), "last_order_date").alias("recency_days"),
+        F.datediff(snapshot, "last_order_date").alias("recency_days"),
         "avg_review_score",
         "avg_delivery_delay",
         "delivered_count",
@@ -133,7 +150,8 @@ def rfm_scores(history: DataFrame, settings: Settings = Settings()) -> DataFrame
     """Recency, frequency and monetary tiles 1..k, ties settled by customer key.
 
     As in the source, tile 1 holds the most recent, most frequent, highest spending
-    customers; ``best_is_high`` turns the scale round.
+    customers; ``best_is_high`` turns the scale round. ``history`` is read twice and should
+    come from storage, as ``rfm_customer_orders`` returns it.
     """
     ascending = {
         "r_score": F.col("recency_days").cast("double"),
@@ -142,9 +160,7 @@ def rfm_scores(history: DataFrame, settings: Settings = Settings()) -> DataFrame
     }
     if settings.best_is_high:
         ascending = {name: -score for name, score in ascending.items()}
-    return with_ntiles(
-        materialize(history, "rfm"), ascending, tie="customer_key", tiles=settings.tiles
-    )
+    return with_ntiles(history, ascending, tie="customer_key", tiles=settings.tiles)
 
 
 def rfm_segment(scored: DataFrame, settings: Settings = Settings()) -> DataFrame:
