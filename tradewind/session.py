@@ -12,6 +12,7 @@ SQL_SETTINGS = {
     # costs one more shuffle: an order or a customer may hold a large part of a fact.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64MB",
 }
 
 
@@ -32,6 +33,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        # One query generates dozens of classes; the default keeps a hundred.
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
