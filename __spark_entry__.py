@@ -22,6 +22,14 @@ from tradewind.sources.retail import RETAIL_SETTINGS as S
 from tradewind.sources.retail import marketplace_tables
 from tradewind.sources.sink import row_counts
 
+try:  # the text operators are an optional part
+    import corpus_pipeline
+    from tradewind.llm import queries as llm
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "tradewind.llm"):
+        raise
+    corpus_pipeline = llm = None
+
 SCATTER_STATES = ["NATION_1", "NATION_2", "NATION_3", "NATION_5", "NATION_8"]
 
 # What the marts, the checks and the reports read of the order fact.
@@ -268,11 +276,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     checks = {
         f"check_{c.name}": _query(lambda t, name=c.name: t.check(name)) for c in WAREHOUSE_CHECKS
     }
-    return {name: _query(build) for name, build in QUERIES.items()} | checks
+    texts = {"pipeline": corpus_pipeline.run, **llm.QUERIES} if llm else {}
+    return {name: _query(build) for name, build in QUERIES.items()} | checks | texts
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: oracles.oracle(name) for name in queries() if name in oracles.ANSWERS}
+    texts = llm.ORACLES if llm else {}
+    if llm and corpus_pipeline.ORACLE_SQL:
+        texts = texts | {"pipeline": corpus_pipeline.ORACLE_SQL}
+    return {name: oracles.oracle(name) for name in queries() if name in oracles.ANSWERS} | texts
 
 
 def entry(spark: SparkSession) -> DataFrame:
