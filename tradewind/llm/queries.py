@@ -2,16 +2,30 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tradewind.llm import shards
+from tradewind.llm import shards, token_files
 from tradewind.llm.exact import ExactDuplicates
+from tradewind.llm.packing import pack
+
+WORD_BPE = "word_bpe_49k.json"
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
 
 
+def packing(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = pack(_documents(spark, folder), public_tokenizers.path(WORD_BPE), end_id=1, length=2048, with_ids=False)
+    return pieces.withColumnRenamed("id", "doc_id")
+
+
+def token_output(spark: SparkSession, folder: str) -> DataFrame:
+    read_back = token_files.round_trip(_documents(spark, folder), public_tokenizers.path(WORD_BPE), end_id=2)
+    return read_back.withColumnRenamed("id", "doc_id")
+
+
 def exact(spark: SparkSession, folder: str) -> DataFrame:
     found = ExactDuplicates(_documents(spark, folder)).membership()
     return found.select(
@@ -27,6 +41,8 @@ def sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_packing": packing,
+    "op2_token_files": token_output,
     "op6_exact_dedup": exact,
     "op9_sharding": sharding,
 }
