@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tradewind.llm import shards, token_files
 from tradewind.llm.exact import ExactDuplicates
 from tradewind.llm.packing import pack
+from tradewind.llm.simhash import near_duplicates
 
 WORD_BPE = "word_bpe_49k.json"
 
@@ -33,6 +34,11 @@ def exact(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = near_duplicates(_documents(spark, folder), width=3)
+    return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def sharding(spark: SparkSession, folder: str) -> DataFrame:
     placed = shards.with_slots(shards.assign(_documents(spark, folder), 40))
     return placed.select(
@@ -44,6 +50,7 @@ QUERIES = {
     "op1_packing": packing,
     "op2_token_files": token_output,
     "op6_exact_dedup": exact,
+    "op7_simhash": simhash,
     "op9_sharding": sharding,
 }
 
