@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tradewind.llm import shards, token_files
 from tradewind.llm.exact import ExactDuplicates
 from tradewind.llm.packing import pack
+from tradewind.llm.repeats import removal_report
 from tradewind.llm.simhash import near_duplicates
 
 WORD_BPE = "word_bpe_49k.json"
@@ -46,12 +47,17 @@ def sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return removal_report(_documents(spark, folder)).withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
     "op1_packing": packing,
     "op2_token_files": token_output,
     "op6_exact_dedup": exact,
     "op7_simhash": simhash,
     "op9_sharding": sharding,
+    "op10_suffix_dedup": suffix_dedup,
 }
 
 ORACLES = {
