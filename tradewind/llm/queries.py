@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tradewind.llm import shards, token_files
 from tradewind.llm.exact import ExactDuplicates
 from tradewind.llm.packing import pack
+from tradewind.llm.quality import judged
 from tradewind.llm.repeats import removal_report
 from tradewind.llm.simhash import near_duplicates
 
@@ -28,6 +29,14 @@ def token_output(spark: SparkSession, folder: str) -> DataFrame:
     return read_back.withColumnRenamed("id", "doc_id")
 
 
+def quality(spark: SparkSession, folder: str) -> DataFrame:
+    found = judged(spark.read.parquet(f"{folder}/documents.parquet"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"],
+    )
+
+
 def exact(spark: SparkSession, folder: str) -> DataFrame:
     found = ExactDuplicates(_documents(spark, folder)).membership()
     return found.select(
@@ -54,6 +63,7 @@ def suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_packing": packing,
     "op2_token_files": token_output,
+    "op4_quality_rules": quality,
     "op6_exact_dedup": exact,
     "op7_simhash": simhash,
     "op9_sharding": sharding,
