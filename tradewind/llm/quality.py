@@ -40,7 +40,7 @@ FLOORS = [f * UNIT for f in (0.07, 0.04, 0.06, 0.25, 0.25)]
 CORE = 0.75
 STEPS = 5
 LEAST = 200
-TAIL = 1e-9  # share of normal data beyond the cut
+TAIL = 1e-5  # share of normal data beyond the cut
 CLASSES = 256  # distance classes for each doubling
 FEWEST_WORDS, MOST_REPEATED = 50, 50  # base rules: words, percent
 
@@ -227,7 +227,8 @@ def judged(
     for _ in range(STEPS):
         estimates = materialize(_concentrate(vectors, estimates), "estimates")
     final = materialize(estimates.join(_edges(vectors, estimates), "group"), "estimates")
-    scale = F.lit(EDGE) / F.greatest(F.pow(F.lit(2.0), (F.col("edge") + 1) / CLASSES) - 1, F.lit(1e-9))
+    edge = F.pow(F.lit(2.0), (F.col("edge") + 1) / CLASSES) - 1
+    scale = F.lit(EDGE) / F.greatest(edge, F.lit(EDGE))  # floors can pull the edge in: never enlarged for that
     known = rows.join(cells.join(final, "group"), "cell", "left")
     distance = F.when(~F.col("base_failed"), _distance() * scale)
     return known.withColumn("distance", distance).select(
