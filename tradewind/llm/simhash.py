@@ -1,22 +1,23 @@
 """Near duplicates by SimHash fingerprints and pigeonhole blocks.
 
-A fingerprint's 64 bits fall into ``BLOCKS`` blocks. Two fingerprints that differ in at most
-``DISTANCE`` bits agree in at least BLOCKS - DISTANCE whole blocks, so every choice of that many
-blocks is a key to meet under: 20 keys of about 32 bits here. Keys that long keep chance
-meetings rare at any corpus size. Only distinct fingerprints enter, each with the
+A fingerprint's 64 bits fall into blocks. Two fingerprints that differ in at most ``distance``
+bits agree in at least blocks - distance whole blocks, so every choice of that many blocks is
+a key to meet under: 20 keys of about 32 bits with 6 blocks and 3 bits. Keys that long keep
+chance meetings rare at any corpus size. Only distinct fingerprints enter, each with the
 smallest id that carries it.
 
-Within a key, members are compared all with all by Hamming distance while they are at most
-``COMPARED``, and only the links of a spanning forest leave the task. The keys with more members
-are linked exactly, without comparing pairs: two members within 3 bits become equal when at
-most two bits of the one and at most one bit of the other are flipped (only bits outside the
-key's blocks can differ). Members that flip into the same value by one bit or none are within two
-bits of each other, and those that take two flips are within three of any of these; so each
-value's first one-flip member is linked to all others there, and nothing is missed.
+Within a key, members are compared by Hamming distance while they are at most ``compared``, and
+only the links of a spanning forest leave the task; a member that is linked up is not compared
+again, so a tight group costs little more than its size. Keys with more members are linked
+exactly, without comparing pairs: two members within the distance become equal when half of
+the bits (rounded up) are flipped in the one and the other half in the other; only bits outside
+the key's blocks can differ. The members that flip into the same value by the smaller half lie within
+the distance of all others there, so each value's first such member is linked to the rest,
+and nothing is missed.
 
 Defined results: a null text counts as empty; texts without words have fingerprint zero and link
-like others; a null id takes no part in the smallest ids, but gets its own fingerprint and
-component (null where all of it lack ids); rows that repeat an id and text get the same result;
+like others; rows with a null id get a fingerprint and the component of the ids that share it (null if
+none does), and link nothing; rows that repeat an id and text get the same result;
 texts of any length are read whole; an empty table gives an empty result. Columns other than
 id and text are ignored.
 """
@@ -35,17 +36,17 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from tradewind.llm.components import connected_components
 from tradewind.operators.scratch import materialize
 
-DISTANCE = 3
-BLOCKS = 6
-COMPARED = 512
+DISTANCE, BLOCKS = 3, 6
+COMPARED = 20_000
 SEED = 42
 SHINGLES_AT_ONCE = 200_000
-# Blocks of 11, 11, 11, 11, 10 and 10 bits, from the lowest bit up.
-EDGES = np.cumsum([0] + [64 // BLOCKS + (i < 64 % BLOCKS) for i in range(BLOCKS)])
-MASKS = [
-    sum(((1 << int(EDGES[b + 1])) - (1 << int(EDGES[b]))) for b in chosen)
-    for chosen in combinations(range(BLOCKS), BLOCKS - DISTANCE)
-]
+
+
+def key_masks(distance: int, blocks: int) -> list[int]:
+    """The bits of every choice of blocks - distance blocks; blocks are as even as 64 bits allow, low bits first."""
+    sizes = [64 // blocks + (i < 64 % blocks) for i in range(blocks)]
+    masks = [((1 << size) - 1) << sum(sizes[:i]) for i, size in enumerate(sizes)]
+    return [sum(chosen) for chosen in combinations(masks, blocks - distance)]
 
 
 def _shingle_hashes(words: list[bytes], width: int) -> Iterator[np.ndarray]:
@@ -116,39 +117,37 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def _forest(fps: np.ndarray, ids: np.ndarray, distance: int) -> list[tuple[int, int]]:
     """Links of a spanning forest of the members within ``distance`` bits of each other."""
-    near = np.bitwise_count(fps[:, None] ^ fps[None, :]) <= distance
-    open_, links = np.ones(len(fps), bool), []
-    for first in range(len(fps)):
-        if not open_[first]:
-            continue
-        open_[first], queue = False, [first]
-        while queue:
+    left, links = np.arange(len(fps)), []
+    while len(left) > 1:
+        queue, left = [int(left[0])], left[1:]
+        while queue and len(left):
             at = queue.pop()
-            found = np.flatnonzero(near[at] & open_)
-            open_[found] = False
+            near = np.bitwise_count(fps[left] ^ fps[at]) <= distance
+            found, left = left[near].tolist(), left[~near]
             links += [(int(ids[at]), int(ids[x])) for x in found]
-            queue += found.tolist()
+            queue += found
     return links
 
 
-def _flips(free: int) -> tuple[np.ndarray, np.ndarray]:
-    """Flip masks of up to two of the ``free`` bits, and whether each has at most one."""
+def _flips(free: int, distance: int) -> tuple[np.ndarray, np.ndarray]:
+    """Flip masks of up to half the distance, rounded up, in the ``free`` bits; whether each is in the smaller half."""
     bits = [1 << b for b in range(64) if free >> b & 1]
-    few = [0, *bits]
-    masks = few + [a | b for a, b in combinations(bits, 2)]
-    return np.array(masks, np.uint64), np.arange(len(masks)) < len(few)
+    masks = [[sum(c) for c in combinations(bits, n)] for n in range((distance + 1) // 2 + 1)]
+    few = [n <= distance // 2 for n, some in enumerate(masks) for _ in some]
+    return np.array([m for some in masks for m in some], np.uint64), np.array(few)
 
 
-def links(distinct: DataFrame, compared: int = COMPARED) -> DataFrame:
-    """Links (u, v) between ids that connect all fingerprints within DISTANCE bits. ``distinct``: (fp, id)."""
+def links(distinct: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS, compared: int = COMPARED) -> DataFrame:
+    """Links (u, v) between ids that connect all fingerprints within the distance. ``distinct``: (fp, id)."""
+    masks = key_masks(distance, blocks)
     keys = F.array(
         *[
-            F.struct(F.lit(t).cast("tinyint").alias("t"), F.expr(f"fp & {np.uint64(m).view(np.int64)}L").alias("key"))
-            for t, m in enumerate(MASKS)
+            F.struct(F.lit(t).cast("smallint").alias("t"), F.expr(f"fp & {np.uint64(m).view(np.int64)}L").alias("key"))
+            for t, m in enumerate(masks)
         ]
     )
     keyed = distinct.select("fp", "id", F.explode(keys).alias("k")).select("k.t", "k.key", "fp", "id")
-    # Only keys that several fingerprints share go on; the count combines before its shuffle.
+    # Only keys that several fingerprints share go on.
     shared = keyed.groupBy("t", "key").agg(F.count("*").alias("n")).filter("n > 1")
     met = materialize(keyed.join(shared, ["t", "key"]), "simhash-keys")
 
@@ -158,6 +157,8 @@ def links(distinct: DataFrame, compared: int = COMPARED) -> DataFrame:
         for batch in batches:
             now = batch.to_pandas()
             now = now if left is None else pd.concat([left, now], ignore_index=True)
+            if not len(now):
+                continue
             last = (now["t"] == now["t"].iloc[-1]) & (now["key"] == now["key"].iloc[-1])
             left = now[last]
             yield link_up(now[~last])
@@ -170,19 +171,21 @@ def links(distinct: DataFrame, compared: int = COMPARED) -> DataFrame:
         fps, ids = rows["fp"].to_numpy().view(np.uint64), rows["id"].to_numpy()
         starts = np.flatnonzero(np.r_[True, (t[1:] != t[:-1]) | (key[1:] != key[:-1])]) if len(rows) else []
         for a, b in zip(starts, [*starts[1:], len(rows)]):
-            found += _forest(fps[a:b], ids[a:b], DISTANCE)
+            found += _forest(fps[a:b], ids[a:b], distance)
         u, v = zip(*found) if found else ((), ())
         return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
     def flip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        masks = [_flips(~m & (1 << 64) - 1) for m in MASKS]
+        flips: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for batch in batches:
             ts, ids = batch.column("t").to_numpy(), batch.column("id").to_numpy()
             fps = batch.column("fp").to_numpy().view(np.uint64)
-            for t, fp, i in zip(ts, fps, ids):
-                values, few = masks[t]
+            for t, fp, i in zip(ts.tolist(), fps, ids):
+                if t not in flips:
+                    flips[t] = _flips(~masks[t] & (1 << 64) - 1, distance)
+                values, few = flips[t]
                 columns = [
-                    pa.array(np.full(len(values), t, np.int8)),
+                    pa.array(np.full(len(values), t, np.int16)),
                     pa.array((values ^ fp).view(np.int64)),
                     pa.array(np.full(len(values), i)),
                     pa.array(few),
@@ -192,8 +195,8 @@ def links(distinct: DataFrame, compared: int = COMPARED) -> DataFrame:
     ordered = met.filter(F.col("n") <= compared).repartition("t", "key").sortWithinPartitions("t", "key", "fp")
     small = ordered.select("t", "key", "fp", "id").mapInArrow(compare, "u long, v long")
     crowded = met.filter(F.col("n") > compared)
-    flipped = crowded.select("t", "fp", "id").mapInArrow(flip, "t tinyint, value long, id long, few boolean")
-    # A value has few members: all differ from it in at most two of the free bits.
+    flipped = crowded.select("t", "fp", "id").mapInArrow(flip, "t smallint, value long, id long, few boolean")
+    # A value has few members: all differ from it in at most half the distance.
     centred = flipped.groupBy("t", "value").agg(
         F.min(F.when(F.col("few"), F.col("id"))).alias("u"), F.collect_set("id").alias("members")
     )
@@ -202,21 +205,34 @@ def links(distinct: DataFrame, compared: int = COMPARED) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, compared: int = COMPARED
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    width: int = 3,
+    distance: int = DISTANCE,
+    blocks: int = BLOCKS,
+    compared: int = COMPARED,
 ) -> DataFrame:
     """id, fp and component_id, the smallest id that can be reached over links, for every row."""
     found = fingerprints(docs, id_col, text_col, width)
     distinct = materialize(found.groupBy("fp").agg(F.min("id").alias("id")), "distinct-fingerprints")
-    roots = connected_components(links(distinct.filter("id is not null"), compared))
+    roots = connected_components(links(distinct.filter("id is not null"), distance, blocks, compared))
     named = distinct.join(roots.withColumnRenamed("node", "id"), "id", "left")
     component = F.coalesce("root", "id").alias("component_id")
     classes = named.select("fp", component)
     return found.join(classes, "fp", "left").select("id", "fp", "component_id")
 
 
-def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
+def representatives(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    width: int = 3,
+    distance: int = DISTANCE,
+    blocks: int = BLOCKS,
+) -> DataFrame:
     """The rows of the smallest id of each component, and those without an id, with all their columns."""
-    found = near_duplicates(docs, id_col, text_col, width)
+    found = near_duplicates(docs, id_col, text_col, width, distance, blocks)
     kept = found.filter("id = component_id").select(F.col("id").alias("_tw_id")).distinct()
     same = docs[id_col].cast("long") == kept["_tw_id"]
     without = docs.filter(F.col(id_col).isNull())
