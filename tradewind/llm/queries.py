@@ -5,8 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tradewind.llm import shards, token_files
+from tradewind.llm import shards, token_files, warc
 from tradewind.llm.exact import ExactDuplicates
+from tradewind.llm.language import identify
 from tradewind.llm.packing import pack
 from tradewind.llm.quality import judged
 from tradewind.llm.repeats import removal_report
@@ -29,6 +30,17 @@ def token_output(spark: SparkSession, folder: str) -> DataFrame:
     return read_back.withColumnRenamed("id", "doc_id")
 
 
+def archives(spark: SparkSession, folder: str) -> DataFrame:
+    pages = spark.read.parquet(f"{folder}/pages.parquet")
+    return warc.round_trip(pages, least_bytes=0, with_payload=False).select(
+        F.col("metadata.page_id").alias("page_id"),
+        F.col("response.payload_bytes").alias("payload_bytes"),
+        F.col("response.payload_digest").alias("payload_digest"),
+        F.col("response.kind").alias("record_type"),
+        F.col("response.refers_to").alias("refers_to"),
+    )
+
+
 def quality(spark: SparkSession, folder: str) -> DataFrame:
     found = judged(spark.read.parquet(f"{folder}/documents.parquet"))
     return found.select(
@@ -49,6 +61,11 @@ def simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def language(spark: SparkSession, folder: str) -> DataFrame:
+    found = identify(spark.read.parquet(f"{folder}/documents.parquet"))
+    return found.select(F.col("id").alias("doc_id"), "held_out", "lang_pred", "score", "rejected")
+
+
 def sharding(spark: SparkSession, folder: str) -> DataFrame:
     placed = shards.with_slots(shards.assign(_documents(spark, folder), 40))
     return placed.select(
@@ -63,9 +80,11 @@ def suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_packing": packing,
     "op2_token_files": token_output,
+    "op3_warc": archives,
     "op4_quality_rules": quality,
     "op6_exact_dedup": exact,
     "op7_simhash": simhash,
+    "op8_language_id": language,
     "op9_sharding": sharding,
     "op10_suffix_dedup": suffix_dedup,
 }

@@ -3,7 +3,8 @@
 Every window of ``LENGTH`` bytes is assigned the smallest-hashed ``GRAM``-byte string inside it (the
 leftmost of equals), its anchor. The choice depends on the window's bytes alone, so equal windows
 have equal anchors and meet in the bucket of that gram; about one position in 35 is an anchor,
-and only those travel. Anchors met once can't carry a repeat and are dropped.
+and only those travel. Every window holds its anchor and at least GRAM bytes more on one side of it,
+so an anchor goes on only if its gram, refined by the gram after or the one before, is met again.
 
 For the rest the windows themselves meet, bucket by bucket. Their buckets start from the
 gram at the window's start and are refined by sorting on the identifiers of the grams at later
@@ -48,10 +49,10 @@ FACTOR = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xD6E8FEB86659FD93)
 
 
-def gram_hashes(data: np.ndarray) -> np.ndarray:
-    """Rolling hash of the GRAM bytes at each position, by doubling; GRAM is a power of two."""
+def gram_hashes(data: np.ndarray, gram: int = GRAM) -> np.ndarray:
+    """Rolling hash of the ``gram`` bytes at each position, by doubling; ``gram`` is a power of two."""
     hashes, factor, width = data.astype(np.uint64) + np.uint64(1), np.array([FACTOR]), 1
-    while width < GRAM:
+    while width < gram:
         hashes = hashes[:-width] * factor + hashes[width:]
         factor, width = factor * factor, 2 * width
     hashes ^= hashes >> np.uint64(32)
@@ -59,6 +60,15 @@ def gram_hashes(data: np.ndarray) -> np.ndarray:
     return hashes | np.uint64(1)
 
 
+def _both_sides(data: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """32-bit hashes of the grams at ``places`` with the bytes after (high half) and before them (low half)."""
+    wide = gram_hashes(data, 2 * GRAM)
+    after = wide[np.minimum(places, len(wide) - 1)]
+    before = wide[np.maximum(places - GRAM, 0)]
+    half = np.uint64(32)
+    return (after >> half << half) | (before >> half)
+
+
 def _slide(values: np.ndarray, width: int, best: np.ufunc) -> np.ndarray:
     """The best of each ``width`` neighbours, by doubling."""
     reach = 1
@@ -126,7 +136,7 @@ def _side_by_side(parts: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, ...]
 
 
 def _anchor_rows(docs: DataFrame) -> DataFrame:
-    """(gram, id, spot): spot is the first window the anchor stands for, times 128, plus how many follow it."""
+    """(gram, sides, id, spot): spot is the first window the anchor stands for, times 128, plus how many follow it."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -138,11 +148,24 @@ def _anchor_rows(docs: DataFrame) -> DataFrame:
                 last = np.minimum(last, places[part] + lengths[part] - LENGTH)
                 some = first <= last
                 part, first, last = part[some], first[some], last[some]
+                sides = _both_sides(data, chosen[some]).view(np.int64)
                 spot = ((first - places[part] + begins[part]) << 7) | (last - first)
-                columns = [pa.array(gram[some].view(np.int64)), pa.array(ids[index[part]]), pa.array(spot)]
-                yield pa.RecordBatch.from_arrays(columns, names=["gram", "id", "spot"])
+                columns = [gram[some].view(np.int64), sides, ids[index[part]], spot]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], names=["gram", "sides", "id", "spot"])
+
+    return docs.select("id", "text").mapInArrow(find, "gram long, sides long, id long, spot long")
+
+
+def _met_again(anchor_rows: DataFrame) -> DataFrame:
+    """(gram, id, spot, n) of the anchors whose gram and one side are met more than once; n is the gram's number."""
+
+    def met(*key: str | Column) -> Column:
+        return F.count("*").over(Window.partitionBy("gram", *key))
 
-    return docs.select("id", "text").mapInArrow(find, "gram long, id long, spot long")
+    repeated = anchor_rows.withColumn("n", met()).filter("n > 1")
+    after, before = F.shiftright("sides", 32), F.col("sides").bitwiseAND(0xFFFFFFFF)
+    refined = repeated.withColumn("after", met(after)).withColumn("before", met(before))
+    return refined.filter("after > 1 or before > 1").select("gram", "id", "spot", "n")
 
 
 def _contexts(docs: DataFrame, met: DataFrame) -> DataFrame:
@@ -287,8 +310,7 @@ def _identity(id_col: str, text_col: str) -> list[Column]:
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, spans): every covered stretch of bytes of the texts under an id, as (twin, begin, end), unmerged."""
     source = _source(docs, id_col, text_col)
-    counted = F.count("*").over(Window.partitionBy("gram"))
-    met = stored(_anchor_rows(source).withColumn("n", counted).filter("n > 1"), "anchors")
+    met = stored(_met_again(_anchor_rows(source)), "anchors")
     crowded = met.filter(F.col("n") > CROWD)
     spans = _repeats(_contexts(source, met.filter(F.col("n") <= CROWD)), survivors=False)
     if not crowded.isEmpty():
