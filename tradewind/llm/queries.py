@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tradewind.llm import shards, token_files, warc
+from tradewind.llm import pieces, shards, token_files, warc
 from tradewind.llm.exact import ExactDuplicates
 from tradewind.llm.language import identify
 from tradewind.llm.packing import pack
@@ -14,6 +14,7 @@ from tradewind.llm.repeats import removal_report
 from tradewind.llm.simhash import near_duplicates
 
 WORD_BPE = "word_bpe_49k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -49,6 +50,14 @@ def quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """The bytes the ids decode to are given by their number and crc32."""
+    encoded = pieces.encode(_documents(spark, folder), public_tokenizers.path(PIECES), with_ids=False)
+    data = F.col("decoded").cast("binary")
+    decoded = [F.octet_length(data).cast("long").alias("decoded_bytes"), F.crc32(data).alias("decoded_crc32")]
+    return encoded.select(F.col("id").alias("doc_id"), "n_pieces", "ids_crc32", *decoded)
+
+
 def exact(spark: SparkSession, folder: str) -> DataFrame:
     found = ExactDuplicates(_documents(spark, folder)).membership()
     return found.select(
@@ -82,6 +91,7 @@ QUERIES = {
     "op2_token_files": token_output,
     "op3_warc": archives,
     "op4_quality_rules": quality,
+    "op5_sentencepiece": sentencepiece,
     "op6_exact_dedup": exact,
     "op7_simhash": simhash,
     "op8_language_id": language,
