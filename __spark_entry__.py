@@ -152,7 +152,8 @@ class Tables:
 
     @cached_property
     def risks(self) -> DataFrame:
-        return self.marts["risk_register"]
+        orders_stored = self.warehouse.replacing(fact_orders=lambda: self.stored_orders)
+        return m.build_marts(orders_stored, S)["risk_register"]
 
     @cached_property
     def marts(self) -> Frames:
@@ -196,11 +197,10 @@ def _plain(df: DataFrame) -> DataFrame:
 QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     # sources and sinks
     "stage_tables": lambda t: row_counts(t.staged),
-    "row_counts": lambda t: row_counts(t.stored_warehouse),
+    "row_counts": lambda t: row_counts(t.warehouse),
     "mart_row_counts": lambda t: row_counts(t.marts),
     "dashboard_payload": lambda t: t.payload,
     # warehouse
-    "dim_date": lambda t: t.warehouse["dim_date"],
     "dim_customers": lambda t: t.warehouse["dim_customers"],
     "geo_zip_centroid": lambda t: w.geo_zip_centroid(t.staged["geolocation"]),
     "dim_sellers": lambda t: t.warehouse["dim_sellers"],
@@ -233,9 +233,9 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "quality_summary": lambda t: summary(t.quality),
     # reports
     "kpi_summary": lambda t: t.kpi,
-    "repeat_purchase": lambda t: r.repeat_purchase(t.rfm),
-    "repeat_revenue_share": lambda t: r.repeat_revenue_share(t.rfm),
-    "churn_pct": lambda t: r.churn_pct(r.repeat_purchase(t.rfm)),
+    "repeat_purchase": lambda t: r.repeat_purchase(t.history),
+    "repeat_revenue_share": lambda t: r.repeat_revenue_share(t.history),
+    "churn_pct": lambda t: r.churn_pct(r.repeat_purchase(t.history)),
     "segment_share": lambda t: r.segment_share(t.rfm),
     "segment_share_spend": lambda t: r.segment_share_spend(t.rfm),
     "segment_summary": lambda t: r.segment_summary(t.rfm),

@@ -27,7 +27,7 @@ TABLES = {
     "raw_customers": """
         select o_orderkey as customer_id,
                case when o_orderkey % 3 = 0 then o_custkey else 1000000 + o_orderkey end as person,
-               (o_custkey % 500)::int as zip, 'CITY_' || (o_orderkey % 40) as city, n_name as state
+               (o_custkey % 510)::int as zip, 'CITY_' || (o_orderkey % 40) as city, n_name as state
         from orders join customer on c_custkey = o_custkey join nation on n_nationkey = c_nationkey""",
     "raw_items": """
         select l_orderkey as order_id, l_linenumber as order_item_id, l_partkey as product_id,
@@ -45,7 +45,7 @@ TABLES = {
                case event_id % 5 when 0 then null when 1 then '' else props end as message
         from events""",
     "raw_sellers": """
-        select s_suppkey as seller_id, (s_suppkey % 500)::int as zip,
+        select s_suppkey as seller_id, (s_suppkey % 510)::int as zip,
                'CITY_' || (s_suppkey % 40) as city,
                'NATION_' || (case when s_nationkey < 20 then s_nationkey else s_nationkey - 20 end) as state
         from supplier""",
@@ -57,12 +57,12 @@ TABLES = {
                (p_partkey % 7 + 1)::int as width_cm
         from part""",
     "raw_geo": """
-        select (c_custkey % 500)::int as zip, -30.0::double + c_nationkey + (c_custkey % 7) * 0.01::double as lat,
+        select (c_custkey % 500)::int as zip, ('-' || (29 - c_nationkey) || '.' || lpad((c_custkey * 123456789 % 1000000000000)::varchar, 12, '0'))::double as lat,
                -70.0::double + c_nationkey as lng
-        from customer where c_custkey % 500 < 490""",
+        from customer""",
     "raw_translation": """
-        select distinct p_type as category_pt, lower(p_type) || '_goods' as category_en
-        from part where p_type <> 'PROMO'""",
+        select distinct p_type as category_pt, case when p_type <> 'PROMO' then lower(p_type) || '_goods' end as category_en
+        from part""",
     # -------------------------------------------------------------- warehouse
     "dim_date": """
         select (year(d) * 10000 + month(d) * 100 + day(d))::int as date_key, d as date,

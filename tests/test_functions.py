@@ -74,6 +74,34 @@ def test_bands(spark):
     assert falling == [1, 2, 4, 5]
 
 
+def test_title_case_follows_anything_but_a_letter(spark):
+    assert value_of(spark, labels.title_label(F.lit("home-appliances_2nd o'neil ÉTÉ"))) == "Home-Appliances 2Nd O'Neil Été"
+
+
+def sum_of(spark, values, function=numeric.exact_sum):
+    return spark.createDataFrame([(v,) for v in values], "x double").agg(function(F.col("x"))).first()[0]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_sums_lose_nothing(spark, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        assert sum_of(spark, [0.00004, 0.00004]) == 0.00008
+        assert sum_of(spark, [1e-6, 1.1e-5, 1e-3]) == 0.001012
+        assert sum_of(spark, [2e14, 1.0]) == 2e14 + 1
+        assert sum_of(spark, [1e15, 0.25, None]) == 1e15 + 0.25
+        assert sum_of(spark, [1e25, 1.0]) == 1e25
+        assert sum_of(spark, [9e19] * 4) == 3.6e20
+        assert sum_of(spark, [1.0, float("inf")]) == float("inf")
+        assert str(sum_of(spark, [1.0, float("nan")])) == "nan"
+        assert sum_of(spark, [None, None]) is None
+        assert sum_of(spark, [-23.123456789012, -23.123456789012], numeric.exact_avg) == -23.123456789012
+        assert sum_of(spark, [1e-6, 2e-6, 3e-6], numeric.exact_avg) == 2e-6
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
 def test_labels_and_levels(spark):
     assert value_of(spark, labels.title_label(F.lit("bed_bath_table"))) == "Bed Bath Table"
     assert [value_of(spark, labels.level_score(F.lit(v))) for v in ("High", "Medium", "Low", "other")] == [3, 2, 1, 1]

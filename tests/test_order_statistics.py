@@ -62,3 +62,18 @@ def test_quantiles_equal_sql(spark, n):
         "select quantile_cont(v, 0.25), quantile_cont(v, 0.75) from (select unnest(?::double[]) v)", [values]
     ).fetchone()
     assert tuple(exact_quantiles(df, "x", [0.25, 0.75])) == expected
+
+
+def test_big_integers_keep_their_order(spark):
+    big = 2**53
+    df = spark.createDataFrame([(0, big + 1), (1, big), (2, big + 3), (3, None)], "id int, x bigint")
+    tiles = {r["id"]: r["tile"] for r in with_ntiles(df, {"tile": F.col("x")}, "id", 4).collect()}
+    assert tiles == {1: 1, 0: 2, 2: 3, 3: 4}
+
+
+def test_quantiles_with_values_that_are_no_numbers(spark):
+    inf = float("inf")
+    df = spark.createDataFrame([(v,) for v in (-inf, 1.0, 2.0, inf)], "x double")
+    assert exact_quantiles(df, "x", [0.0, 0.5, 1.0]) == [-inf, 1.5, inf]
+    (low, high) = exact_quantiles(spark.createDataFrame([(1.0,), (float("nan"),)], "x double"), "x", [0.0, 1.0])
+    assert low == 1.0 and high != high

@@ -1,3 +1,8 @@
+import math
+import statistics
+
+import pytest
+
 from tradewind.operators.outliers import iqr_outliers
 
 
@@ -40,3 +45,26 @@ def test_fences_reach_the_scan(spark, tmp_path):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(x" in plan and "LessThan(x" in plan
     assert [r["x"] for r in found.collect()] == [1e6]
+
+
+def test_small_scales_keep_their_digits(spark):
+    values = [i * 1e-6 for i in range(1, 12)] + [1e-3]
+    (found,) = iqr_outliers(frame(spark, values), "x", "high", "low").collect()
+    mean = math.fsum(values) / 12
+    assert found["mean"] == pytest.approx(mean, rel=1e-12)
+    assert found["std"] == pytest.approx(statistics.stdev(values), rel=1e-9)
+
+
+def test_the_deviation_does_not_depend_on_the_order_of_rows(spark):
+    values = [math.sin(i) * 1e3 for i in range(500)] + [1e5]
+    one, other = (
+        iqr_outliers(frame(spark, v).repartition(n), "x", "high", "low").first() for v, n in ((values, 1), (values[::-1], 7))
+    )
+    assert one["std"] == other["std"] and one["mean"] == other["mean"]
+
+
+def test_values_that_are_no_numbers_do_not_break_it(spark):
+    values = [1.0, 2.0, 3.0, 4.0, 5.0]
+    assert iqr_outliers(frame(spark, values + [math.nan] * 3), "x", "high", "low").count() >= 0
+    found = iqr_outliers(frame(spark, values + [math.inf]), "x", "high", "low").collect()
+    assert [r["x"] for r in found] == [math.inf]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tradewind import Settings, run_pipeline
 from tradewind.operators.quality import all_passed
-from tradewind.operators.scratch import materialize, scratch_root
+from tradewind.operators.scratch import materialize, scratch_root, scratch_scope
 from tradewind.sources.raw import RAW_SCHEMAS, read_csv_folder, read_database, read_parquet_folder, stage
 from tradewind.sources.retail import RETAIL_SETTINGS, marketplace_tables
 from tradewind.sources.sink import ensure_database, row_counts, write_table
@@ -132,3 +132,39 @@ def test_scratch_follows_the_session(spark):
     assert stored.count() == 10
     folder = scratch_root(spark).removeprefix("file:").lstrip("/")
     assert stored.inputFiles()[0].removeprefix("file:").lstrip("/").startswith(folder + "/tradewind/test-")
+
+
+def test_scratch_tables_go_with_their_scope(spark):
+    with scratch_scope(spark):
+        path = materialize(spark.range(3), "scoped").inputFiles()[0].removeprefix("file:").replace("///", "/")
+        assert os.path.exists(path)
+    assert not os.path.exists(path)
+
+
+def test_a_pipeline_run_leaves_no_scratch_tables(spark, databases):
+    folder = scratch_root(spark).removeprefix("file:").replace("///", "/") + "/tradewind"
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    run_pipeline(spark, marketplace_tables(spark, FOLDER), *databases, settings=RETAIL_SETTINGS, buckets=3)
+    assert set(os.listdir(folder)) <= before
+
+
+def test_buckets_are_one_file_each(spark, databases):
+    ensure_database(spark, databases[0])
+    stored = write_table(spark.range(1000).repartition(9), databases[0], "b", bucket_by="id", buckets=6)
+    assert len(stored.inputFiles()) == 6 and stored.count() == 1000
+
+
+def test_a_failed_check_can_stop_the_pipeline(spark, databases):
+    raw = marketplace_tables(spark, FOLDER)
+    with pytest.raises(ValueError, match="checks failed"):
+        run_pipeline(spark, raw, *databases, settings=RETAIL_SETTINGS, stop_on_failed_checks=True)
+
+
+@pytest.mark.parametrize("row", ["o1,abc,x,s,2018-01-08 00:00:00,90.00,10.00", "o1,1,x,s,2018-01-08 00:00:00,90.00"])
+def test_a_bad_row_stops_the_load(spark, tmp_path, row):
+    head = CSV["order_items"].split("\n")[0]
+    (tmp_path / "order_items.csv").write_text(f"{head}\n{row}\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_csv_folder(spark, str(tmp_path))["order_items"].collect()
+    lenient = read_csv_folder(spark, str(tmp_path), mode="PERMISSIVE")["order_items"]
+    assert lenient.count() == 1

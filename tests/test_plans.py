@@ -4,7 +4,14 @@ import re
 
 import pytest
 
+from pyspark.sql import functions as F
+
 import __spark_entry__ as entry
+from tradewind.plans.marts import orders_of_sales_years
+from tradewind.plans.warehouse import build_warehouse
+from tradewind.sources.raw import stage
+from tradewind.sources.retail import RETAIL_SETTINGS as S
+from tradewind.sources.retail import marketplace_tables
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -62,6 +69,53 @@ def test_outliers_are_filtered_in_one_scan_of_the_stored_orders(plans):
     assert "Exchange" not in text and text.count("FileScan") == 1 and "DataFilters: [isnotnull" in text
 
 
-def test_sales_years_reach_the_fact_before_the_join(plans):
-    text = plans("monthly_sales")
+def test_sales_years_reach_the_fact_before_the_join(spark):
+    tables = entry.Tables(spark, FOLDER)
+    text = plan(orders_of_sales_years(tables.warehouse["fact_orders"], tables.warehouse["dim_date"], S))
     assert "19970101" in text and "19981231" in text and "BroadcastHashJoin" in text
+
+
+@pytest.mark.parametrize("name", ["monthly_sales", "category_performance", "kpi_summary"])
+def test_distinct_counts_copy_no_rows(plans, name):
+    assert "Expand" not in plans(name)
+
+
+def test_the_histogram_reads_counted_payments(plans):
+    text = plans("payment_histogram")
+    assert "l_extendedprice" not in text and "SortMergeJoin" not in text
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("name", ["fact_orders", "fact_order_items", "category_performance", "delivery_by_state"])
+def test_large_joins_are_shuffles_or_fixed_size_broadcasts(spark, no_broadcast, name):
+    text = plan(entry.queries()[name](spark, FOLDER))
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+def test_a_hot_order_is_split(spark, no_broadcast):
+    settings = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    staged = stage(marketplace_tables(spark, FOLDER))
+    hot = F.when(F.col("order_item_id") % 3 == 0, F.lit(1)).otherwise(F.col("order_id"))
+    items = staged["order_items"].withColumn("order_id", hot).repartition(8)
+    skewed = staged.replacing(order_items=lambda: items)
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        built = build_warehouse(skewed, spark, S)["fact_order_items"]
+        built.collect()
+        assert "skew=true" in plan(built)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)

@@ -42,8 +42,10 @@ LEVEL_SCORES = {"Low": 1, "Medium": 2, "High": 3}
 
 
 def title_label(value: Column) -> Column:
-    """'bed_bath_table' -> 'Bed Bath Table'."""
-    return F.initcap(F.replace(value, F.lit("_"), F.lit(" ")))
+    """'bed_bath_table' -> 'Bed Bath Table'; a capital follows anything but a letter."""
+    mark = "\x01 "  # initcap wants a blank before a capital
+    parted = F.regexp_replace(F.replace(value, F.lit("_"), F.lit(" ")), r"([^\p{L}])(\p{L})", f"$1{mark}$2")
+    return F.replace(F.initcap(parted), F.lit(mark), F.lit(""))
 
 
 def level_score(level: Column) -> Column:

@@ -1,21 +1,18 @@
 """Rounding, order-independent sums and safe ratios.
 
 Sums of doubles depend on the order in which partitions are merged, so the same
-job can differ in the last bit from run to run. Sums and means here add whole
-units of the last decimal place instead and turn the total into a double once, at
-the end.
+job can differ in the last bit from run to run. Sums and means here add decimals
+instead and turn the total into a double once, at the end.
 """
 
 from __future__ import annotations
 
-from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
-# Decimal places that hold money, freight and four-digit ratios without loss.
-PLACES = 4
-COORDINATE_PLACES = 12
+# What sums add: 18 decimals of a double's shortest text, up to 20 digits before the point.
+EXACT = "decimal(38,18)"
 
 
 def round_half_away(value: Column, digits: int = 0) -> Column:
@@ -34,22 +31,21 @@ def round_half_even(value: Column, digits: int = 0) -> Column:
     return F.rint(value.cast("double") * factor) / factor
 
 
-def _units(value: Column, places: int) -> Column:
-    return F.rint(value.cast("double") * float(10**places)).cast("bigint")
+def exact_sum(value: Column) -> Column:
+    """Sum of doubles that no order of adding changes.
 
-
-def exact_sum(value: Column, places: int = PLACES) -> Column:
-    """Sum of doubles to a fixed number of decimals.
-
-    The total has 28 digits, as even one order or customer may hold much of a table.
+    Where a value is beyond 20 digits, NaN or infinite, or the total is too large, the plain
+    sum of doubles takes its place, in either ANSI mode: no value is left out.
     """
-    total = F.sum(_units(value, places).cast("decimal(18,0)"))
-    return (total * F.lit(Decimal(1).scaleb(-places))).cast("double")
+    number = value.cast("double")
+    exact = number.try_cast(EXACT)
+    complete = F.count(exact) == F.count(number)
+    return F.coalesce(F.when(complete, F.try_sum(exact).cast("double")), F.sum(number))
 
 
-def exact_avg(value: Column, places: int = PLACES) -> Column:
+def exact_avg(value: Column) -> Column:
     """Mean of the non-null values; NULL when there are none."""
-    return safe_ratio(exact_sum(value, places), F.count(value))
+    return safe_ratio(exact_sum(value), F.count(value))
 
 
 def exact_avg_of_scores(value: Column) -> Column:

@@ -11,10 +11,11 @@ from __future__ import annotations
 import math
 from collections import defaultdict
 from collections.abc import Callable
+from decimal import Decimal
 from fractions import Fraction
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row, Window, functions as F
+from pyspark.sql import Column, DataFrame, Row, Window, functions as F, types as T
 
 from tradewind.operators.scratch import materialize
 
@@ -89,7 +90,7 @@ def order_statistics(
 
 
 def exact_quantiles(df: DataFrame, column: str, probabilities: list[float]) -> list[float | None]:
-    """Interpolated quantiles of the non-null values of a column, exact at any size."""
+    """Interpolated quantiles of the non-null values of a column, exact at any size. NaN stands above all numbers."""
     histogram = (
         df.filter(F.col(column).isNotNull())
         .groupBy(F.col(column).cast("double").alias("value"))
@@ -111,6 +112,10 @@ def exact_quantiles(df: DataFrame, column: str, probabilities: list[float]) -> l
 def _interpolate(at: dict[int, Row], rank: float) -> float:
     low, high = at[math.floor(rank)]["value"], at[math.ceil(rank)]["value"]
     share = rank - math.floor(rank)
+    if low == high or not share:
+        return low
+    if not (math.isfinite(low) and math.isfinite(high)):
+        return low * (1 - share) + high * share
     # One rounding for the low term and the sum together (a fused multiply-add).
     return float(Fraction(low) * Fraction(1 - share) + Fraction(high * share))
 
@@ -125,13 +130,13 @@ def ntile_starts(n: int, tiles: int) -> list[int]:
 def with_ntiles(df: DataFrame, scores: dict[str, Column], tie: str, tiles: int) -> DataFrame:
     """Add one ``NTILE(tiles) OVER (ORDER BY score, tie)`` column per score.
 
-    Each score is a numeric expression, ascending; NULL and NaN come last. ``tie`` must be
+    Each score is a numeric expression, ascending; NULL and NaN come last. Whole and decimal scores
+    are compared as decimals, others as doubles. ``tie`` must be
     unique per row, so that the tiles are reproducible. Only (score, tie) pairs are shuffled;
     the tiles are then read off by comparing each row with the few cut rows, inside the
     scan of ``df``. ``df`` is read twice: pass a materialized frame.
     """
-    # NaN sorts above every number.
-    values = {name: F.coalesce(score.cast("double"), F.lit(float("nan"))) for name, score in scores.items()}
+    values = {name: F.coalesce(*value) for name, value in _comparable(df, scores).items()}
     names = list(scores)
     stacked = df.select(
         F.col(tie).alias("tie"), F.posexplode(F.array(*values.values())).alias("series", "value")
@@ -149,3 +154,17 @@ def with_ntiles(df: DataFrame, scores: dict[str, Column], tie: str, tiles: int)
         return reduce(lambda a, b: a + b, [passed.cast("int") for passed in reached], F.lit(1))
 
     return df.withColumns({name: tile(name) for name in names})
+
+
+def _comparable(df: DataFrame, scores: dict[str, Column]) -> dict[str, tuple[Column, Column]]:
+    """Each score in one type for all of them, and what stands for NULL: the largest value of that type."""
+    types = [f.dataType for f in df.select(*[score.alias(name) for name, score in scores.items()]).schema]
+    if all(isinstance(t, (T.IntegralType, T.DecimalType)) for t in types):
+        scale = max(getattr(t, "scale", 0) for t in types)
+        digits = max(getattr(t, "precision", 19) - getattr(t, "scale", 0) for t in types)
+        if digits + scale < 38:
+            kind = T.DecimalType(38, scale)
+            last = F.lit(Decimal(10 ** (38 - scale) - 1)).cast(kind)
+            return {name: (score.cast(kind), last) for name, score in scores.items()}
+    # NaN sorts above every number.
+    return {name: (score.cast("double"), F.lit(float("nan"))) for name, score in scores.items()}

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import math
 
-from tradewind.functions.numeric import exact_avg, round_half_away, safe_ratio
+from pyspark.sql import Column, DataFrame, Row, functions as F
+
+from tradewind.functions.numeric import exact_avg, exact_sum, round_half_away, safe_ratio
 from tradewind.operators.order_statistics import exact_quantiles
 
 
@@ -15,15 +17,15 @@ def iqr_outliers(
 
     Adds q1, q3, iqr, lower_fence, upper_fence, mean, std, n (unrounded, the same on every
     row), outlier_flag and z_score (2 decimals). The fences are constants by the time
-    the rows are read, so the filter reaches the scan. ``df`` is read three times: pass a
+    the rows are read, so the filter reaches the scan. ``df`` is read four times: pass a
     table or a materialized frame.
     """
     q1, q3 = exact_quantiles(df, column, [0.25, 0.75])
+    number = F.col(column).cast("double")
     stats = df.agg(
-        exact_avg(F.col(column)).alias("mean"),
-        F.stddev_samp(F.col(column).cast("double")).alias("std"),
-        F.count(column).alias("n"),
+        exact_avg(number).alias("mean"), F.min(number).alias("least"), F.max(number).alias("most"), F.count(number).alias("n")
     ).first()
+    std = _deviation(df, number, stats)
 
     iqr = None if q1 is None else q3 - q1
     low = None if iqr is None else q1 - k * iqr
@@ -41,10 +43,24 @@ def iqr_outliers(
         constant(low).alias("lower_fence"),
         constant(high).alias("upper_fence"),
         constant(stats["mean"]).alias("mean"),
-        constant(stats["std"]).alias("std"),
+        constant(std).alias("std"),
         F.lit(stats["n"]).cast("bigint").alias("n"),
         F.when(value > constant(high), high_label).otherwise(low_label).alias("outlier_flag"),
         round_half_away(
-            safe_ratio(value.cast("double") - constant(stats["mean"]), constant(stats["std"])), 2
+            safe_ratio(value.cast("double") - constant(stats["mean"]), constant(std)), 2
         ).alias("z_score"),
     )
+
+
+def _deviation(df: DataFrame, number: Column, stats: Row) -> float | None:
+    """Sample standard deviation from exactly added squares, so that no order of rows changes it."""
+    if stats["n"] < 2:
+        return None
+    spread = max(stats["most"] - stats["mean"], stats["mean"] - stats["least"])
+    if spread == 0 or not math.isfinite(spread):
+        return 0.0 if spread == 0 else math.nan
+    # In units of about the largest deviation, a power of two, squares keep their digits whatever the column's scale.
+    unit = 2.0 ** math.frexp(spread)[1]
+    off = (number - F.lit(stats["mean"])) / F.lit(unit)
+    total = df.agg(exact_sum(off * off).alias("total")).first()["total"]
+    return unit * math.sqrt(total / (stats["n"] - 1))

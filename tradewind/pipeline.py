@@ -7,9 +7,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tradewind.operators.quality import all_passed
+from tradewind.operators.scratch import materialize, scratch_scope
 from tradewind.plans.checks import quality_report
 from tradewind.plans.marts import build_marts, risk_register
-from tradewind.plans.warehouse import build_warehouse, fact_order_items
+from tradewind.plans.warehouse import ORDER_ATTRIBUTES, build_warehouse, fact_order_items, geo_zip_centroid
 from tradewind.settings import Settings
 from tradewind.sources.raw import stage
 from tradewind.sources.sink import ensure_database, write_table
@@ -29,19 +31,24 @@ def store_warehouse(
     settings: Settings = Settings(),
     buckets: int = 0,
 ) -> dict[str, DataFrame]:
-    """Build the six warehouse tables and store each; the item fact reads the stored order fact.
+    """Build the six warehouse tables and store each; the item fact reads a stored order fact.
 
-    With ``buckets`` both facts are bucketed by order, which spares their joins a shuffle.
+    With ``buckets`` both facts are bucketed by order, which spares later joins a shuffle. The item
+    join itself reads an unbucketed copy: its tasks don't depend on the number of buckets.
     """
     ensure_database(spark, database)
     staged = stage(raw)
     stored = {}
-    built = build_warehouse(staged, spark, settings)
+    centroids = materialize(geo_zip_centroid(staged["geolocation"]), "centroids")
+    built = build_warehouse(staged, spark, settings, centroids)
     for name in ("dim_date", "dim_customers", "dim_sellers", "dim_products"):
         stored[name] = write_table(built[name], database, name)
     by_order = {"bucket_by": "order_id", "buckets": buckets}
     stored["fact_orders"] = write_table(built["fact_orders"], database, "fact_orders", **by_order)
-    items = fact_order_items(staged["order_items"], stored["fact_orders"])
+    orders = stored["fact_orders"]
+    if buckets:
+        orders = materialize(orders.select(*ORDER_ATTRIBUTES), "order_attributes")
+    items = fact_order_items(staged["order_items"], orders)
     stored["fact_order_items"] = write_table(items, database, "fact_order_items", **by_order)
     return stored
 
@@ -69,8 +76,15 @@ def run_pipeline(
     marts_db: str = "marts",
     settings: Settings = Settings(),
     buckets: int = 0,
+    stop_on_failed_checks: bool = False,
 ) -> Built:
-    warehouse = store_warehouse(spark, raw, warehouse_db, settings, buckets)
-    return Built(
-        warehouse, store_marts(spark, warehouse, marts_db, settings), quality_report(warehouse)
-    )
+    """The whole refresh; scratch tables are gone when it ends.
+
+    With ``stop_on_failed_checks`` the checks run before the marts, and a failed one raises.
+    """
+    with scratch_scope(spark):
+        warehouse = store_warehouse(spark, raw, warehouse_db, settings, buckets)
+        quality = quality_report(warehouse)
+        if stop_on_failed_checks and not all_passed(quality):
+            raise ValueError("data-quality checks failed")
+        return Built(warehouse, store_marts(spark, warehouse, marts_db, settings), quality)

@@ -22,6 +22,7 @@ from tradewind.functions.numeric import (
 from tradewind.lazy import Frames
 from tradewind.operators.order_statistics import with_ntiles
 from tradewind.operators.outliers import iqr_outliers
+from tradewind.operators.distinct import with_distinct_counts
 from tradewind.operators.scratch import materialize
 from tradewind.settings import Settings
 
@@ -198,9 +199,28 @@ def customer_rfm(
 # ---------------------------------------------------------------- sales and delivery
 
 
-def monthly_sales(
-    orders: DataFrame, calendar: DataFrame, settings: Settings = Settings()
-) -> DataFrame:
+# What the sums and distinct counts below read of the facts.
+MONTHLY_COLUMNS = [
+    "order_id",
+    "customer_key",
+    "order_status",
+    "total_payment",
+    "avg_review_score",
+    "delivery_delay_days",
+]
+CATEGORY_COLUMNS = [
+    "order_id",
+    "order_item_id",
+    "seller_key",
+    "price",
+    "freight_ratio",
+    "avg_review_score",
+    "delivery_delay_days",
+]
+
+
+def orders_of_sales_years(orders: DataFrame, calendar: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """Orders that count as sold in the years of the settings, with their month."""
     first, last = settings.first_sales_year, settings.last_sales_year
     key = F.col("purchase_date_key")
     # Implied by the calendar join, stated on the fact so that it can reach its scan.
@@ -211,18 +231,28 @@ def monthly_sales(
     return (
         orders.filter(~_excluded(settings) & in_years)
         .join(days, key == F.col("date_key"))
-        .groupBy("year", "month", "month_name", month_start(F.col("purchased_at")).alias("month_start"))
-        .agg(
-            F.countDistinct("order_id").alias("total_orders"),
-            F.countDistinct("customer_key").alias("unique_customers"),
-            round_half_away(exact_sum(F.col("total_payment")), 2).alias("total_revenue"),
-            round_half_away(exact_avg(F.col("total_payment")), 2).alias("avg_order_value"),
-            round_half_away(exact_avg_of_scores(F.col("avg_review_score")), 2).alias(
-                "avg_review_score"
-            ),
-            count_when(_late()).alias("late_deliveries"),
-            count_when(_delivered(settings)).alias("delivered_orders"),
-        )
+        .withColumn("month_start", month_start(F.col("purchased_at")))
+        .select("year", "month", "month_name", "month_start", *MONTHLY_COLUMNS)
+    )
+
+
+def monthly_sales(
+    orders: DataFrame, calendar: DataFrame, settings: Settings = Settings()
+) -> DataFrame:
+    sold = materialize(orders_of_sales_years(orders, calendar, settings), "sold_orders")
+    keys = ["year", "month", "month_name", "month_start"]
+    summed = sold.groupBy(*keys).agg(
+        round_half_away(exact_sum(F.col("total_payment")), 2).alias("total_revenue"),
+        round_half_away(exact_avg(F.col("total_payment")), 2).alias("avg_order_value"),
+        round_half_away(exact_avg_of_scores(F.col("avg_review_score")), 2).alias(
+            "avg_review_score"
+        ),
+        count_when(_late()).alias("late_deliveries"),
+        count_when(_delivered(settings)).alias("delivered_orders"),
+    )
+    return (
+        with_distinct_counts(summed, sold, keys, total_orders="order_id", unique_customers="customer_key")
+        .select(*keys, "total_orders", "unique_customers", *summed.columns[len(keys):])
         .orderBy("month_start")
     )
 
@@ -230,24 +260,27 @@ def monthly_sales(
 def category_performance(
     items: DataFrame, products: DataFrame, settings: Settings = Settings()
 ) -> DataFrame:
-    return (
+    sold = (
         items.filter(~_excluded(settings))
         .join(products.select("product_key", "category"), "product_key")
-        .groupBy("category")
-        .agg(
-            F.countDistinct("order_id").alias("total_orders"),
-            F.count("order_item_id").alias("units_sold"),
-            round_half_away(exact_sum(F.col("price")), 2).alias("total_revenue"),
-            round_half_away(exact_avg(F.col("price")), 2).alias("avg_price"),
-            round_half_away(exact_avg(F.col("freight_ratio")), 3).alias("avg_freight_ratio"),
-            round_half_away(exact_avg_of_scores(F.col("avg_review_score")), 2).alias(
-                "avg_review_score"
-            ),
-            round_half_away(exact_avg_of_ints(F.col("delivery_delay_days")), 2).alias(
-                "avg_delivery_delay"
-            ),
-            F.countDistinct("seller_key").alias("seller_count"),
-        )
+        .select("category", *CATEGORY_COLUMNS)
+    )
+    sold = materialize(sold, "sold_items")
+    summed = sold.groupBy("category").agg(
+        F.count("order_item_id").alias("units_sold"),
+        round_half_away(exact_sum(F.col("price")), 2).alias("total_revenue"),
+        round_half_away(exact_avg(F.col("price")), 2).alias("avg_price"),
+        round_half_away(exact_avg(F.col("freight_ratio")), 3).alias("avg_freight_ratio"),
+        round_half_away(exact_avg_of_scores(F.col("avg_review_score")), 2).alias(
+            "avg_review_score"
+        ),
+        round_half_away(exact_avg_of_ints(F.col("delivery_delay_days")), 2).alias(
+            "avg_delivery_delay"
+        ),
+    )
+    return (
+        with_distinct_counts(summed, sold, ["category"], total_orders="order_id", seller_count="seller_key")
+        .select("category", "total_orders", *summed.columns[1:], "seller_count")
         .orderBy(F.desc("total_revenue"), "category")
     )
 

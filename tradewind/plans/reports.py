@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tradewind.functions.dates import month_label
 from tradewind.functions.labels import LEVEL_SCORES, level_score, risk_level, title_label
@@ -22,6 +22,7 @@ from tradewind.functions.numeric import (
     round_half_even,
     safe_ratio,
 )
+from tradewind.operators.scratch import materialize
 from tradewind.plans.marts import DELIVERY_BUCKETS
 from tradewind.settings import Settings
 
@@ -33,9 +34,17 @@ SCORES = [1, 2, 3, 4, 5]
 
 def kpi_summary(orders: DataFrame, settings: Settings = Settings()) -> DataFrame:
     delay = exact_avg_of_ints(F.col("delivery_delay_days"))
-    return orders.filter(~F.col("order_status").isin(*settings.excluded_statuses)).agg(
-        F.countDistinct("order_id").alias("total_orders"),
-        F.countDistinct("customer_key").alias("unique_customers"),
+    sold = orders.filter(~F.col("order_status").isin(*settings.excluded_statuses)).select(
+        "order_id", "customer_key", "total_payment", "avg_review_score", "delivery_delay_days"
+    )
+    sold = materialize(sold, "sold_orders")
+
+    def distinct(column: str) -> Column:
+        return sold.select(column).distinct().agg(F.count(column)).scalar()
+
+    return sold.agg(
+        F.first(distinct("order_id")).alias("total_orders"),
+        F.first(distinct("customer_key")).alias("unique_customers"),
         round_half_away(exact_sum(F.col("total_payment")), 0).alias("total_revenue"),
         round_half_away(exact_avg(F.col("total_payment")), 2).alias("avg_order_value"),
         round_half_away(exact_avg_of_scores(F.col("avg_review_score")), 2).alias("avg_review_score"),
@@ -294,6 +303,7 @@ def payment_histogram(orders: DataFrame, settings: Settings = Settings()) -> Dat
         .groupBy("payment")
         .agg(F.count("*").alias("n"))
     )
+    paid = materialize(paid, "payment_counts")
     # One value only: a bin range of one around it, as the plotting library chooses.
     flat = F.min("payment") == F.max("payment")
     span = (
@@ -319,7 +329,7 @@ def payment_histogram(orders: DataFrame, settings: Settings = Settings()) -> Dat
         orders.sparkSession.range(bins)
         .select(F.col("id").alias("bin"), span.alias("span"))
         .filter(low.isNotNull())
-        .join(counted, "bin", "left")
+        .join(F.broadcast(counted), "bin", "left")  # a row per bin
         .select(
             (F.col("bin") + 1).cast("int").alias("bin"),
             edge(F.col("bin")).alias("bin_start"),

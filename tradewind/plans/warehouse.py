@@ -9,13 +9,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tradewind.functions.dates import date_key, lenient_timestamp, weekday_from_sunday
 from tradewind.functions.numeric import (
-    COORDINATE_PLACES,
     exact_avg,
     exact_sum,
     round_half_away,
     safe_ratio,
 )
 from tradewind.lazy import Frames
+from tradewind.operators.scratch import materialize
 from tradewind.settings import Settings
 
 # One row per day: three centuries are still far below any broadcast limit.
@@ -47,8 +47,8 @@ def dim_date(spark: SparkSession, start: date, end: date) -> DataFrame:
 def geo_zip_centroid(geolocation: DataFrame) -> DataFrame:
     """Mean position of every zip prefix."""
     return geolocation.groupBy(F.col("geolocation_zip_code_prefix").alias("zip_code")).agg(
-        exact_avg(F.col("geolocation_lat"), COORDINATE_PLACES).alias("lat"),
-        exact_avg(F.col("geolocation_lng"), COORDINATE_PLACES).alias("lng"),
+        exact_avg(F.col("geolocation_lat")).alias("lat"),
+        exact_avg(F.col("geolocation_lng")).alias("lng"),
     )
 
 
@@ -180,19 +180,23 @@ def fact_orders(
     )
 
 
+# What the item fact takes over from its order.
+ORDER_ATTRIBUTES = [
+    "order_id",
+    "customer_key",
+    "purchase_date_key",
+    "purchased_at",
+    "avg_review_score",
+    "delivery_delay_days",
+    "order_status",
+]
+
+
 def fact_order_items(items: DataFrame, orders: DataFrame) -> DataFrame:
     """One row per order line, with the attributes of its order."""
     gross = F.col("price") + F.col("freight_value")
     return items.join(
-        orders.select(
-            "order_id",
-            "customer_key",
-            "purchase_date_key",
-            "purchased_at",
-            "avg_review_score",
-            "delivery_delay_days",
-            "order_status",
-        ),
+        orders.select(*ORDER_ATTRIBUTES),
         "order_id",
     ).select(
         "order_id",
@@ -213,12 +217,20 @@ def fact_order_items(items: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def build_warehouse(
-    staged: Mapping[str, DataFrame], spark: SparkSession, settings: Settings = Settings()
+    staged: Mapping[str, DataFrame],
+    spark: SparkSession,
+    settings: Settings = Settings(),
+    centroids: DataFrame | None = None,
 ) -> Frames:
-    """The six warehouse tables."""
+    """The six warehouse tables. Pass stored centroids to have them computed once for both dimensions.
+
+    The item fact joins a stored copy of the order columns it needs: both sides of that join
+    are then plain shuffles, which adaptive execution can split where one order holds very
+    many lines.
+    """
 
-    def centroids() -> DataFrame:
-        return geo_zip_centroid(staged["geolocation"])
+    def centroid() -> DataFrame:
+        return geo_zip_centroid(staged["geolocation"]) if centroids is None else centroids
 
     def orders() -> DataFrame:
         return fact_orders(
@@ -228,11 +240,13 @@ def build_warehouse(
     built = Frames(
         {
             "dim_date": lambda: dim_date(spark, settings.calendar_start, settings.calendar_end),
-            "dim_customers": lambda: dim_customers(staged["customers"], centroids()),
-            "dim_sellers": lambda: dim_sellers(staged["sellers"], centroids()),
+            "dim_customers": lambda: dim_customers(staged["customers"], centroid()),
+            "dim_sellers": lambda: dim_sellers(staged["sellers"], centroid()),
             "dim_products": lambda: dim_products(staged["products"], staged["category_translation"]),
             "fact_orders": orders,
-            "fact_order_items": lambda: fact_order_items(staged["order_items"], built["fact_orders"]),
+            "fact_order_items": lambda: fact_order_items(
+                staged["order_items"], materialize(built["fact_orders"].select(*ORDER_ATTRIBUTES), "order_attributes")
+            ),
         }
     )
     return built

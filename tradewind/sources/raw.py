@@ -40,7 +40,9 @@ STAGING_NAMES = {"payments": "order_payments", "reviews": "order_reviews"}
 def read_csv_folder(spark: SparkSession, folder: str, **options) -> Frames:
     """Raw tables from ``folder/<table>.csv``, each a file or a folder of parts with headers.
 
-    Headers are checked against the declared schema; nothing is scanned to infer types. Free text may span lines, so quoted line breaks are honoured by default for the
+    Headers are checked against the declared schema; nothing is scanned to infer types. A value of the
+    wrong type or a row of the wrong length stops the load; ``mode="PERMISSIVE"`` turns it into NULLs.
+    Free text may span lines, so quoted line breaks are honoured by default for the
     reviews table only, as they stop a file from being split.
     """
 
@@ -49,6 +51,7 @@ def read_csv_folder(spark: SparkSession, folder: str, **options) -> Frames:
             "header": True,
             "enforceSchema": False,
             "escape": '"',
+            "mode": "FAILFAST",
             "multiLine": table == "reviews",
             **options,
         }

@@ -90,7 +90,7 @@ def _customers(orders: DataFrame, customer: DataFrame, nation: DataFrame) -> Dat
         .selectExpr(
             "o_orderkey as customer_id",
             "if(o_orderkey % 3 = 0, o_custkey, 1000000 + o_orderkey) as customer_unique_id",
-            "cast(o_custkey % 500 as int) as customer_zip_code_prefix",
+            "cast(o_custkey % 510 as int) as customer_zip_code_prefix",
             "'CITY_' || (o_orderkey % 40) as customer_city",
             "n_name as customer_state",
         )
@@ -129,7 +129,7 @@ def _reviews(events: DataFrame) -> DataFrame:
 def _sellers(supplier: DataFrame) -> DataFrame:
     return supplier.selectExpr(
         "s_suppkey as seller_id",
-        "cast(s_suppkey % 500 as int) as seller_zip_code_prefix",
+        "cast(s_suppkey % 510 as int) as seller_zip_code_prefix",
         "'CITY_' || (s_suppkey % 40) as seller_city",
         "'NATION_' || if(s_nationkey < 20, s_nationkey, s_nationkey - 20) as seller_state",
     )
@@ -150,20 +150,20 @@ def _products(part: DataFrame) -> DataFrame:
 
 
 def _geolocation(customer: DataFrame) -> DataFrame:
-    return customer.filter("c_custkey % 500 < 490").selectExpr(
+    return customer.selectExpr(
         "cast(c_custkey % 500 as int) as geolocation_zip_code_prefix",
-        "-30D + c_nationkey + (c_custkey % 7) * 0.01D as geolocation_lat",
+        """cast('-' || (29 - c_nationkey) || '.' || lpad(cast(c_custkey * 123456789 % 1000000000000 as string), 12, '0')
+           as double) as geolocation_lat""",
         "-70D + c_nationkey as geolocation_lng",
     )
 
 
 def _translation(part: DataFrame) -> DataFrame:
     return (
-        part.filter("p_type <> 'PROMO'")
-        .select("p_type")
+        part.select("p_type")
         .distinct()
         .selectExpr(
             "p_type as product_category_name",
-            "lower(p_type) || '_goods' as product_category_name_english",
+            "if(p_type <> 'PROMO', lower(p_type) || '_goods', null) as product_category_name_english",
         )
     )

@@ -23,8 +23,11 @@ def write_table(
 ) -> DataFrame:
     """Replace ``database.name`` with the rows of ``df`` and return the stored table.
 
-    Tables bucketed on the same key and count join and aggregate on it without a shuffle.
+    Tables bucketed on the same key and count join and aggregate on it without a shuffle; a
+    shuffle before the write makes each bucket one file.
     """
+    if bucket_by and buckets:
+        df = df.repartition(buckets, bucket_by)
     writer = df.write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
