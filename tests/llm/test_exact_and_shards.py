@@ -1,0 +1,73 @@
+import collections
+import hashlib
+import zlib
+
+import pytest
+
+from tradewind.llm import shards
+from tradewind.llm.exact import ExactDuplicates
+
+
+@pytest.mark.parametrize("keep", ["largest", "smallest"])
+@pytest.mark.parametrize("fan_in", [2, 16])
+def test_exact_groups(make_docs, odd_pairs, keep, fan_in):
+    rows = ExactDuplicates(make_docs(odd_pairs).repartition(7), keep=keep, fan_in=fan_in).membership().collect()
+    groups = collections.defaultdict(list)
+    for i, t in odd_pairs:
+        groups[t or ""].append(i)
+    by_digest = {hashlib.sha256(t.encode()).digest(): ids for t, ids in groups.items()}
+    assert len(rows) == len(odd_pairs)
+    kept = collections.Counter(bytes(r["digest"]) for r in rows if r["kept"])
+    assert kept == dict.fromkeys(by_digest, 1)  # one of each group, repeated rows included
+    for r in rows:
+        ids = by_digest[bytes(r["digest"])]
+        known = [i for i in ids if i is not None]
+        best = (max if keep == "largest" else min)(known) if known else None
+        assert (r["group_size"], r["keep_id"]) == (len(ids), best)
+
+
+def test_unique_rows_keep_their_columns(make_docs, odd_pairs):
+    docs = make_docs(odd_pairs)
+    left = ExactDuplicates(docs).unique()
+    assert left.columns == docs.columns
+    assert sorted(r["text"] or "" for r in left.collect()) == sorted({t or "" for _, t in odd_pairs})
+
+
+def test_exact_on_an_empty_table(make_docs):
+    empty = make_docs([])
+    assert ExactDuplicates(empty).membership().count() == 0 and ExactDuplicates(empty).unique().count() == 0
+
+
+def test_sharding_law(make_docs, odd_pairs):
+    rows = shards.with_slots(shards.assign(make_docs(odd_pairs), 5)).collect()
+    texts = dict((i, t) for i, t in odd_pairs if i is not None)
+    assert len(rows) == len(odd_pairs)
+    slots = collections.defaultdict(list)
+    for r in rows:
+        slots[r["shard"]].append(r["slot"])
+        assert r["grown_shard"] in (r["shard"], 5)
+        if r["id"] is not None:
+            data = (texts[r["id"]] or "").encode()
+            assert (r["size"], r["text_crc32"]) == (len(data) + 16, zlib.crc32(data))
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def test_a_further_shard_only_takes_rows_for_itself(spark):
+    docs = spark.range(2000).selectExpr("id as doc_id", "'x' as text")
+    few = {r["id"]: r for r in shards.assign(docs, 8).collect()}
+    more = {r["id"]: r["shard"] for r in shards.assign(docs, 9).collect()}
+    assert all(more[i] == few[i]["grown_shard"] for i in few)
+    moved = [i for i in few if more[i] != few[i]["shard"]]
+    assert all(more[i] == 8 for i in moved) and 150 < len(moved) < 300
+
+
+def test_weights_draw_rows_in_proportion(spark):
+    docs = spark.range(4000).selectExpr("id as doc_id", "'x' as text")
+    counts = collections.Counter(r["shard"] for r in shards.assign(docs, 3, {0: 2.0}).collect())
+    assert 1800 < counts[0] < 2200 and 800 < counts[1] < 1200
+
+
+def test_sharding_an_empty_table_and_files(make_docs, spark, tmp_path, odd_pairs):
+    assert shards.with_slots(shards.assign(make_docs([]), 4)).count() == 0
+    shards.write_shards(make_docs(odd_pairs), str(tmp_path / "s"), 3)
+    assert spark.read.parquet(str(tmp_path / "s")).count() == len(odd_pairs)

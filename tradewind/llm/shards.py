@@ -65,15 +65,12 @@ def assign(
     )
     won = keyed.withColumn("won", rendezvous(F.col("key"), shards))
     newcomer = _score(F.col("key"), F.lit(n_shards), None if even else F.lit(mean))
-    best = F.col("won.score") if even == (len(set(shards.values())) == 1) else None
-    if best is None:
-        raise ValueError("weights must stay equal, or differ, with the further shard")
     return won.select(
         "id",
         "size",
         "text_crc32",
         F.col("won.shard").alias("shard"),
-        F.when(newcomer > best, F.lit(n_shards)).otherwise(F.col("won.shard")).alias("grown_shard"),
+        F.when(newcomer > F.col("won.score"), F.lit(n_shards)).otherwise(F.col("won.shard")).alias("grown_shard"),
     )
 
 
