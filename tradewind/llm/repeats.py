@@ -3,8 +3,7 @@
 Every window of ``LENGTH`` bytes is assigned the smallest-hashed ``GRAM``-byte string inside it (the
 leftmost of equals), its anchor. The choice depends on the window's bytes alone, so equal windows
 have equal anchors and meet in the bucket of that gram; about one position in 35 is an anchor,
-and only those travel. Every window holds its anchor and at least GRAM bytes more on one side of it,
-so an anchor goes on only if its gram, refined by the gram after or the one before, is met again.
+and only those travel. Anchors met once can't carry a repeat and are dropped.
 
 For the rest the windows themselves meet, bucket by bucket. Their buckets start from the
 gram at the window's start and are refined by sorting on the identifiers of the grams at later
@@ -41,7 +40,7 @@ from tradewind.llm.storage import stored
 
 LENGTH = 100
 GRAM = 32
-CROWD = 20_000
+CROWD = 1_000_000  # rows of one gram in a task, of some 150 bytes
 SPAN = LENGTH - GRAM + 1  # grams in a window
 STRETCH = 1 << 18  # bytes worked on at once while anchors are sought
 WINDOWS = 2_000_000  # refined at once
@@ -49,10 +48,10 @@ FACTOR = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xD6E8FEB86659FD93)
 
 
-def gram_hashes(data: np.ndarray, gram: int = GRAM) -> np.ndarray:
-    """Rolling hash of the ``gram`` bytes at each position, by doubling; ``gram`` is a power of two."""
+def gram_hashes(data: np.ndarray) -> np.ndarray:
+    """Rolling hash of the GRAM bytes at each position, by doubling; GRAM is a power of two."""
     hashes, factor, width = data.astype(np.uint64) + np.uint64(1), np.array([FACTOR]), 1
-    while width < gram:
+    while width < GRAM:
         hashes = hashes[:-width] * factor + hashes[width:]
         factor, width = factor * factor, 2 * width
     hashes ^= hashes >> np.uint64(32)
@@ -60,15 +59,6 @@ def gram_hashes(data: np.ndarray, gram: int = GRAM) -> np.ndarray:
     return hashes | np.uint64(1)
 
 
-def _both_sides(data: np.ndarray, places: np.ndarray) -> np.ndarray:
-    """32-bit hashes of the grams at ``places`` with the bytes after (high half) and before them (low half)."""
-    wide = gram_hashes(data, 2 * GRAM)
-    after = wide[np.minimum(places, len(wide) - 1)]
-    before = wide[np.maximum(places - GRAM, 0)]
-    half = np.uint64(32)
-    return (after >> half << half) | (before >> half)
-
-
 def _slide(values: np.ndarray, width: int, best: np.ufunc) -> np.ndarray:
     """The best of each ``width`` neighbours, by doubling."""
     reach = 1
@@ -136,7 +126,7 @@ def _side_by_side(parts: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, ...]
 
 
 def _anchor_rows(docs: DataFrame) -> DataFrame:
-    """(gram, sides, id, spot): spot is the first window the anchor stands for, times 128, plus how many follow it."""
+    """(gram, id, spot): spot is the first window the anchor stands for, times 128, plus how many follow it."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -148,29 +138,16 @@ def _anchor_rows(docs: DataFrame) -> DataFrame:
                 last = np.minimum(last, places[part] + lengths[part] - LENGTH)
                 some = first <= last
                 part, first, last = part[some], first[some], last[some]
-                sides = _both_sides(data, chosen[some]).view(np.int64)
                 spot = ((first - places[part] + begins[part]) << 7) | (last - first)
-                columns = [gram[some].view(np.int64), sides, ids[index[part]], spot]
-                yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], names=["gram", "sides", "id", "spot"])
-
-    return docs.select("id", "text").mapInArrow(find, "gram long, sides long, id long, spot long")
-
+                columns = [gram[some].view(np.int64), ids[index[part]], spot]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], names=["gram", "id", "spot"])
 
-def _met_again(anchor_rows: DataFrame) -> DataFrame:
-    """(gram, id, spot, n) of the anchors whose gram and one side are met more than once; n is the gram's number."""
-
-    def met(*key: str | Column) -> Column:
-        return F.count("*").over(Window.partitionBy("gram", *key))
-
-    repeated = anchor_rows.withColumn("n", met()).filter("n > 1")
-    after, before = F.shiftright("sides", 32), F.col("sides").bitwiseAND(0xFFFFFFFF)
-    refined = repeated.withColumn("after", met(after)).withColumn("before", met(before))
-    return refined.filter("after > 1 or before > 1").select("gram", "id", "spot", "n")
+    return docs.select("id", "text").mapInArrow(find, "gram long, id long, spot long")
 
 
 def _contexts(docs: DataFrame, met: DataFrame) -> DataFrame:
     """The bytes of all windows of each anchor in ``met`` (gram, id, spot, n), dealt by gram and share."""
-    share = F.when(F.col("n") > CROWD, F.pmod(F.xxhash64("id"), F.expr(f"n div {CROWD} + 1"))).otherwise(0)
+    share = F.when(F.col("n") > CROWD, 1 + F.pmod(F.xxhash64("id"), F.expr(f"n div {CROWD} + 1"))).otherwise(0)
     spots = met.withColumn("share", share).groupBy("id").agg(F.collect_list(F.struct("gram", "share", "spot")).alias("spots"))
     schema = "gram long, share long, id long, twin long, begin long, bytes binary"
 
@@ -191,12 +168,13 @@ def _contexts(docs: DataFrame, met: DataFrame) -> DataFrame:
     return joined.mapInArrow(gather, schema)
 
 
-def refine(hashes: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def refine(hashes: np.ndarray, windows: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of equal windows: (windows' indices, bucket by bucket; where buckets begin). Lone windows are left out.
 
-    ``hashes`` are those of the grams at each byte, ``windows`` the bytes where windows begin.
+    ``hashes`` are those of the grams at each byte, ``windows`` the bytes where windows begin. Windows of
+    different shares stay apart.
     """
-    live, bucket = np.arange(len(windows)), np.zeros(len(windows), np.uint64)
+    live, bucket = np.arange(len(windows)), share.astype(np.uint64) * FACTOR
     starts = np.empty(0, np.int64)
     for later in (*range(0, LENGTH - GRAM, GRAM), LENGTH - GRAM):
         key = (bucket * FACTOR ^ hashes[windows[live] + later]) * MIX
@@ -222,7 +200,7 @@ def _settle(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     offset = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
     windows = offset + np.repeat(np.cumsum(sizes) - sizes, counts)
     hashes = gram_hashes(np.frombuffer(b"".join(data), np.uint8))
-    live, starts = refine(hashes, windows)
+    live, starts = refine(hashes, windows, rows["share"].to_numpy()[row])
     repeats = np.zeros(len(row), bool)
     if len(live):
         first = np.repeat(np.minimum.reduceat(live, starts), np.diff(np.r_[starts, len(live)]))
@@ -256,7 +234,10 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pd.DataFrame, b
 
 
 def _repeats(contexts: DataFrame, survivors: bool) -> DataFrame:
-    """(id, twin, begin, end) of covered bytes; with ``survivors`` also (gram, begin, bytes) of rows with first windows."""
+    """(id, twin, begin, end) of covered bytes.
+
+    With ``survivors`` also (gram, begin, bytes) of the rows with first windows among those that are dealt over shares.
+    """
     order = ["gram", "share", "id", "twin", "begin"]
     dealt = contexts.repartition("gram", "share").sortWithinPartitions(*order)
     names = ["id", "twin", "begin", "end"] + ["gram", "bytes"] * survivors
@@ -288,7 +269,7 @@ def _repeats(contexts: DataFrame, survivors: bool) -> DataFrame:
                 arrays += [pa.nulls(len(of), pa.int64()), pa.nulls(len(of), pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
             if survivors:
-                left = rows[firsts & (np.arange(len(rows)) >= old)]
+                left = rows[firsts & (np.arange(len(rows)) >= old) & (rows["share"].to_numpy() > 0)]
                 columns = [left["id"], left["twin"], left["begin"], left["begin"], left["gram"]]
                 arrays = [*(pa.array(c.to_numpy(), pa.int64()) for c in columns), pa.array(left["bytes"], pa.binary())]
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
@@ -310,15 +291,16 @@ def _identity(id_col: str, text_col: str) -> list[Column]:
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, spans): every covered stretch of bytes of the texts under an id, as (twin, begin, end), unmerged."""
     source = _source(docs, id_col, text_col)
-    met = stored(_met_again(_anchor_rows(source)), "anchors")
-    crowded = met.filter(F.col("n") > CROWD)
-    spans = _repeats(_contexts(source, met.filter(F.col("n") <= CROWD)), survivors=False)
-    if not crowded.isEmpty():
-        shares = stored(_repeats(_contexts(source, crowded), survivors=True), "crowded")
+    counted = F.count("*").over(Window.partitionBy("gram"))
+    met = stored(_anchor_rows(source).withColumn("n", counted).filter("n > 1"), "anchors")
+    contexts = _contexts(source, met)
+    if met.filter(F.col("n") > CROWD).isEmpty():
+        spans = _repeats(contexts, survivors=False)
+    else:
+        shares = stored(_repeats(contexts, survivors=True), "crowded")
         firsts = shares.filter("bytes is not null").withColumn("share", F.lit(0).cast("long"))
-        columns = ["gram", "share", "id", "twin", "begin", "bytes"]
-        across = _repeats(firsts.select(*columns), survivors=False)
-        spans = spans.unionByName(shares.filter("bytes is null").select(*spans.columns)).unionByName(across)
+        across = _repeats(firsts.select(*contexts.columns), survivors=False)
+        spans = shares.filter("bytes is null").select(*across.columns).unionByName(across)
     return spans.groupBy("id").agg(F.collect_list(F.struct("twin", "begin", "end")).alias("spans"))
 
 
