@@ -6,7 +6,7 @@ import pytest
 import xxhash
 
 import tradewind.llm.repeats as repeats
-from conftest import prose
+from texts import prose
 from tradewind.llm import simhash
 from tradewind.llm.components import connected_components
 

@@ -5,7 +5,7 @@ import numpy as np
 import public_tokenizers
 import sentencepiece
 
-from conftest import prose
+from texts import prose
 from tradewind.llm import pieces
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")

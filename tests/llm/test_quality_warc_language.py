@@ -7,7 +7,7 @@ import re
 import numpy as np
 import pytest
 
-from conftest import SCHEMA, prose
+from texts import SCHEMA, prose
 from tradewind.llm import language, quality, warc
 from tradewind.llm.storage import shared_folder, stored
 

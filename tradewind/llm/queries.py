@@ -99,10 +99,48 @@ QUERIES = {
     "op10_suffix_dedup": suffix_dedup,
 }
 
+# SHA-1 in base32: five bits a letter, four letters from five hex digits.
+BASE32 = """array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    (((('0x' || substr(hex, (i // 4) * 5 + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31) + 1)::INT, 1) for i in range(0, 32)], '')"""
+
 ORACLES = {
+    "op3_warc": f"""
+        SELECT page_id, strlen(body) AS payload_bytes, {BASE32} AS payload_digest,
+               CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+        FROM (SELECT page_id, body, sha1(body) AS hex, min(page_id) OVER (PARTITION BY body) AS first_id
+              FROM (SELECT page_id, coalesce(html, '') AS body FROM pages))
+    """,
     "op6_exact_dedup": """
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS text_sha256
         FROM (SELECT doc_id, coalesce(text, '') AS body, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size
               FROM documents WINDOW same AS (PARTITION BY coalesce(text, '')))
     """,
+    # Bytes are pairs of hex digits. Windows that repeat are islands of covered bytes; what lies between is kept.
+    "op10_suffix_dedup": """
+        WITH texts AS (
+            SELECT doc_id, hex(encode(coalesce(text, ''))) AS digits FROM documents),
+        windows AS (
+            SELECT doc_id, s, substr(digits, 2 * s + 1, 200) AS w
+            FROM (SELECT doc_id, digits, unnest(range(0, length(digits) // 2 - 99)) AS s FROM texts WHERE length(digits) >= 200)),
+        repeats AS (
+            SELECT doc_id, s FROM windows QUALIFY row_number() OVER (PARTITION BY w ORDER BY doc_id, s) > 1),
+        marked AS (
+            SELECT doc_id, s, coalesce(s > lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 100, true) AS fresh FROM repeats),
+        islands AS (
+            SELECT doc_id, s, count(*) FILTER (fresh) OVER (PARTITION BY doc_id ORDER BY s) AS island FROM marked),
+        spans AS (
+            SELECT doc_id, min(s) AS b, max(s) + 100 AS e FROM islands GROUP BY doc_id, island),
+        gaps AS (
+            SELECT doc_id, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY b), 0) AS b, b AS e FROM spans
+            UNION ALL
+            SELECT doc_id, coalesce(max(e), 0), max(length(digits) // 2) FROM texts LEFT JOIN spans USING (doc_id) GROUP BY doc_id),
+        kept AS (
+            SELECT doc_id, string_agg(substr(digits, 2 * b + 1, 2 * (e - b)), '' ORDER BY b) AS digits
+            FROM texts JOIN gaps USING (doc_id) GROUP BY doc_id),
+        sums AS (SELECT doc_id, sum(e - b) AS removed, count(*) AS n FROM spans GROUP BY doc_id)
+        SELECT t.doc_id, length(t.digits) // 2 AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed,
+               coalesce(n, 0) AS n_spans, sha256(unhex(k.digits)) AS kept_sha256
+        FROM texts t JOIN kept k USING (doc_id) LEFT JOIN sums USING (doc_id)
+    """,
 }
