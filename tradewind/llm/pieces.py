@@ -30,6 +30,7 @@ from tradewind.llm.storage import stored
 BLANK = "▁"
 UNIT = f"{BLANK}*[^{BLANK}\n]+|{BLANK}+|\n"
 MOST_PIECES = 1_000_000  # rows of a piece table that is broadcast
+LONGEST_MASK = 61  # characters of a unit whose cuts fit a 64-bit number
 
 
 def piece_table(spark: SparkSession, model_file: str) -> DataFrame:
@@ -61,47 +62,83 @@ def lattice(units: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
     substring = F.substr("unit", F.col("b") + 1, F.col("e") - F.col("b"))
     table = F.broadcast(pieces) if pieces.count() <= MOST_PIECES else pieces
     matched = exploded.withColumn("piece", substring).join(table, "piece")
-    edge = F.struct("b", "e", "score", "id")
+    bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("bigint"), x)
+    # For units of up to LONGEST_MASK characters also as bits: both ends, and the places between them.
+    ends, inner = bit(F.col("b")).bitwiseOR(bit(F.col("e"))), bit(F.col("e")) - bit(F.col("b") + 1)
+    fits = F.col("e") <= LONGEST_MASK
+    edge = F.struct("b", "e", "score", "id", F.when(fits, ends).alias("ends"), F.when(fits, inner).alias("inner"))
     gathered = matched.groupBy("unit").agg(F.collect_list(edge).alias("edges"))
     # Units without any match have no row here; they consist of bytes.
     return gathered
 
 
+def _spans(cuts: Column) -> Column:
+    """Neighbouring cuts as (b, e)."""
+    at = lambda i: F.get(cuts, i)
+    return F.transform(F.sequence(F.lit(1), F.size(cuts) - 1), lambda i: F.struct(at(i - 1).alias("b"), at(i).alias("e")))
+
+
 def merge_fold(n: Column, edges: Column) -> Column:
-    """Ends of the parts that byte-pair merging leaves, begin of the first included."""
+    """The parts (b, e) that byte-pair merging leaves of a unit of ``n`` characters, of any length."""
     start = F.sequence(F.lit(0), n)
 
     def step(cuts: Column, _: Column) -> Column:
         def place(x: Column) -> Column:
             return F.array_position(cuts, x["b"]).cast("int")
 
-        open_ = F.filter(edges, lambda x: (place(x) > 0) & F.coalesce(F.get(cuts, place(x) + 1) == x["e"], F.lit(False)))
-        ranked = F.transform(open_, lambda x: F.struct(x["score"].alias("score"), (-x["b"]).alias("b"), F.get(cuts, place(x)).alias("mid")))
-        best = F.array_max(ranked)
-        return F.when(F.size(open_) > 0, F.array_remove(cuts, best["mid"])).otherwise(cuts)
+        def ranked(x: Column) -> Column:
+            open_ = (place(x) > 0) & F.coalesce(F.get(cuts, place(x) + 1) == x["e"], F.lit(False))
+            return F.when(open_, F.struct(x["score"], (-x["b"]).alias("b"), F.get(cuts, place(x)).alias("mid")))
+
+        best = F.array_max(F.transform(edges, ranked))
+        return F.when(best.isNull(), cuts).otherwise(F.array_remove(cuts, best["mid"]))
+
+    return F.aggregate(F.sequence(F.lit(1), n), start, step, _spans)
+
+
+def short_merge_fold(n: Column, edges: Column) -> Column:
+    """As ``merge_fold`` for units of at most LONGEST_MASK characters: the cuts are the bits of a number."""
+    power = lambda x: F.call_function("shiftleft", F.lit(1).cast("bigint"), x)
+
+    def step(cuts: Column, _: Column) -> Column:
+        def ranked(x: Column) -> Column:
+            open_ = (cuts.bitwiseAND(x["ends"]) == x["ends"]) & (F.bit_count(cuts.bitwiseAND(x["inner"])) == 1)
+            return F.when(open_, F.struct(x["score"], (-x["b"]).alias("b"), x["inner"]))
+
+        best = F.array_max(F.transform(edges, ranked))["inner"]
+        return cuts.bitwiseAND(F.bitwise_not(F.coalesce(best, F.lit(0).cast("bigint"))))
+
+    def parts(cuts: Column) -> Column:
+        ends = F.filter(F.sequence(F.lit(1), n), lambda i: cuts.bitwiseAND(power(i)) != 0)
+        return F.zip_with(F.concat(F.array(F.lit(0)), ends), ends, lambda b, e: F.struct(b.alias("b"), e.alias("e")))
 
-    return F.when(n > 1, F.aggregate(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), start, step)).otherwise(start)
+    all_cuts = F.call_function("shiftleft", F.lit(2).cast("bigint"), n) - 1
+    spans = F.aggregate(F.sequence(F.lit(1), n), all_cuts, step, parts)
+    return F.filter(spans, lambda x: x["e"].isNotNull())
 
 
 def viterbi_fold(n: Column, edges: Column, unknown: float) -> Column:
-    """Ends of the parts of the best path, begin of the first included. A character may stand alone for ``unknown``."""
+    """The parts (b, e) of the best path. A character may stand alone for ``unknown``."""
     first = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(-1).alias("back")))
 
     def step(best: Column, end: Column) -> Column:
-        here = F.filter(edges, lambda x: x["e"] == end)
-        reached = F.transform(here, lambda x: F.struct((F.get(best, x["b"])["score"] + x["score"]).alias("score"), x["b"].alias("back")))
+        def reached(x: Column) -> Column:
+            path = F.struct((F.get(best, x["b"])["score"] + x["score"]).alias("score"), x["b"].alias("back"))
+            return F.when(x["e"] == end, path)
+
+        own = F.exists(edges, lambda x: (x["e"] == end) & (x["b"] == end - 1))
         alone = F.struct((F.get(best, end - 1)["score"] + unknown).alias("score"), (end - 1).alias("back"))
-        has_own = F.exists(here, lambda x: x["b"] == end - 1)
-        return F.concat(best, F.array(F.array_max(F.when(has_own, reached).otherwise(F.concat(reached, F.array(alone))))))
-
-    best = F.aggregate(F.sequence(F.lit(1), n), first, step)
-    backs = F.transform(best, lambda x: x["back"])
-    walked = F.aggregate(
-        F.sequence(F.lit(1), n),
-        F.array(n),
-        lambda path, _: F.when(F.get(path, F.lit(0)) > 0, F.concat(F.array(F.get(backs, F.get(path, F.lit(0)))), path)).otherwise(path),
-    )
-    return walked
+        here = F.array_max(F.concat(F.transform(edges, reached), F.array(F.when(~own, alone))))
+        return F.concat(best, F.array(here))
+
+    def walked(best: Column) -> Column:
+        def back(cuts: Column, _: Column) -> Column:
+            at = F.get(cuts, F.lit(0))
+            return F.when(at > 0, F.concat(F.array(F.get(best, at)["back"]), cuts)).otherwise(cuts)
+
+        return F.aggregate(F.sequence(F.lit(1), n), F.array(n), back, _spans)
+
+    return F.aggregate(F.sequence(F.lit(1), n), first, step, walked)
 
 
 def encode_units(units: DataFrame, pieces: DataFrame, kind: str, first_byte_id: int) -> DataFrame:
@@ -109,23 +146,25 @@ def encode_units(units: DataFrame, pieces: DataFrame, kind: str, first_byte_id:
     longest = pieces.agg(F.max(F.length("piece"))).first()[0] or 1
     worst = pieces.agg(F.min("score")).first()[0] or 0.0
     found = units.join(lattice(units, pieces, longest), "unit", "left")
-    edges = F.coalesce("edges", F.array().cast("array<struct<b:int,e:int,score:double,id:int>>"))
+    edges = F.coalesce("edges", F.array().cast("array<struct<b:int,e:int,score:double,id:int,ends:bigint,inner:bigint>>"))
     found = found.select("unit", edges.alias("edges"), F.length("unit").alias("n"))
     n, e = F.col("n"), F.col("edges")
-    cuts = merge_fold(n, e) if kind == "bpe" else viterbi_fold(n, e, worst - 10)
-    cut = found.select("unit", "edges", cuts.alias("cuts"))
-
-    def part(i: Column) -> Column:
-        b, end = F.get("cuts", i - 1), F.get("cuts", i)
-        edge = F.get(F.filter("edges", lambda x: (x["b"] == b) & (x["e"] == end)), F.lit(0))
-        raw = F.hex(F.encode(F.substr("unit", b + 1, end - b), "utf-8"))
+    if kind == "bpe":
+        parts = F.when(n <= LONGEST_MASK, short_merge_fold(n, e)).otherwise(merge_fold(n, e))
+    else:
+        parts = viterbi_fold(n, e, worst - 10)
+    cut = found.select("unit", "edges", parts.alias("parts"))
+
+    def ids_of(part: Column) -> Column:
+        edge = F.get(F.filter("edges", lambda x: (x["b"] == part["b"]) & (x["e"] == part["e"])), F.lit(0))
+        raw = F.hex(F.encode(F.substr("unit", part["b"] + 1, part["e"] - part["b"]), "utf-8"))
         values = F.transform(
             F.sequence(F.lit(1), F.length(raw) - 1, F.lit(2)),
             lambda at: F.conv(F.substr(raw, at, F.lit(2)), 16, 10).cast("int") + first_byte_id,
         )
         return F.when(edge.isNotNull(), F.array(edge["id"])).otherwise(values)
 
-    ids = F.flatten(F.transform(F.sequence(F.lit(1), F.size("cuts") - 1), part))
+    ids = F.flatten(F.transform("parts", ids_of))
     # Stored, so that the fold runs once though decoding reads its outcome again.
     listed = stored(cut.select("unit", ids.alias("ids")), "unit-pieces")
     return listed.select(
