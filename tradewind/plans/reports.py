@@ -42,9 +42,7 @@ def kpi_summary(orders: DataFrame, settings: Settings = Settings()) -> DataFrame
     def distinct(column: str) -> Column:
         return sold.select(column).distinct().agg(F.count(column)).scalar()
 
-    return sold.agg(
-        F.first(distinct("order_id")).alias("total_orders"),
-        F.first(distinct("customer_key")).alias("unique_customers"),
+    summed = sold.agg(
         round_half_away(exact_sum(F.col("total_payment")), 0).alias("total_revenue"),
         round_half_away(exact_avg(F.col("total_payment")), 2).alias("avg_order_value"),
         round_half_away(exact_avg_of_scores(F.col("avg_review_score")), 2).alias("avg_review_score"),
@@ -52,6 +50,11 @@ def kpi_summary(orders: DataFrame, settings: Settings = Settings()) -> DataFrame
         round_half_away(F.abs(delay), 2).alias("avg_days_early"),
         F.sum(F.when(F.col("delivery_delay_days") > 0, 1).otherwise(0)).alias("late_orders"),
     )
+    return summed.select(
+        distinct("order_id").alias("total_orders"),
+        distinct("customer_key").alias("unique_customers"),
+        *summed.columns,
+    )
 
 
 def late_order_rate(kpi: DataFrame) -> DataFrame:
