@@ -4,6 +4,7 @@ import pytest
 
 from texts import SCHEMA, prose
 
+
 @pytest.fixture(scope="session")
 def make_docs(spark):
     """Documents from (doc_id, text) pairs; further columns clash with names used inside operators."""
