@@ -123,7 +123,8 @@ def fit(labelled: DataFrame) -> Model:
     known = labelled.filter("id is not null and text is not null and label is not null")
     n, filled = document_frequencies(known)
     idf = np.log((1 + n) / (1 + filled)) + 0.05
-    sizes = known.groupBy("label").agg(F.count("*").alias("n"))
+    # One row per language, as many as the model has: broadcast, so that no text moves before it is drawn.
+    sizes = F.broadcast(known.groupBy("label").agg(F.count("*").alias("n")))
     # About SAMPLE texts of each language by the hash of their ids; the task then keeps the least SAMPLE.
     draw = F.pmod(F.xxhash64("id"), F.lit(1 << 30))
     drawn = known.join(sizes, "label").withColumn("draw", draw).filter(F.col("draw") * F.col("n") < F.lit(1.3 * SAMPLE * (1 << 30)))
