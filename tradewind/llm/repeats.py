@@ -14,10 +14,12 @@ window but the first in document order is a repeat, and all its bytes are covere
 Identifiers of grams are 64-bit rolling hashes: different windows would have to agree in all
 identifiers to be taken as equal.
 
-An anchor met more than ``CROWD`` times is dealt over several tasks by document. What
-repeats within a task is settled there; only windows that are a task's first of their kind
-meet again across tasks. A task streams over its buckets and carries of a long bucket only rows
-with first windows.
+An anchor met more than ``CROWD`` times is refined before its windows meet: they fall into parts by how far
+before the gram they begin, and a part's new bucket is the gram with all bytes that the part's windows have in
+common around it. Buckets that stay too large are parted again, until a part is one window and its
+bucket holds equal windows only. Those, if still more than ``CROWD``, are dealt over several tasks by document;
+each task leaves its first window, and these meet across tasks. A task streams over its buckets and carries of
+a long bucket only rows with first windows.
 
 Defined results: a null text counts as empty; a null id stands after all other ids; rows that
 share an id are ordered by a hash of their text, and rows that repeat id and text are one
@@ -30,17 +32,20 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tradewind.llm.storage import stored
 
 LENGTH = 100
 GRAM = 32
-CROWD = 1_000_000  # rows of one gram in a task, of some 150 bytes
+CROWD = 20_000  # rows of one bucket in a task; each takes some kilobytes while it is settled
+PARTS = 4  # a refinement of a large bucket
 SPAN = LENGTH - GRAM + 1  # grams in a window
 STRETCH = 1 << 18  # bytes worked on at once while anchors are sought
 WINDOWS = 2_000_000  # refined at once
@@ -126,7 +131,7 @@ def _side_by_side(parts: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, ...]
 
 
 def _anchor_rows(docs: DataFrame) -> DataFrame:
-    """(gram, id, spot): spot is the first window the anchor stands for, times 128, plus how many follow it."""
+    """(gram, id, spot): spot is the first window the anchor stands for, how far behind it the gram is, and how many follow it."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -138,7 +143,7 @@ def _anchor_rows(docs: DataFrame) -> DataFrame:
                 last = np.minimum(last, places[part] + lengths[part] - LENGTH)
                 some = first <= last
                 part, first, last = part[some], first[some], last[some]
-                spot = ((first - places[part] + begins[part]) << 7) | (last - first)
+                spot = ((first - places[part] + begins[part]) << 14) | ((chosen[some] - first) << 7) | (last - first)
                 columns = [gram[some].view(np.int64), ids[index[part]], spot]
                 yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], names=["gram", "id", "spot"])
 
@@ -146,28 +151,70 @@ def _anchor_rows(docs: DataFrame) -> DataFrame:
 
 
 def _contexts(docs: DataFrame, met: DataFrame) -> DataFrame:
-    """The bytes of all windows of each anchor in ``met`` (gram, id, spot, n), dealt by gram and share."""
-    share = F.when(F.col("n") > CROWD, 1 + F.pmod(F.xxhash64("id"), F.expr(f"n div {CROWD} + 1"))).otherwise(0)
-    spots = met.withColumn("share", share).groupBy("id").agg(F.collect_list(F.struct("gram", "share", "spot")).alias("spots"))
-    schema = "gram long, share long, id long, twin long, begin long, bytes binary"
+    """The bytes of all windows of each anchor in ``met`` (gram, id, spot), and where in them the gram is."""
+    spots = met.groupBy("id").agg(F.collect_list(F.struct("gram", "spot")).alias("spots"))
+    schema = "gram long, id long, twin long, begin long, at long, bytes binary"
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 text, found = batch.column("text")[i].as_py(), batch.column("spots")[i].values
-                gram, share, spot = (found.field(f).to_numpy() for f in ("gram", "share", "spot"))
-                begin, stop = spot >> 7, (spot >> 7) + (spot & 127) + LENGTH
+                gram, spot = (found.field(f).to_numpy() for f in ("gram", "spot"))
+                begin, at = spot >> 14, spot >> 7 & 127
+                stop = begin + (spot & 127) + LENGTH
                 ours = np.flatnonzero(stop <= len(text))  # others are of another text with this id
                 id_, twin = batch.column("id")[i].as_py(), batch.column("twin")[i].as_py()
                 pieces = [text[a:b] for a, b in zip(begin[ours].tolist(), stop[ours].tolist())]
-                columns = [gram[ours], share[ours], np.full(len(ours), id_), np.full(len(ours), twin), begin[ours]]
+                columns = [gram[ours], np.full(len(ours), id_), np.full(len(ours), twin), begin[ours], at[ours]]
                 arrays = [*map(pa.array, columns), pa.array(pieces, pa.binary())]
-                yield pa.RecordBatch.from_arrays(arrays, names=["gram", "share", "id", "twin", "begin", "bytes"])
+                yield pa.RecordBatch.from_arrays(arrays, names=["gram", "id", "twin", "begin", "at", "bytes"])
 
     joined = docs.join(spots, "id").select("id", "twin", "text", "spots")
     return joined.mapInArrow(gather, schema)
 
 
+def _parted(contexts: DataFrame, width: int) -> DataFrame:
+    """Contexts (with low) whose windows begin low to low + width - 1 bytes before the gram, in narrower parts with their buckets."""
+    step = -(-width // PARTS)
+    schema = "gram long, low long, id long, twin long, begin long, at long, bytes binary"
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for row in zip(*(batch.column(c).to_pylist() for c in ("gram", "low", "id", "twin", "begin", "at", "bytes"))):
+                gram, low, id_, twin, begin, at, data = row
+                for least in range(low, low + width, step):
+                    most = min(least + step, low + width) - 1
+                    first, last = max(0, at - most), min(len(data) - LENGTH, at - least)
+                    if first <= last:
+                        common = data[at - least : at - most + LENGTH]
+                        bucket = xxhash.xxh64_intdigest(common, (gram + least) & (1 << 64) - 1)
+                        bucket -= (bucket >> 63) << 64
+                        rows.append((bucket, least, id_, twin, begin + first, at - first, data[first : last + LENGTH]))
+            if rows:
+                types = [pa.int64()] * 6 + [pa.binary()]
+                arrays = [pa.array(c, t) for c, t in zip(zip(*rows), types)]
+                yield pa.RecordBatch.from_arrays(arrays, names=["gram", "low", "id", "twin", "begin", "at", "bytes"])
+
+    return contexts.mapInArrow(part, schema)
+
+
+def _uncrowded(crowded: DataFrame) -> tuple[list[DataFrame], DataFrame | None]:
+    """Contexts in buckets of at most CROWD rows; those of equal windows that are more, with their number n."""
+    columns = ["gram", "id", "twin", "begin", "at", "bytes"]
+    small, width, left = [], SPAN, crowded.withColumn("low", F.lit(0).cast("long"))
+    while width > 1:
+        parts = stored(_parted(left, width), "crowd")
+        width = -(-width // PARTS)
+        sizes = parts.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1")
+        sized = parts.join(stored(sizes, "crowd-sizes"), "gram")
+        small.append(sized.filter(F.col("n") <= CROWD).select(*columns))
+        left = sized.filter(F.col("n") > CROWD)
+        if sizes.filter(F.col("n") > CROWD).isEmpty():
+            return small, None
+    return small, left.select(*columns, "n")
+
+
 def refine(hashes: np.ndarray, windows: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of equal windows: (windows' indices, bucket by bucket; where buckets begin). Lone windows are left out.
 
@@ -291,16 +338,21 @@ def _identity(id_col: str, text_col: str) -> list[Column]:
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, spans): every covered stretch of bytes of the texts under an id, as (twin, begin, end), unmerged."""
     source = _source(docs, id_col, text_col)
-    counted = F.count("*").over(Window.partitionBy("gram"))
-    met = stored(_anchor_rows(source).withColumn("n", counted).filter("n > 1"), "anchors")
-    contexts = _contexts(source, met)
-    if met.filter(F.col("n") > CROWD).isEmpty():
-        spans = _repeats(contexts, survivors=False)
-    else:
-        shares = stored(_repeats(contexts, survivors=True), "crowded")
-        firsts = shares.filter("bytes is not null").withColumn("share", F.lit(0).cast("long"))
-        across = _repeats(firsts.select(*contexts.columns), survivors=False)
-        spans = shares.filter("bytes is null").select(*across.columns).unionByName(across)
+    # Counted apart and joined, so that no task has to take all rows of a gram. Anchors are sought twice rather than stored.
+    grams = stored(_anchor_rows(source).groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1"), "grams")
+    met = stored(_anchor_rows(source).join(grams, "gram"), "anchors")
+    buckets, large = [_contexts(source, met.filter(F.col("n") <= CROWD))], None
+    if not grams.filter(F.col("n") > CROWD).isEmpty():
+        small, large = _uncrowded(_contexts(source, met.filter(F.col("n") > CROWD)))
+        buckets += small
+    columns, share = ["gram", "share", "id", "twin", "begin", "bytes"], F.lit(0).cast("long")
+    spans = _repeats(reduce(DataFrame.unionByName, buckets).withColumn("share", share).select(*columns), survivors=False)
+    if large is not None:
+        dealt = large.withColumn("share", 1 + F.pmod(F.xxhash64("id", "twin", "begin"), F.expr(f"n div {CROWD} + 1")))
+        shares = stored(_repeats(dealt.select(*columns), survivors=True), "crowded")
+        firsts = shares.filter("bytes is not null").withColumn("share", share)
+        across = _repeats(firsts.select(*columns), survivors=False)
+        spans = spans.unionByName(shares.filter("bytes is null").select(*across.columns)).unionByName(across)
     return spans.groupBy("id").agg(F.collect_list(F.struct("twin", "begin", "end")).alias("spans"))
 
 
