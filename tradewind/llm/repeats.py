@@ -22,7 +22,7 @@ each task leaves its first window, and these meet across tasks. A task streams o
 a long bucket only rows with first windows.
 
 Defined results: a null text counts as empty; a null id stands after all other ids; rows that
-share an id are ordered by a hash of their text, and rows that repeat id and text are one
+share an id are ordered by a hash of their text, with which their anchors and spans stay apart, and rows that repeat id and text are one
 document in two copies with equal results; texts shorter than a window lose nothing; texts of
 any length are read whole, in stretches; an empty table gives an empty result. Columns other
 than id and text are passed on untouched where whole rows are returned.
@@ -131,11 +131,12 @@ def _side_by_side(parts: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, ...]
 
 
 def _anchor_rows(docs: DataFrame) -> DataFrame:
-    """(gram, id, spot): spot is the first window the anchor stands for, how far behind it the gram is, and how many follow it."""
+    """(gram, id, twin, spot): spot is the first window the anchor stands for, how far behind it the gram is, and how many follow it."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column("id").to_numpy(), batch.column("text").to_pylist()
+            ids, twins = batch.column("id").to_numpy(), batch.column("twin").to_numpy()
+            texts = batch.column("text").to_pylist()
             for data, valid, index, places, lengths, begins in _stretches(texts):
                 gram, chosen, first, last = anchors(data, valid)
                 part = np.searchsorted(places, chosen, side="right") - 1
@@ -144,15 +145,15 @@ def _anchor_rows(docs: DataFrame) -> DataFrame:
                 some = first <= last
                 part, first, last = part[some], first[some], last[some]
                 spot = ((first - places[part] + begins[part]) << 14) | ((chosen[some] - first) << 7) | (last - first)
-                columns = [gram[some].view(np.int64), ids[index[part]], spot]
-                yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], names=["gram", "id", "spot"])
+                columns = [gram[some].view(np.int64), ids[index[part]], twins[index[part]], spot]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], names=["gram", "id", "twin", "spot"])
 
-    return docs.select("id", "text").mapInArrow(find, "gram long, id long, spot long")
+    return docs.select("id", "twin", "text").mapInArrow(find, "gram long, id long, twin long, spot long")
 
 
 def _contexts(docs: DataFrame, met: DataFrame) -> DataFrame:
-    """The bytes of all windows of each anchor in ``met`` (gram, id, spot), and where in them the gram is."""
-    spots = met.groupBy("id").agg(F.collect_list(F.struct("gram", "spot")).alias("spots"))
+    """The bytes of all windows of each anchor in ``met`` (gram, id, twin, spot), and where in them the gram is."""
+    spots = met.groupBy("id", "twin").agg(F.collect_set(F.struct("gram", "spot")).alias("spots"))
     schema = "gram long, id long, twin long, begin long, at long, bytes binary"
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,14 +163,14 @@ def _contexts(docs: DataFrame, met: DataFrame) -> DataFrame:
                 gram, spot = (found.field(f).to_numpy() for f in ("gram", "spot"))
                 begin, at = spot >> 14, spot >> 7 & 127
                 stop = begin + (spot & 127) + LENGTH
-                ours = np.flatnonzero(stop <= len(text))  # others are of another text with this id
+                ours = np.flatnonzero(stop <= len(text))  # others are of a text with an equal hash
                 id_, twin = batch.column("id")[i].as_py(), batch.column("twin")[i].as_py()
                 pieces = [text[a:b] for a, b in zip(begin[ours].tolist(), stop[ours].tolist())]
                 columns = [gram[ours], np.full(len(ours), id_), np.full(len(ours), twin), begin[ours], at[ours]]
                 arrays = [*map(pa.array, columns), pa.array(pieces, pa.binary())]
                 yield pa.RecordBatch.from_arrays(arrays, names=["gram", "id", "twin", "begin", "at", "bytes"])
 
-    joined = docs.join(spots, "id").select("id", "twin", "text", "spots")
+    joined = docs.join(spots, ["id", "twin"]).select("id", "twin", "text", "spots")
     return joined.mapInArrow(gather, schema)
 
 
@@ -330,14 +331,23 @@ def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(*_identity(id_col, text_col), text.alias("text"))
 
 
+def _once(source: DataFrame) -> DataFrame:
+    """One row of those that repeat id and text."""
+    repeated = stored(source.groupBy("id", "twin").agg(F.count("*").alias("c")).filter("c > 1").select("id", "twin"), "repeated-rows")
+    if repeated.isEmpty():
+        return source
+    first = source.join(repeated, ["id", "twin"]).groupBy("id", "twin").agg(F.first("text").alias("text"))
+    return stored(source.join(repeated, ["id", "twin"], "left_anti").unionByName(first), "single-rows")
+
+
 def _identity(id_col: str, text_col: str) -> list[Column]:
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     return [F.coalesce(F.col(id_col).cast("long"), F.lit(2**63 - 1)).alias("id"), F.xxhash64(text).alias("twin")]
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, spans): every covered stretch of bytes of the texts under an id, as (twin, begin, end), unmerged."""
-    source = _source(docs, id_col, text_col)
+    """(id, twin, spans): every covered stretch of bytes of a text, as (begin, end), unmerged."""
+    source = _once(_source(docs, id_col, text_col))
     # Counted apart and joined, so that no task has to take all rows of a gram. Anchors are sought twice rather than stored.
     grams = stored(_anchor_rows(source).groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1"), "grams")
     met = stored(_anchor_rows(source).join(grams, "gram"), "anchors")
@@ -353,15 +363,14 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         firsts = shares.filter("bytes is not null").withColumn("share", share)
         across = _repeats(firsts.select(*columns), survivors=False)
         spans = spans.unionByName(shares.filter("bytes is null").select(*across.columns)).unionByName(across)
-    return spans.groupBy("id").agg(F.collect_list(F.struct("twin", "begin", "end")).alias("spans"))
+    return spans.groupBy("id", "twin").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
 
 
-def merged(spans: pa.Scalar, twin: int) -> list[tuple[int, int]]:
+def merged(spans: pa.Scalar) -> list[tuple[int, int]]:
     """The maximal covered runs of one text, in order."""
     if not spans.is_valid:
         return []
-    fields = [spans.values.field(f).to_numpy() for f in ("twin", "begin", "end")]
-    begin, end = (f[fields[0] == twin] for f in fields[1:])
+    begin, end = (spans.values.field(f).to_numpy() for f in ("begin", "end"))
     if not len(begin):
         return []
     order = np.argsort(begin)
@@ -381,13 +390,13 @@ def _kept(text: bytes, runs: list[tuple[int, int]]) -> Iterator[bytes]:
 def removal_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_bytes, n_removed, n_spans and kept_sha256 (of the bytes that are left) of every row."""
     spans = repeated_spans(docs, id_col, text_col)
-    joined = _source(docs, id_col, text_col).join(spans, "id", "left").select("id", "twin", "text", "spans")
+    joined = _source(docs, id_col, text_col).join(spans, ["id", "twin"], "left").select("id", "text", "spans")
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for id_, twin, text, spans in zip(*(batch.column(c) for c in ("id", "twin", "text", "spans"))):
-                text, runs, left = text.as_py(), merged(spans, twin.as_py()), hashlib.sha256()
+            for id_, text, spans in zip(*(batch.column(c) for c in ("id", "text", "spans"))):
+                text, runs, left = text.as_py(), merged(spans), hashlib.sha256()
                 for part in _kept(text, runs):
                     left.update(part)
                 rows.append((id_.as_py(), len(text), sum(b - a for a, b in runs), len(runs), left.hexdigest()))
@@ -401,24 +410,24 @@ def removal_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows with the covered bytes cut out of their text; a character that a cut would split stays."""
-    spans = repeated_spans(docs, id_col, text_col).withColumnsRenamed({"id": "_tw_id", "spans": "_tw_spans"})
+    spans = repeated_spans(docs, id_col, text_col).withColumnsRenamed({"id": "_tw_id", "twin": "_tw_twin", "spans": "_tw_spans"})
     id_, twin = _identity(id_col, text_col)
-    marked = docs.withColumns({"_tw_id": id_, "_tw_twin": twin}).join(spans, "_tw_id", "left")
+    marked = docs.withColumns({"_tw_id": id_, "_tw_twin": twin}).join(spans, ["_tw_id", "_tw_twin"], "left")
 
     @F.pandas_udf("string")
-    def cut(text: pd.Series, twin: pd.Series, spans: pd.Series) -> pd.Series:
-        return pd.Series([_cut(*row) for row in zip(text, twin, spans)], dtype=object)
+    def cut(text: pd.Series, spans: pd.Series) -> pd.Series:
+        return pd.Series([_cut(*row) for row in zip(text, spans)], dtype=object)
 
-    shorter = F.when(F.col("_tw_spans").isNull(), F.col(text_col)).otherwise(cut(text_col, "_tw_twin", "_tw_spans"))
+    shorter = F.when(F.col("_tw_spans").isNull(), F.col(text_col)).otherwise(cut(text_col, "_tw_spans"))
     return marked.withColumn(text_col, shorter).select(*docs.columns)
 
 
-def _cut(text: str | None, twin: int, spans: np.ndarray | None) -> str | None:
+def _cut(text: str | None, spans: np.ndarray | None) -> str | None:
     if text is None or spans is None or not len(spans):
         return text
     data = text.encode()
-    listed = pa.scalar(list(spans), pa.list_(pa.struct({"twin": pa.int64(), "begin": pa.int64(), "end": pa.int64()})))
-    inner = [(_forward(data, a), _back(data, b)) for a, b in merged(listed, twin)]
+    listed = pa.scalar(list(spans), pa.list_(pa.struct({"begin": pa.int64(), "end": pa.int64()})))
+    inner = [(_forward(data, a), _back(data, b)) for a, b in merged(listed)]
     return b"".join(_kept(data, [(a, b) for a, b in inner if a < b])).decode()
 
 
