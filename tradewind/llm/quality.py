@@ -35,8 +35,10 @@ CAPITALS = "".join(chr(c) for c in [*range(65, 91), *range(0xC0, 0xD7), *range(0
 UNIT = 256  # vector units in 1
 FEATURES = ["word_length", "symbols", "capitals", "dup_lines", "repeats"]
 P = len(FEATURES)
-# Least standard deviations: what hardly a text varies in, as repeats that most lack, must not reject for little.
-FLOORS = [f * UNIT for f in (0.07, 0.04, 0.06, 0.25, 0.25)]
+# Least standard deviations: what hardly a text varies in, as repeats that most lack, must not reject for little, but
+# each statistic's extreme must be able to reject by itself: where no other text repeats any, from about half of
+# the lines or a third of the words on.
+FLOORS = [f * UNIT for f in (0.07, 0.04, 0.06, 0.13, 0.10)]
 CORE = 0.75
 STEPS = 5
 LEAST = 200
