@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import string
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tradewind.llm import pieces, shards, token_files, warc
+from tradewind.llm import merkle, pieces, shards, token_files, warc
 from tradewind.llm.exact import ExactDuplicates
 from tradewind.llm.language import identify
 from tradewind.llm.packing import pack
@@ -86,6 +88,15 @@ def suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return removal_report(_documents(spark, folder)).withColumnRenamed("id", "doc_id")
 
 
+def merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Every fifth document or so, by the crc32 of its id, is tampered with: A-Z of its text in lower case."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    lowered = {"text": F.translate("text", string.ascii_uppercase, string.ascii_lowercase)}
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    found = merkle.verified(docs, ["doc_id", "source", "lang", "n_chars", "text"], lowered, tampered)
+    return found.withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
     "op1_packing": packing,
     "op2_token_files": token_output,
@@ -97,6 +108,7 @@ QUERIES = {
     "op8_language_id": language,
     "op9_sharding": sharding,
     "op10_suffix_dedup": suffix_dedup,
+    "op11_merkle_manifest": merkle_manifest,
 }
 
 # SHA-1 in base32: five bits a letter, four letters from five hex digits.
@@ -143,4 +155,54 @@ ORACLES = {
                coalesce(n, 0) AS n_spans, sha256(unhex(k.digits)) AS kept_sha256
         FROM texts t JOIN kept k USING (doc_id) LEFT JOIN sums USING (doc_id)
     """,
+    # crc32 bit by bit; both trees and the climb from leaf to root as recursions.
+    "op11_merkle_manifest": """
+        WITH RECURSIVE fields AS (
+            SELECT doc_id, source,
+                   [doc_id::VARCHAR, source, lang, n_chars::VARCHAR] AS short, text,
+                   translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lowered,
+                   list_reduce([4294967295] || list_transform(range(1, length(doc_id::VARCHAR) + 1), lambda i: ord(substr(doc_id::VARCHAR, i::INT, 1))::BIGINT),
+                       lambda c, b: list_reduce([xor(c, b)] || range(0, 8),
+                           lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)) AS crc
+            FROM documents),
+        leaves AS (
+            SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+                   CASE WHEN xor(crc, 4294967295) % 5 = 0 THEN sha256(head || coalesce(strlen(lowered) || ':' || lowered, '-'))
+                        ELSE sha256(head || coalesce(strlen(text) || ':' || text, '-')) END AS now
+            FROM (SELECT *, list_aggregate(list_transform(short, lambda v: coalesce(strlen(v) || ':' || v, '-')), 'string_agg', '') AS head FROM fields)),
+        placed AS (
+            SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS pos, count(*) OVER (PARTITION BY source) AS n FROM leaves),
+        lower_tree AS (
+            SELECT coalesce('=' || source, '') AS grp, 0 AS level, pos, n, leaf AS node FROM placed
+            UNION ALL
+            SELECT grp, level + 1, pos // 16, (max(n) + 15) // 16, sha256(string_agg(node, '' ORDER BY pos))
+            FROM lower_tree WHERE n > 1 GROUP BY grp, level, pos // 16),
+        subroots AS (
+            SELECT grp, node, level, row_number() OVER (ORDER BY encode(grp)) - 1 AS place, count(*) OVER () AS n FROM lower_tree WHERE n = 1),
+        upper_tree AS (
+            SELECT 0 AS level, place AS pos, n, node FROM subroots
+            UNION ALL
+            SELECT level + 1, pos // 16, (max(n) + 15) // 16, sha256(string_agg(node, '' ORDER BY pos))
+            FROM upper_tree WHERE n > 1 GROUP BY level, pos // 16),
+        nodes AS (
+            SELECT grp, level, pos, n, node FROM lower_tree WHERE n > 1
+            UNION ALL
+            SELECT s.grp, s.level + u.level, u.pos, u.n, u.node FROM subroots s CROSS JOIN upper_tree u WHERE u.n > 1),
+        siblings AS (
+            SELECT grp, level, pos,
+                   coalesce(string_agg(node, '') OVER (run ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+                   coalesce(string_agg(node, '') OVER (run ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+            FROM nodes WINDOW run AS (PARTITION BY grp, level, pos // 16)),
+        climb AS (
+            SELECT p.doc_id, s.grp, 0 AS level, CASE WHEN s.level = 0 THEN s.place ELSE p.pos END AS pos, p.now AS node, '' AS proof, s.level AS height, s.place
+            FROM placed p JOIN subroots s ON s.grp = coalesce('=' || p.source, '')
+            UNION ALL
+            SELECT c.doc_id, c.grp, c.level + 1, CASE WHEN c.level + 1 = c.height THEN c.place ELSE c.pos // 16 END,
+                   sha256(b.l || c.node || b.r), c.proof || b.l || b.r, c.height, c.place
+            FROM climb c JOIN siblings b ON b.grp = c.grp AND b.level = c.level AND b.pos = c.pos),
+        tops AS (
+            SELECT * FROM climb QUALIFY level = max(level) OVER (PARTITION BY doc_id))
+        SELECT p.doc_id, p.leaf, s.node AS subroot, u.node AS root, sha256(t.proof) AS proof_sha256, t.node AS folded_root, t.node = u.node AS verified
+        FROM placed p JOIN tops t ON t.doc_id = p.doc_id JOIN subroots s ON s.grp = t.grp CROSS JOIN (SELECT node FROM upper_tree WHERE n = 1) u
+    """,
 }
