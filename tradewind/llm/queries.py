@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tradewind.llm import merkle, pieces, shards, token_files, warc
 from tradewind.llm.exact import ExactDuplicates
 from tradewind.llm.language import identify
+from tradewind.llm.mixing import mixed
 from tradewind.llm.packing import pack
 from tradewind.llm.quality import judged
 from tradewind.llm.repeats import removal_report
@@ -97,6 +98,11 @@ def merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+def mixing(spark: SparkSession, folder: str) -> DataFrame:
+    mix = mixed(spark.read.parquet(f"{folder}/documents.parquet"), weights=(1, 2, 3), most=3)
+    return mix.withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
     "op1_packing": packing,
     "op2_token_files": token_output,
@@ -109,6 +115,7 @@ QUERIES = {
     "op9_sharding": sharding,
     "op10_suffix_dedup": suffix_dedup,
     "op11_merkle_manifest": merkle_manifest,
+    "op13_mixing": mixing,
 }
 
 # SHA-1 in base32: five bits a letter, four letters from five hex digits.
@@ -205,4 +212,34 @@ ORACLES = {
         SELECT p.doc_id, p.leaf, s.node AS subroot, u.node AS root, sha256(t.proof) AS proof_sha256, t.node AS folded_root, t.node = u.node AS verified
         FROM placed p JOIN tops t ON t.doc_id = p.doc_id JOIN subroots s ON s.grp = t.grp CROSS JOIN (SELECT node FROM upper_tree WHERE n = 1) u
     """,
+    # Sources that reach their cap come first by cap per weight; documents win the budget in order of their hash.
+    "op13_mixing": r"""
+        WITH sizes AS (
+            SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
+                   ('0x' || substr(sha256(concat_ws(':', coalesce(doc_id::VARCHAR, ''), text)), 1, 15))::BIGINT AS h
+            FROM documents),
+        sources AS (
+            SELECT source, sum(size)::BIGINT AS own, 3 * own AS cap,
+                   (row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3 + 1 AS w
+            FROM sizes GROUP BY source),
+        levels AS (
+            SELECT *, sum(own) OVER () - coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
+                   sum(w) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weights,
+                   row_number() OVER o AS place
+            FROM sources WINDOW o AS (ORDER BY cap::DOUBLE / w, encode(source))),
+        first_free AS (
+            SELECT place, rest, weights FROM levels WHERE rest::DOUBLE * w / weights <= cap ORDER BY place LIMIT 1),
+        targets AS (
+            SELECT l.source, own, CASE WHEN l.place < f.place THEN cap::DOUBLE ELSE f.rest::DOUBLE * w / f.weights::DOUBLE END AS target
+            FROM levels l CROSS JOIN first_free f),
+        budgets AS (
+            SELECT *, CASE WHEN own > 0 THEN floor(target / own)::BIGINT ELSE 0 END AS times, target - times * own AS budget FROM targets),
+        won AS (
+            SELECT doc_id, source, size,
+                   coalesce(sum(size) OVER (PARTITION BY source ORDER BY h ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS earlier
+            FROM sizes)
+        SELECT doc_id, size::BIGINT AS size, own AS source_size, target,
+               (size * (times + CASE WHEN 2 * earlier + size <= 2 * budget THEN 1 ELSE 0 END))::BIGINT AS taken
+        FROM won w JOIN budgets b ON w.source IS NOT DISTINCT FROM b.source
+    """,
 }
