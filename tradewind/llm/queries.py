@@ -11,6 +11,7 @@ from tradewind.llm import merkle, pieces, shards, token_files, warc
 from tradewind.llm.exact import ExactDuplicates
 from tradewind.llm.language import identify
 from tradewind.llm.mixing import mixed
+from tradewind.llm.negatives import hard_negatives
 from tradewind.llm.packing import pack
 from tradewind.llm.quality import judged
 from tradewind.llm.repeats import removal_report
@@ -98,6 +99,15 @@ def merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+def hard_negative_mining(spark: SparkSession, folder: str) -> DataFrame:
+    """Labels of every seventh id are moved on by one, so that near copies are labelled otherwise."""
+    vectors = spark.read.parquet(f"{folder}/embeddings.parquet")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    mined = hard_negatives(vectors, anchor=F.col("vec_id") % 100 == 0, label=moved)
+    scores = {c: F.col(c).try_cast("long") for c in ("positive_score", "negative_score")}
+    return mined.withColumns(scores)
+
+
 def mixing(spark: SparkSession, folder: str) -> DataFrame:
     mix = mixed(spark.read.parquet(f"{folder}/documents.parquet"), weights=(1, 2, 3), most=3)
     return mix.withColumnRenamed("id", "doc_id")
@@ -115,6 +125,7 @@ QUERIES = {
     "op9_sharding": sharding,
     "op10_suffix_dedup": suffix_dedup,
     "op11_merkle_manifest": merkle_manifest,
+    "op12_hard_negatives": hard_negative_mining,
     "op13_mixing": mixing,
 }
 
@@ -212,6 +223,25 @@ ORACLES = {
         SELECT p.doc_id, p.leaf, s.node AS subroot, u.node AS root, sha256(t.proof) AS proof_sha256, t.node AS folded_root, t.node = u.node AS verified
         FROM placed p JOIN tops t ON t.doc_id = p.doc_id JOIN subroots s ON s.grp = t.grp CROSS JOIN (SELECT node FROM upper_tree WHERE n = 1) u
     """,
+    "op12_hard_negatives": """
+        WITH vectors AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+            FROM embeddings
+            WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+                   list_sum(list_transform(list_zip(a.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+            FROM vectors a JOIN vectors c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0),
+        positives AS (
+            SELECT * FROM scored WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT p.anchor_id, p.vec_id AS positive_id,
+               (row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id))::INT AS rank,
+               n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+        FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+             AND 80 * p.score <= 100 * n.score AND n.score <= p.score
+        QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id) <= 5
+    """,
     # Sources that reach their cap come first by cap per weight; documents win the budget in order of their hash.
     "op13_mixing": r"""
         WITH sizes AS (
