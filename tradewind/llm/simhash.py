@@ -231,9 +231,29 @@ def representatives(
     distance: int = DISTANCE,
     blocks: int = BLOCKS,
 ) -> DataFrame:
-    """The rows of the smallest id of each component, and those without an id, with all their columns."""
+    """The rows of the smallest id of each component, and those without an id, with all their columns.
+
+    Of rows that repeat the id with different texts, only those with the component's own fingerprint stay.
+    """
     found = near_duplicates(docs, id_col, text_col, width, distance, blocks)
+    gone = found.filter("id <> component_id").select(F.col("id").alias("_tw_id")).distinct()
     kept = found.filter("id = component_id").select(F.col("id").alias("_tw_id")).distinct()
-    same = docs[id_col].cast("long") == kept["_tw_id"]
-    without = docs.filter(F.col(id_col).isNull())
-    return docs.join(kept, same, "left_semi").unionByName(without)
+    both = gone.join(kept, "_tw_id")
+    same = docs[id_col].cast("long") == gone["_tw_id"]
+    return docs.join(gone, same, "left_anti") if both.isEmpty() else _by_text(docs, id_col, text_col, width, found)
+
+
+def _by_text(docs: DataFrame, id_col: str, text_col: str, width: int, found: DataFrame) -> DataFrame:
+    """As above where an id has texts of several components: rows are told apart by their fingerprints too."""
+    marked = docs.withColumn("_tw_text", F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps = fingerprints_of(batch.column("_tw_text").to_pylist(), width).view(np.int64)
+            yield batch.drop_columns(["_tw_text"]).append_column("_tw_fp", pa.array(fps))
+
+    schema = T.StructType([*docs.schema.fields, T.StructField("_tw_fp", T.LongType())])
+    gone = found.filter("id <> component_id").select(F.col("id").alias("_tw_id"), F.col("fp").alias("_tw_other")).distinct()
+    rows = marked.mapInArrow(mark, schema)
+    same = (rows[id_col].cast("long") == gone["_tw_id"]) & (rows["_tw_fp"] == gone["_tw_other"])
+    return rows.join(gone, same, "left_anti").select(*docs.columns)
