@@ -10,10 +10,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tradewind.llm.exact import ExactDuplicates
-from tradewind.llm.near import without_near_copies
 from tradewind.llm.packing import pack
 from tradewind.llm.quality import accepted
 from tradewind.llm.repeats import without_repeats
+from tradewind.llm.simhash import representatives
 from tradewind.operators.scratch import materialize
 
 
@@ -28,8 +28,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts linked by a Jaccard similarity of their five-word shingles of 0.8 and more the one with the smallest doc_id."""
-    return without_near_copies(docs)
+    """Of texts linked by SimHash fingerprints of three-word shingles that differ in at most three bits, the one with the smallest doc_id."""
+    return representatives(docs, width=3, distance=3)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +55,7 @@ STAGES = [
     ("packing", packing),
 ]
 
-ORACLE_SQL = None  # outlier estimates, near copies and token ids are beyond SQL
+ORACLE_SQL = None  # outlier estimates, fingerprints and token ids are beyond SQL
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
