@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable
 from functools import cached_property
 
@@ -10,24 +11,25 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 import oracles
 from tradewind.lazy import Frames
 from tradewind.operators.quality import run_checks, summary
-from tradewind.operators.scratch import materialize
+from tradewind.operators.scratch import materialize, scratch_path
 from tradewind.plans import dashboard as d
 from tradewind.plans import marts as m
 from tradewind.plans import reports as r
 from tradewind.plans import warehouse as w
 from tradewind.plans.checks import WAREHOUSE_CHECKS
 from tradewind.session import tune
-from tradewind.sources.raw import stage
+from tradewind.sources.csv_load import Loaded, load_csv
+from tradewind.sources.raw import RAW_SCHEMAS, stage
 from tradewind.sources.retail import RETAIL_SETTINGS as S
 from tradewind.sources.retail import marketplace_tables
 from tradewind.sources.sink import row_counts
 
-try:  # the text operators are an optional part
+try:  # the text operators are an optional part, with third-party modules of their own
     import corpus_pipeline
     from tradewind.llm import queries as llm
-except ModuleNotFoundError as missing:
-    if missing.name not in ("corpus_pipeline", "tradewind.llm"):
-        raise
+except ImportError as missing:
+    if getattr(missing, "name", None) not in ("corpus_pipeline", "tradewind.llm"):
+        warnings.warn(f"the text operators are left out: {missing}", stacklevel=1)
     corpus_pipeline = llm = None
 
 SCATTER_STATES = ["NATION_1", "NATION_2", "NATION_3", "NATION_5", "NATION_8"]
@@ -63,7 +65,7 @@ class Tables:
     """Warehouse and marts over one folder, each built when a query first asks for it."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark = tune(spark)
+        self.spark, self.folder = tune(spark), folder
         self.staged = stage(marketplace_tables(spark, folder))
 
     @cached_property
@@ -169,6 +171,36 @@ class Tables:
     def quality(self) -> DataFrame:
         return run_checks(self.stored_warehouse, WAREHOUSE_CHECKS)
 
+    @cached_property
+    def csv_reviews(self) -> Loaded:
+        """The documents as free-text reviews, written as CSV and loaded again in parallel."""
+        documents = self.spark.read.parquet(f"{self.folder}/documents.parquet")
+        reviews = documents.selectExpr(
+            "cast(doc_id as string) as review_id",
+            "cast(doc_id div 2 as string) as order_id",
+            "cast(1 + doc_id % 5 as int) as review_score",
+            "source as review_comment_title",
+            "text as review_comment_message",
+            "timestamp_ntz'2018-01-01 00:00:00' + make_dt_interval(cast(doc_id % 365 as int)) as review_creation_date",
+            "cast(null as timestamp_ntz) as review_answer_timestamp",
+        )
+        path = scratch_path(self.spark, "reviews-csv")
+        options = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+        reviews.write.options(**options).csv(path)
+        return load_csv(self.spark, path, "reviews", RAW_SCHEMAS["reviews"], multiline=True)
+
+    @cached_property
+    def csv_payments(self) -> Loaded:
+        """The payments as lines of text, some of them broken: a value of the wrong type, a row too short or too long."""
+        lines = self.spark.read.parquet(f"{self.folder}/lineitem.parquet").selectExpr(
+            """concat_ws(',', l_orderkey, if(l_orderkey % 31 = 0, 'first', cast(l_linenumber as string)), 'boleto',
+               if(l_orderkey % 37 = 0, null, '1'), if(l_orderkey % 41 = 0, 'n/a', cast(l_partkey as string)),
+               if(l_orderkey % 43 = 0, 'more', null)) as line"""
+        )
+        path = scratch_path(self.spark, "payments-csv")
+        lines.write.text(path)
+        return load_csv(self.spark, path, "payments", RAW_SCHEMAS["payments"], header=False)
+
     @cached_property
     def payload(self) -> DataFrame:
         wh = self.stored_warehouse
@@ -197,6 +229,18 @@ def _plain(df: DataFrame) -> DataFrame:
 QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     # sources and sinks
     "stage_tables": lambda t: row_counts(t.staged),
+    "load_multiline_csv": lambda t: t.csv_reviews.rows.select(
+        "review_id",
+        "order_id",
+        "review_score",
+        "review_comment_title",
+        F.length("review_comment_message").alias("n_chars"),
+        F.md5(F.col("review_comment_message").cast("binary")).alias("message_md5"),
+        F.date_format("review_creation_date", "yyyy-MM-dd").alias("created"),
+    ),
+    "load_accepted": lambda t: t.csv_payments.rows.drop("payment_type"),
+    "load_rejects": lambda t: t.csv_payments.rejects.select("table_name", "record", "reason"),
+    "load_counts": lambda t: t.csv_payments.counts.unionByName(t.csv_reviews.counts),
     "row_counts": lambda t: row_counts(t.warehouse),
     "mart_row_counts": lambda t: row_counts(t.marts),
     "dashboard_payload": lambda t: t.payload,

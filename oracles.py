@@ -448,6 +448,17 @@ FUNNEL = """
                          excluded_status, zero_payment]) as n
           from data_quality where table_name = 'fact_orders')"""
 
+# The payment lines field by field, and what is wrong with the first field that is.
+PAYMENT_LINES = """with
+    lines as (select list_filter([l_orderkey::varchar, if(l_orderkey % 31 = 0, 'first', l_linenumber::varchar), 'boleto',
+                 if(l_orderkey % 37 = 0, null, '1'), if(l_orderkey % 41 = 0, 'n/a', l_partkey::varchar),
+                 if(l_orderkey % 43 = 0, 'more', null)], lambda x: x is not null) as f from lineitem),
+    judged as (select f, case
+        when f[2] is not null and try_cast(f[2] as int) is null then 'payment_sequential: no int: ' || f[2]
+        when f[4] is not null and try_cast(f[4] as int) is null then 'payment_installments: no int: ' || f[4]
+        when f[5] is not null and try_cast(f[5] as double) is null then 'payment_value: no double: ' || f[5]
+        when len(f) <> 5 then 'not 5 fields' end as reason from lines)"""
+
 ANSWERS = {name: f"select * from {name}" for name in AS_TABLE} | {
     "stage_tables": _counts(
         {
@@ -462,6 +473,16 @@ ANSWERS = {name: f"select * from {name}" for name in AS_TABLE} | {
             "category_translation": "raw_translation",
         }
     ),
+    "load_multiline_csv": """
+        select doc_id::varchar as review_id, (doc_id // 2)::varchar as order_id, (1 + doc_id % 5)::int as review_score,
+               source as review_comment_title, length(nullif(text, ''))::int as n_chars, md5(nullif(text, '')) as message_md5,
+               strftime(date '2018-01-01' + (doc_id % 365)::int, '%Y-%m-%d') as created
+        from documents""",
+    "load_accepted": f"{PAYMENT_LINES} select f[1] as order_id, f[2]::int as payment_sequential, f[4]::int as payment_installments, f[5]::double as payment_value from judged where reason is null",
+    "load_rejects": f"{PAYMENT_LINES} select 'payments' as table_name, array_to_string(f, ',') as record, reason from judged where reason is not null",
+    "load_counts": f"""{PAYMENT_LINES}
+        select 'payments' as table_name, count(*) filter (reason is null) as accepted, count(reason) as rejected from judged
+        union all select 'reviews', count(*), 0 from documents""",
     "row_counts": _counts({t: t for t in WAREHOUSE}),
     "mart_row_counts": _counts({t: t for t in MARTS}),
     "review_agg": "select * replace (avg_review_score::double as avg_review_score) from review_agg",

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tradewind import Settings, run_pipeline
 from tradewind.operators.quality import all_passed
 from tradewind.operators.scratch import materialize, scratch_root, scratch_scope
+from tradewind.sources.csv_load import CsvLoad
 from tradewind.sources.raw import RAW_SCHEMAS, read_csv_folder, read_database, read_parquet_folder, stage
 from tradewind.sources.retail import RETAIL_SETTINGS, marketplace_tables
 from tradewind.sources.sink import ensure_database, row_counts, write_table
@@ -77,6 +78,19 @@ def test_csv_to_marts(spark, csv_folder, databases):
     assert dict((r["table_name"], r["n"]) for r in row_counts(built.warehouse).collect())["dim_date"] == 791
 
 
+def test_csv_load_to_marts_counts_rejected_rows(spark, csv_folder, databases):
+    with open(os.path.join(csv_folder, "payments.csv"), "a") as file:
+        file.write("o1,xx,voucher,1,7.00\no1,3,voucher\n")
+    built = run_pipeline(spark, CsvLoad(spark, csv_folder), *databases)
+    assert built.warehouse["fact_orders"].filter("order_id = 'o1'").first()["total_payment"] == 100.0
+    assert built.warehouse["fact_orders"].filter("order_id = 'o1'").first()["has_review_comment"] is True
+    report = {r["check"]: (r["status"], r["violations"]) for r in built.quality.collect()}
+    assert report["rejected_payments"] == ("FAIL", 2) and report["rejected_reviews"] == ("PASS", 0)
+    assert len(report) == 17 + 9 and not all_passed(built.quality)
+    with pytest.raises(ValueError, match="checks failed"):
+        run_pipeline(spark, CsvLoad(spark, csv_folder), *databases, stop_on_failed_checks=True)
+
+
 def test_csv_header_must_match(spark, csv_folder):
     (open(os.path.join(csv_folder, "sellers.csv"), "w")).write("seller_id,seller_state\ns,SP\n")
     with pytest.raises(Exception, match="(?i)header"):

@@ -13,6 +13,7 @@ from tradewind.plans.checks import quality_report
 from tradewind.plans.marts import build_marts, risk_register
 from tradewind.plans.warehouse import ORDER_ATTRIBUTES, build_warehouse, fact_order_items, geo_zip_centroid
 from tradewind.settings import Settings
+from tradewind.sources.csv_load import CsvLoad
 from tradewind.sources.raw import stage
 from tradewind.sources.sink import ensure_database, write_table
 
@@ -71,7 +72,7 @@ def store_marts(
 
 def run_pipeline(
     spark: SparkSession,
-    raw: Mapping[str, DataFrame],
+    raw: Mapping[str, DataFrame] | CsvLoad,
     warehouse_db: str = "warehouse",
     marts_db: str = "marts",
     settings: Settings = Settings(),
@@ -80,11 +81,16 @@ def run_pipeline(
 ) -> Built:
     """The whole refresh; scratch tables are gone when it ends.
 
-    With ``stop_on_failed_checks`` the checks run before the marts, and a failed one raises.
+    Of a CSV load, the quality report also counts the rejected rows of each raw table. With
+    ``stop_on_failed_checks`` the checks run before the marts, and a failed one raises.
     """
     with scratch_scope(spark):
-        warehouse = store_warehouse(spark, raw, warehouse_db, settings, buckets)
+        tables = raw.tables if isinstance(raw, CsvLoad) else raw
+        warehouse = store_warehouse(spark, tables, warehouse_db, settings, buckets)
         quality = quality_report(warehouse)
+        if isinstance(raw, CsvLoad):
+            # The load's tables go with the scope; its report, one row per table, stays.
+            quality = quality.unionByName(spark.createDataFrame(raw.report().collect(), quality.schema))
         if stop_on_failed_checks and not all_passed(quality):
             raise ValueError("data-quality checks failed")
         return Built(warehouse, store_marts(spark, warehouse, marts_db, settings), quality)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tradewind.lazy import Frames
 
@@ -33,17 +33,29 @@ RAW_SCHEMAS = {
     "category_translation": "product_category_name string, product_category_name_english string",
 }
 
+CORRUPT = "_corrupt"  # the text of a row that doesn't fit the declared columns
+
+# Tables whose texts may span lines.
+MULTILINE = ("reviews",)
+
 # Raw name -> staging name, where they differ.
 STAGING_NAMES = {"payments": "order_payments", "reviews": "order_reviews"}
 
 
+def _sound(columns: list[str]) -> Column:
+    """True, or an error for a malformed row. It reads every column: those that a query leaves out are parsed as well."""
+    message = F.concat(F.lit("malformed row: "), F.col(CORRUPT), F.lit(" "), F.xxhash64(*columns).cast("string"))
+    return F.when(F.col(CORRUPT).isNull(), True).otherwise(F.raise_error(message).cast("boolean"))
+
+
 def read_csv_folder(spark: SparkSession, folder: str, **options) -> Frames:
     """Raw tables from ``folder/<table>.csv``, each a file or a folder of parts with headers.
 
     Headers are checked against the declared schema; nothing is scanned to infer types. A value of the
-    wrong type or a row of the wrong length stops the load; ``mode="PERMISSIVE"`` turns it into NULLs.
+    wrong type or a row of the wrong length stops the load, in whatever columns are read: rows are always
+    parsed whole. ``mode="PERMISSIVE"`` turns it into NULLs; ``csv_load.CsvLoad`` keeps such rows apart instead.
     Free text may span lines, so quoted line breaks are honoured by default for the
-    reviews table only, as they stop a file from being split.
+    reviews table only, as they stop this reader from splitting a file (``CsvLoad`` splits it all the same).
     """
 
     def read(table: str) -> DataFrame:
@@ -51,11 +63,14 @@ def read_csv_folder(spark: SparkSession, folder: str, **options) -> Frames:
             "header": True,
             "enforceSchema": False,
             "escape": '"',
-            "mode": "FAILFAST",
-            "multiLine": table == "reviews",
+            "mode": "PERMISSIVE",
+            "columnPruning": False,
+            "columnNameOfCorruptRecord": CORRUPT,
+            "multiLine": table in MULTILINE,
             **options,
         }
-        return spark.read.schema(RAW_SCHEMAS[table]).options(**settings).csv(f"{folder}/{table}.csv")
+        rows = spark.read.schema(f"{RAW_SCHEMAS[table]}, {CORRUPT} string").options(**settings).csv(f"{folder}/{table}.csv")
+        return (rows if "mode" in options else rows.filter(_sound(rows.columns))).drop(CORRUPT)
 
     return Frames({table: (lambda t=table: read(t)) for table in RAW_SCHEMAS})
 
