@@ -1,3 +1,5 @@
+import math
+import random
 from datetime import date
 
 import pytest
@@ -107,3 +109,30 @@ def test_labels_and_levels(spark):
     assert [value_of(spark, labels.level_score(F.lit(v))) for v in ("High", "Medium", "Low", "other")] == [3, 2, 1, 1]
     assert [value_of(spark, labels.risk_level(F.lit(v))) for v in (9, 6, 4, 3, 2)] == ["High", "High", "Medium", "Medium", "Low"]
     assert labels.state_lookup(spark).count() == 27
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_sums_lose_no_digit_at_any_scale(spark, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        assert sum_of(spark, [3e-19, 4e-19]) == pytest.approx(7e-19, rel=1e-15)
+        assert sum_of(spark, [1.23456789012e-15] * 3) == pytest.approx(3.70370367036e-15, rel=1e-15)
+        assert sum_of(spark, [1.23456789012e-15] * 3, numeric.exact_avg) == pytest.approx(1.23456789012e-15, rel=1e-15)
+        for scale in (1e-300, 1e-100, 1e-40, 1e-21, 1e-18, 1e-6, 1.0, 1e17, 1e25, 1e300):
+            assert sum_of(spark, [1.2345678901234567 * scale, 2.5 * scale]) == pytest.approx(3.7345678901234567 * scale, rel=1e-15, abs=0)
+        assert sum_of(spark, [1e15, 1e-20, -1e15]) == 1e-20  # where plain doubles give nothing
+        assert sum_of(spark, [1e300, 1e-300, None]) == 1e300
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_small_sums_do_not_depend_on_the_order(spark):
+    draw = random.Random(2)
+    values = [draw.uniform(-1, 1) * 10.0 ** draw.randint(-20, 3) for _ in range(500)]
+    totals = set()
+    for parts in (1, 2, 7):
+        draw.shuffle(values)
+        df = spark.createDataFrame([(v,) for v in values], "x double").repartition(parts)
+        totals.add(df.agg(numeric.exact_sum(F.col("x"))).first()[0])
+    assert len(totals) == 1 and totals.pop() == pytest.approx(math.fsum(values), rel=1e-14)

@@ -68,3 +68,13 @@ def test_values_that_are_no_numbers_do_not_break_it(spark):
     assert iqr_outliers(frame(spark, values + [math.nan] * 3), "x", "high", "low").count() >= 0
     found = iqr_outliers(frame(spark, values + [math.inf]), "x", "high", "low").collect()
     assert [r["x"] for r in found] == [math.inf]
+
+
+@pytest.mark.parametrize("scale", [1e-300, 1e-30, 1e-18, 1.0, 1e30, 1e300])
+def test_moments_at_any_scale(spark, scale):
+    values = [float(x) * scale / 100 for x in range(1, 100)] + [5.0 * scale]
+    df = spark.createDataFrame([(v,) for v in values], "x double").repartition(3)
+    (row,) = iqr_outliers(df, "x", "high", "low").collect()
+    shares = [v / scale for v in values]
+    assert row["mean"] / scale == pytest.approx(statistics.fmean(shares), rel=1e-13)
+    assert row["std"] / scale == pytest.approx(statistics.stdev(shares), rel=1e-12) and row["outlier_flag"] == "high"
