@@ -120,6 +120,32 @@ def test_write_table_replaces(spark, databases):
     assert write_table(spark.range(3).withColumn("p", F.col("id") % 2), databases[0], "t", partition_by=("p",)).count() == 3
 
 
+def test_a_failed_write_changes_nothing(spark, databases):
+    write_table(spark.range(5), databases[0], "t")
+    broken = spark.range(100).select(F.when(F.col("id") < 99, F.col("id")).otherwise(F.raise_error(F.lit("lost")).cast("long")).alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        write_table(broken, databases[0], "t")
+    assert sorted(r["id"] for r in spark.table(f"{databases[0]}.t").collect()) == [0, 1, 2, 3, 4]
+    assert {t.name for t in spark.catalog.listTables(databases[0]) if not t.isTemporary} == {"t"}
+    with pytest.raises(Exception, match="lost"):
+        write_table(broken, databases[0], "new")
+    assert not spark.catalog.tableExists(f"{databases[0]}.new")
+
+
+@pytest.mark.parametrize("layout", [{}, {"bucket_by": "id", "buckets": 3}, {"partition_by": ("p",)}])
+def test_a_table_is_rebuilt_from_itself_and_readers_keep_theirs(spark, databases, layout):
+    rows = spark.range(6).withColumn("p", F.col("id") % 2)
+    before = write_table(rows, databases[0], "t", **layout)
+    again = write_table(spark.table(f"{databases[0]}.t").filter("id > 1").unionByName(spark.range(10, 12).withColumn("p", F.lit(7))), databases[0], "t", **layout)
+    assert sorted(r["id"] for r in again.collect()) == [2, 3, 4, 5, 10, 11]
+    assert before.count() == 6  # planned on the files of before
+    wider = write_table(again.withColumn("q", F.lit("x")), databases[0], "t", **layout)
+    assert set(wider.columns) == {"id", "p", "q"} and wider.count() == 6
+    assert {t.name for t in spark.catalog.listTables(databases[0]) if not t.isTemporary} == {"t"}
+    folder = spark.catalog.getDatabase(databases[0]).locationUri.removeprefix("file:") + "/versions.t"
+    assert len(os.listdir(folder)) == 2
+
+
 def test_pipeline_is_repeatable_and_buckets_spare_the_shuffle(spark, databases):
     raw = marketplace_tables(spark, FOLDER)
     first = run_pipeline(spark, raw, *databases, settings=RETAIL_SETTINGS, buckets=4)

@@ -1,0 +1,148 @@
+"""Steps in their order, several at a time; resume; the command line's exit code; SQL with the library's functions."""
+
+import os
+import threading
+import time
+import uuid
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+import tradewind.pipeline as pipeline
+from tradewind.__main__ import main
+from tradewind.plans.marts import DELIVERY_BUCKETS, delivery_bucket
+from tradewind.sources.retail import RETAIL_SETTINGS, marketplace_tables
+from tradewind.sql import EXPRESSIONS, FUNCTIONS, Sql, sql_function
+from tradewind.steps import Step, run_steps
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def test_steps_follow_what_they_wait_for():
+    ended = []
+    step = lambda name, *after: Step(lambda: ended.append(name) or name.upper(), after)
+    done = run_steps({"d": step("d", "b", "c"), "b": step("b", "a"), "c": step("c", "a"), "a": step("a")}, parallel=3)
+    assert ended[0] == "a" and ended[-1] == "d" and done == {n: n.upper() for n in "abcd"}
+
+
+def test_independent_steps_run_at_the_same_time():
+    meet = threading.Barrier(3, timeout=20)
+    run_steps({str(i): Step(meet.wait) for i in range(3)}, parallel=3)
+    with pytest.raises(threading.BrokenBarrierError):
+        lonely = threading.Barrier(2, timeout=0.3)
+        run_steps({str(i): Step(lonely.wait) for i in range(2)}, parallel=1)
+
+
+def test_a_failed_step_begins_no_other_and_is_raised():
+    begun = []
+
+    def fail():
+        time.sleep(0.1)
+        raise KeyError("broken")
+
+    with pytest.raises(KeyError, match="broken"):
+        run_steps({"a": Step(fail), "slow": Step(lambda: time.sleep(0.3)), "b": Step(lambda: begun.append(1), ("slow",))}, parallel=2)
+    assert not begun
+    with pytest.raises(ValueError, match="wait for each other"):
+        run_steps({"a": Step(fail, ("b",)), "b": Step(fail, ("a",))})
+    with pytest.raises(ValueError, match="don't exist"):
+        run_steps({"a": Step(fail, ("x",))})
+
+
+@pytest.fixture(scope="module")
+def databases(spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("databases")
+    names = [f"{kind}_{uuid.uuid4().hex[:8]}" for kind in ("warehouse", "marts")]
+    for name in names:
+        spark.sql(f"CREATE DATABASE {name} LOCATION '{folder}/{name}'")
+    yield names
+    for name in names:
+        spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+def test_an_interrupted_run_goes_on_where_it_stopped(spark, databases, monkeypatch):
+    raw, written = marketplace_tables(spark, FOLDER), []
+    write = pipeline.write_table
+
+    def interrupted(df, database, name, **layout):
+        if name == "category_performance" and len(written) < 50:
+            raise RuntimeError("executors are gone")
+        written.append(name)
+        return write(df, database, name, **layout)
+
+    monkeypatch.setattr(pipeline, "write_table", interrupted)
+    with pytest.raises(RuntimeError, match="gone"):
+        pipeline.run_pipeline(spark, raw, *databases, settings=RETAIL_SETTINGS, parallel=2, run_id="monday")
+    first = set(written)
+    assert set(pipeline.WAREHOUSE) <= first and "category_performance" not in first
+    written.clear()
+    monkeypatch.setattr(pipeline, "write_table", lambda df, d, name, **layout: written.append(name) or write(df, d, name, **layout))
+    built = pipeline.run_pipeline(spark, raw, *databases, settings=RETAIL_SETTINGS, run_id="monday")
+    assert set(written) == set(pipeline.MARTS) - first and "category_performance" in written
+    assert tuple(built.marts) == pipeline.MARTS and built.marts["customer_rfm"].count() == 1108
+
+
+def test_command_line(spark, databases, tmp_path, capsys):
+    """After the run above: its order dates lie partly outside the calendar, so one check fails."""
+    layers = ["--warehouse", databases[0], "--marts", databases[1]]
+    assert main([*layers, "check"], spark) == 1
+    assert "orders_date_fk" in capsys.readouterr().out
+    assert main([*layers, "counts"], spark) == 0
+    assert "customer_rfm: 1,108" in capsys.readouterr().out
+    assert main([*layers, "sql", "SELECT count(*) AS n, month_label(2018, 3) FROM {marts}.monthly_sales"], spark) == 0
+    assert capsys.readouterr().out == "24\t2018-03\n"
+    with pytest.raises(SystemExit):
+        main(["run"], spark)
+
+
+def test_a_run_from_the_command_line(spark, tmp_path, capsys):
+    from test_pipeline import CSV
+
+    for name, text in CSV.items():
+        (tmp_path / f"{name}.csv").write_text(text)
+    names = [f"{kind}_{uuid.uuid4().hex[:8]}" for kind in ("w", "m")]
+    for name in names:
+        spark.sql(f"CREATE DATABASE {name} LOCATION '{tmp_path}/{name}'")
+    words = ["--warehouse", names[0], "--marts", names[1], "run", "--csv", str(tmp_path)]
+    assert main(words, spark) == 0
+    assert "fact_orders: 2" in (out := capsys.readouterr().out) and "26 passed, 0 failed" in out
+    with open(os.path.join(tmp_path, "payments.csv"), "a") as file:
+        file.write("o1,xx,voucher,1,7.00\n")
+    assert main([*words, "--stop-on-failed-checks"], spark) == 1
+    for name in names:
+        spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+VALUES = {
+    "scaled_round": [(1.005, 2), (-2.5, 0), (None, 1)],
+    "even_round": [(2.5, 0), (0.125, 2)],
+    "ratio": [(1.0, 4.0), (1.0, 0.0)],
+    "pct": [(1.0, 8.0), (2.0, 0.0)],
+    "date_key": [(date(2018, 11, 4),), (None,)],
+    "weekday_from_sunday": [(date(2018, 11, 4),), (date(2018, 11, 3),)],
+    "month_boundaries": [(date(2018, 1, 31), date(2018, 2, 1)), (date(2017, 12, 31), date(2016, 1, 1))],
+    "month_label": [(2018, 3), (2017, 12)],
+    "level_score": [("High",), ("Low",), ("other",)],
+}
+
+
+def test_sql_functions_say_what_the_expressions_say(spark):
+    Sql(spark)
+    assert set(EXPRESSIONS) == set(VALUES) and set(FUNCTIONS) == {*VALUES, "delivery_bucket"}
+    for name, rows in VALUES.items():
+        for row in rows:
+            plain = [v if isinstance(v, int) and name.endswith("round") and i else F.lit(v) for i, v in enumerate(row)]
+            found = spark.range(1).select(sql_function(name, *map(F.lit, row)), EXPRESSIONS[name](*plain)).first()
+            assert found[0] == found[1], (name, row)
+    days = spark.range(-20, 20).select(sql_function("delivery_bucket", F.col("id").cast("int")), delivery_bucket(F.col("id")))
+    assert all(a == b for a, b in days.collect()) and len(DELIVERY_BUCKETS) == 5
+
+
+def test_statements_over_frames_and_their_limits(spark):
+    frames = {"t": spark.range(10).withColumn("x", F.col("id") % 3)}
+    sql = Sql(spark, marts=frames)
+    assert sql.q("SELECT x, count(*) AS n FROM {marts}.t WHERE id >= :least GROUP BY x ORDER BY x", least=4).collect() == [(0, 2), (1, 2), (2, 2)]
+    assert len(sql.fetch("SELECT * FROM {marts}.t")) == 10
+    with pytest.raises(ValueError, match="more than 5"):
+        sql.fetch("SELECT * FROM {marts}.t", most=5)

@@ -1,12 +1,15 @@
-"""Full-refresh tables in catalog databases."""
+"""Full-refresh tables in catalog databases, replaced in one step."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+KEPT_VERSIONS = 2  # the current files of a table and those before them
+
 
 def ensure_database(spark: SparkSession, database: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
@@ -23,18 +26,72 @@ def write_table(
 ) -> DataFrame:
     """Replace ``database.name`` with the rows of ``df`` and return the stored table.
 
+    The rows are written beside the table, under a path of their own; only when all are there does the table point to
+    them. So a job that fails changes nothing, a table may be rebuilt from itself, and who has begun to read
+    goes on with the files of before, which stay until the refresh after next. A table of the same columns and
+    buckets is repointed in one catalog call; where these change, or with partitions, it is renamed into place.
+
     Tables bucketed on the same key and count join and aggregate on it without a shuffle; a
     shuffle before the write makes each bucket one file.
     """
+    spark = df.sparkSession
     if bucket_by and buckets:
         df = df.repartition(buckets, bucket_by)
-    writer = df.write.mode("overwrite").format("parquet")
+    version = uuid.uuid4().hex
+    folder = f"{spark.catalog.getDatabase(database).locationUri.rstrip('/')}/versions.{name}"
+    staged = f"{name}__{version}"
+    writer = df.write.format("parquet").option("path", f"{folder}/{version}")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if bucket_by and buckets:
         writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by)
-    writer.saveAsTable(f"`{database}`.`{name}`")
-    return df.sparkSession.table(f"`{database}`.`{name}`")
+    try:
+        writer.saveAsTable(f"`{database}`.`{staged}`")
+        _swap(spark, database, name, staged, f"{folder}/{version}")
+    except BaseException:
+        spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{staged}`")
+        _delete(spark, f"{folder}/{version}")
+        raise
+    _forget_old(spark, folder, version)
+    return spark.table(f"`{database}`.`{name}`")
+
+
+def _swap(spark: SparkSession, database: str, name: str, staged: str, path: str) -> None:
+    """``name`` now shows what ``staged`` shows."""
+    table, fresh = f"`{database}`.`{name}`", f"`{database}`.`{staged}`"
+    if not spark.catalog.tableExists(table):
+        spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+    elif _layout(spark, table) == _layout(spark, fresh) and not _layout(spark, table)[2]:
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+        spark.sql(f"DROP TABLE {fresh}")
+    else:
+        old = f"`{database}`.`{name}__old_{uuid.uuid4().hex}`"
+        spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+        spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+        spark.sql(f"DROP TABLE {old}")
+    spark.catalog.refreshTable(table)
+
+
+def _layout(spark: SparkSession, table: str) -> tuple:
+    """Kind of table, columns and buckets, partition columns."""
+    facts = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    partitions = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    buckets = [facts.get(k) for k in ("Type", "Num Buckets", "Bucket Columns", "Sort Columns")]
+    return spark.table(table).schema.simpleString(), buckets, partitions
+
+
+def _forget_old(spark: SparkSession, folder: str, current: str) -> None:
+    """Deletes all but the latest versions of a table's files."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    others = [s for s in files.listStatus(root) if s.getPath().getName() != current]
+    for old in sorted(others, key=lambda s: -s.getModificationTime())[KEPT_VERSIONS - 1 :]:
+        files.delete(old.getPath(), True)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
