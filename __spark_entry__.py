@@ -23,6 +23,7 @@ from tradewind.sources.raw import RAW_SCHEMAS, stage
 from tradewind.sources.retail import RETAIL_SETTINGS as S
 from tradewind.sources.retail import marketplace_tables
 from tradewind.sources.sink import row_counts
+from tradewind.sql import Sql
 
 try:  # the text operators are an optional part, with third-party modules of their own
     import corpus_pipeline
@@ -161,6 +162,11 @@ class Tables:
     def marts(self) -> Frames:
         return m.build_marts(self.stored_warehouse, S)
 
+    @cached_property
+    def sql(self) -> Sql:
+        read = ("fact_orders", "dim_customers", "dim_sellers")
+        return Sql(self.spark, warehouse={name: self.warehouse[name] for name in read})
+
     def check(self, name: str) -> DataFrame:
         wh, (check,) = self.warehouse, [c for c in WAREHOUSE_CHECKS if c.name == name]
         if check.table == "fact_order_items":
@@ -216,6 +222,34 @@ class Tables:
         )
 
 
+# Statements as an analyst writes them, over the tables by name.
+STATEMENTS = {
+    "sql_headline": """
+        SELECT count(DISTINCT order_id) AS total_orders, count(DISTINCT customer_key) AS unique_customers,
+               scaled_round(sum(total_payment), 0) AS total_revenue, scaled_round(avg(total_payment), 2) AS avg_order_value,
+               sum(CASE WHEN delivery_delay_days > 0 THEN 1 ELSE 0 END) AS late_orders
+        FROM {warehouse}.fact_orders WHERE order_status NOT IN ('canceled', 'unavailable')""",
+    "sql_customers_per_seller": """
+        WITH customer_state AS (SELECT state, count(*) AS customers FROM {warehouse}.dim_customers GROUP BY state),
+             seller_state AS (SELECT state, count(*) AS sellers FROM {warehouse}.dim_sellers GROUP BY state)
+        SELECT c.state, c.customers, coalesce(s.sellers, 0) AS sellers,
+               scaled_round(ratio(c.customers, coalesce(s.sellers, 0)), 1) AS customers_per_seller
+        FROM customer_state c LEFT JOIN seller_state s USING (state)""",
+    "sql_delays": """
+        SELECT delivery_bucket(delivery_delay_days) AS bucket, count(*) AS orders,
+               scaled_round(pct(count(*), sum(count(*)) OVER ()), 1) AS share
+        FROM {warehouse}.fact_orders WHERE delivery_delay_days IS NOT NULL GROUP BY 1""",
+    "sql_weekdays": """
+        SELECT weekday_from_sunday(cast(purchased_at AS DATE)) AS weekday, month_label(year(purchased_at), month(purchased_at)) AS month,
+               max(month_boundaries(cast(purchased_at AS DATE), cast(delivered_at AS DATE))) AS most_months, count(*) AS orders
+        FROM {warehouse}.fact_orders GROUP BY 1, 2""",
+    "sql_high_payments": """
+        SELECT order_status, count(*) AS orders, scaled_round(max(total_payment), 2) AS most,
+               scaled_round(sum(total_payment), 2) AS total
+        FROM {warehouse}.fact_orders WHERE total_payment > 0 GROUP BY order_status""",
+}
+
+
 def _plain(df: DataFrame) -> DataFrame:
     """Decimals as doubles, so that every engine's client shows the same value."""
     return df.select(
@@ -321,7 +355,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         f"check_{c.name}": _query(lambda t, name=c.name: t.check(name)) for c in WAREHOUSE_CHECKS
     }
     texts = {"pipeline": corpus_pipeline.run, **llm.QUERIES} if llm else {}
-    return {name: _query(build) for name, build in QUERIES.items()} | checks | texts
+    statements = {name: _query(lambda t, text=text: t.sql.q(text)) for name, text in STATEMENTS.items()}
+    return {name: _query(build) for name, build in QUERIES.items()} | checks | statements | texts
 
 
 def oracle_sql() -> dict[str, str]:

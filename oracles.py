@@ -627,6 +627,30 @@ ANSWERS["dashboard_payload"] = f"""
                         'freight_ratio': avg_freight_ratio::decimal(18,3)}} order by total_revenue desc, category)
                        from ({TOP_CATEGORIES.format(10)}))
     }})::varchar as payload"""
+ANSWERS |= {
+    "sql_headline": """
+        select count(distinct order_id) as total_orders, count(distinct customer_key) as unique_customers,
+               round(sum(total_payment), 0) as total_revenue, round(avg(total_payment), 2) as avg_order_value,
+               count(*) filter (delivery_delay_days > 0) as late_orders
+        from fact_orders where order_status not in ('canceled', 'unavailable')""",
+    "sql_customers_per_seller": """
+        select c.state, customers, coalesce(sellers, 0) as sellers, round(customers::double / nullif(sellers, 0), 1) as customers_per_seller
+        from (select state, count(*) as customers from dim_customers group by state) c
+        left join (select state, count(*) as sellers from dim_sellers group by state) s on c.state = s.state""",
+    "sql_delays": """
+        select case when delivery_delay_days <= -14 then 'Very Early (>14d)' when delivery_delay_days <= -7 then 'Early (7-14d)'
+                    when delivery_delay_days <= 0 then 'On Time (0-7d early)' when delivery_delay_days <= 7 then 'Late (1-7d)'
+                    else 'Very Late (>7d)' end as bucket,
+               count(*) as orders, round(100.0::double * count(*) / sum(count(*)) over (), 1) as share
+        from fact_orders where delivery_delay_days is not null group by 1""",
+    "sql_weekdays": """
+        select dayofweek(purchased_at)::int as weekday, strftime(purchased_at, '%Y-%m') as month,
+               max(date_diff('month', purchased_at, delivered_at))::int as most_months, count(*) as orders
+        from fact_orders group by 1, 2""",
+    "sql_high_payments": """
+        select order_status, count(*) as orders, round(max(total_payment), 2) as most, round(sum(total_payment), 2) as total
+        from fact_orders where total_payment > 0 group by order_status""",
+}
 ANSWERS |= {f"check_{name}": _check_row(name) for name in CHECKS}
 
 

@@ -11,7 +11,7 @@ import pytest
 import __spark_entry__ as entry
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES = {n: q for n, q in entry.queries().items() if n in entry.QUERIES or n.startswith("check_")}
+QUERIES = {n: q for n, q in entry.queries().items() if n in entry.QUERIES or n.startswith(("check_", "sql_"))}
 ORACLES = {n: sql for n, sql in entry.oracle_sql().items() if n in QUERIES}
 
 
