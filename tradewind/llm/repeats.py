@@ -14,7 +14,8 @@ window but the first in document order is a repeat, and all its bytes are covere
 Identifiers of grams are 64-bit rolling hashes: different windows would have to agree in all
 identifiers to be taken as equal.
 
-An anchor met more than ``CROWD`` times is refined before its windows meet: they fall into parts by how far
+Later copies of whole texts are told by their hash alone and bring no anchors, in groups of more than one row in
+``COPIED``; the copies of smaller groups meet like other repeats. An anchor met more than ``CROWD`` times is refined before its windows meet: they fall into parts by how far
 before the gram they begin, and a part's new bucket is the gram with all bytes that the part's windows have in
 common around it. Buckets that stay too large are parted again, until a part is one window and its
 bucket holds equal windows only. Those, if still more than ``CROWD``, are dealt over several tasks by document;
@@ -46,6 +47,7 @@ LENGTH = 100
 GRAM = 32
 CROWD = 20_000  # rows of one bucket in a task; each takes some kilobytes while it is settled
 PARTS = 4  # a refinement of a large bucket
+COPIED = 100_000  # texts, of 40 bytes each, whose copies are known in every task
 SPAN = LENGTH - GRAM + 1  # grams in a window
 STRETCH = 1 << 18  # bytes worked on at once while anchors are sought
 WINDOWS = 2_000_000  # refined at once
@@ -345,9 +347,29 @@ def _identity(id_col: str, text_col: str) -> list[Column]:
     return [F.coalesce(F.col(id_col).cast("long"), F.lit(2**63 - 1)).alias("id"), F.xxhash64(text).alias("twin")]
 
 
+def _copied(source: DataFrame) -> DataFrame:
+    """Texts with very many copies, as (c_twin, c_digest, c_first), the smallest id: at most ``COPIED`` of them."""
+    sized = source.filter(F.octet_length("text") >= LENGTH).select("twin", F.md5("text").alias("digest"), "id")
+    groups = stored(sized.groupBy("twin", "digest").agg(F.min("id").alias("first"), F.count("*").alias("n")).filter("n > 1"), "copies")
+    rows = groups.agg(F.sum("n")).first()[0] or 0
+    # Of groups with more than rows / COPIED rows there can't be more than COPIED; others need no special care.
+    some = groups.filter(F.col("n") > rows // COPIED)
+    return some.select(F.col("twin").alias("c_twin"), F.col("digest").alias("c_digest"), F.col("first").alias("c_first"))
+
+
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, twin, spans): every covered stretch of bytes of a text, as (begin, end), unmerged."""
-    source = _once(_source(docs, id_col, text_col))
+    every = _once(_source(docs, id_col, text_col))
+    copied = F.broadcast(_copied(every))
+    # A later copy of a whole text is covered from end to end, and what it covers elsewhere its first copy covers as well.
+    later = (F.col("twin") == F.col("c_twin")) & (F.md5("text") == F.col("c_digest")) & (F.col("id") > F.col("c_first"))
+    whole = F.array(F.struct(F.lit(0).cast("long").alias("begin"), F.octet_length("text").cast("long").alias("end")))
+    copies = every.join(copied, later).select("id", "twin", whole.alias("spans"))
+    return _partly_repeated(every.join(copied, later, "left_anti")).unionByName(copies)
+
+
+def _partly_repeated(source: DataFrame) -> DataFrame:
+    """The spans of texts none of which has very many copies."""
     # Counted apart and joined, so that no task has to take all rows of a gram. Anchors are sought twice rather than stored.
     grams = stored(_anchor_rows(source).groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1"), "grams")
     met = stored(_anchor_rows(source).join(grams, "gram"), "anchors")
