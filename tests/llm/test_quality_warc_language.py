@@ -88,6 +88,17 @@ def test_small_and_null_cells_use_wider_estimates(spark):
     assert kept.columns == docs.columns and kept.count() == sum(r["kept"] for r in found)
 
 
+def test_a_row_is_judged_in_its_own_language_even_where_id_and_text_repeat(spark):
+    """Marks after every word are usual in one language and junk in the other."""
+    marked = lambda i: prose(120, i).replace(" ", "%%% ")
+    rows = [(i, prose(120, i), "en", "s", 1, None, "x", 7, 1) for i in range(250)]
+    rows += [(1000 + i, marked(i), "xx", "s", 1, None, "x", 7, 1) for i in range(250)]
+    rows.append((1003, marked(3), "en", "s", 1, None, "y", 7, 1))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    kept = [(r["doc_id"], r["lang"]) for r in quality.accepted(docs).collect()]
+    assert (1003, "xx") in kept and (1003, "en") not in kept and len(kept) > 480
+
+
 def test_quality_of_nothing(make_docs):
     assert quality.judged(make_docs([])).count() == 0 and quality.accepted(make_docs([])).count() == 0
 
@@ -166,6 +177,19 @@ def test_languages(spark):
     assert found[None]["lang_pred"] == found[502]["lang_pred"] == "aa" and all(0 <= r["score"] <= 1 for r in found.values())
 
 
+def test_very_many_labels_and_one_row_very_often(spark, monkeypatch):
+    """The most frequent labels are learned; a third of all rows alike count once in the sample."""
+    draw = random.Random(2)
+    word = lambda letters: " ".join("".join(draw.choices(letters, k=5)) for _ in range(20))
+    rows = [(3 * i, word("abcde"), "aa") for i in range(60)] + [(3 * i + 900, word("vwxyz"), "bb") for i in range(60)]
+    rows += [(5, "lmnop mnopl", "aa")] * 120 + [(i + 5000, word("abcde"), f"dirt{i}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    monkeypatch.setattr(language, "LABELS", 2)
+    found = language.identify(docs).collect()
+    assert len(found) == len(rows) and {r["lang_pred"] for r in found} == {"aa", "bb"}
+    assert all(r["lang_pred"] == "bb" for r in found if 900 <= r["id"] < 1200)
+
+
 def test_languages_of_nothing_and_without_labels(make_docs):
     assert language.identify(make_docs([])).count() == 0
     found = language.identify(make_docs([(1, "some text"), (2, None)], lang=None)).collect()

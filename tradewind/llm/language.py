@@ -9,8 +9,8 @@ rejected, and the language stays the nearest one.
 
 Document frequencies come from every labelled text that may be learned from, as 4096 sums. Centroids
 are fitted on at most ``SAMPLE`` texts of a language, those with the smallest hashes of
-their ids: a bounded, documented sample, gathered per language in one task. The model is
-languages x CLUSTERS x BINS numbers; it goes to the tasks with the function that predicts.
+id and text, repeated rows once: a bounded, documented sample, gathered per language in one task. Of more than ``LABELS`` labels
+the most frequent are learned. The model is languages x CLUSTERS x BINS numbers, 16 KB a centroid; it goes to the tasks with the function that predicts.
 
 Defined results: a null text, or one without letters, is ``und`` with score 0 and not rejected; rows
 with a null label or a null id are predicted but not learned from; rows that repeat are predicted
@@ -34,6 +34,7 @@ BINS = 4096
 CLUSTERS = 4
 SAMPLE = 800
 ROUNDS = 12
+LABELS = 1_000
 REJECTED = 0.001
 STRETCH = 1 << 20
 BATCH = 256
@@ -123,11 +124,13 @@ def fit(labelled: DataFrame) -> Model:
     known = labelled.filter("id is not null and text is not null and label is not null")
     n, filled = document_frequencies(known)
     idf = np.log((1 + n) / (1 + filled)) + 0.05
-    # One row per language, as many as the model has: broadcast, so that no text moves before it is drawn.
-    sizes = F.broadcast(known.groupBy("label").agg(F.count("*").alias("n")))
-    # About SAMPLE texts of each language by the hash of their ids; the task then keeps the least SAMPLE.
-    draw = F.pmod(F.xxhash64("id"), F.lit(1 << 30))
+    # One row per language, LABELS at most: broadcast, so that no text moves before it is drawn.
+    counted = known.groupBy("label").agg(F.count("*").alias("n"))
+    sizes = F.broadcast(counted.orderBy(F.desc("n"), "label").limit(LABELS))
+    # About SAMPLE texts of each language by the hash of id and text, repeated rows once; the task then keeps the least SAMPLE.
+    draw = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30))
     drawn = known.join(sizes, "label").withColumn("draw", draw).filter(F.col("draw") * F.col("n") < F.lit(1.3 * SAMPLE * (1 << 30)))
+    drawn = drawn.groupBy("label", "id", "draw").agg(F.min("text").alias("text"))
 
     def centroids(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows[[has_letter(t) for t in rows["text"]]].sort_values(["draw", "id", "text"]).head(SAMPLE)

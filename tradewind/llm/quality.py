@@ -209,17 +209,23 @@ def _concentrate(vectors: DataFrame, estimates: DataFrame) -> DataFrame:
     )
 
 
+def _cell(lang_col: str, source_col: str) -> Column:
+    """Language and source as one text, nulls included."""
+    return F.to_json(F.struct(F.col(lang_col).alias("l"), F.col(source_col).alias("s")))
+
+
 def judged(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source"
 ) -> DataFrame:
-    """id, twin (a hash of the text), the statistics, base_failed, distance (NULL where base_failed) and kept, per row."""
+    """id, twin (a hash of the text), cell (language and source), the statistics, base_failed, distance (NULL where
+    base_failed) and kept, per row."""
     text = F.col(text_col)
     source = docs.select(
         F.col(id_col).alias("id"),
         text.alias("text"),
         F.xxhash64(F.coalesce(text, F.lit(""))).alias("twin"),
         F.to_json(F.struct(F.col(lang_col).alias("l"))).alias("lang_key"),
-        F.to_json(F.struct(F.col(lang_col).alias("l"), F.col(source_col).alias("s"))).alias("cell"),
+        _cell(lang_col, source_col).alias("cell"),
     )
     measured = text_statistics(source, F.col("text")).drop("text")
     failed = (F.col("n_words") < FEWEST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
@@ -236,6 +242,7 @@ def judged(
     return known.withColumn("distance", distance).select(
         "id",
         "twin",
+        "cell",
         *["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "distance"],
         (~F.col("base_failed") & (F.col("distance") <= CUT)).alias("kept"),
         *FEATURES,
@@ -247,7 +254,8 @@ def accepted(
 ) -> DataFrame:
     """The rows that pass, with all their columns."""
     passed = judged(docs, id_col, text_col, lang_col, source_col).filter("kept")
-    keys = passed.select(F.col("id").alias("_tw_id"), F.col("twin").alias("_tw_twin")).distinct()
-    marked = docs.withColumn("_tw_hash", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    same = marked[id_col].eqNullSafe(keys["_tw_id"]) & (marked["_tw_hash"] == keys["_tw_twin"])
-    return marked.join(keys, same, "left_semi").drop("_tw_hash")
+    keys = passed.select(F.col("id").alias("_tw_id"), F.col("twin").alias("_tw_twin"), F.col("cell").alias("_tw_of")).distinct()
+    hashed = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    marked = docs.withColumns({"_tw_hash": hashed, "_tw_cell": _cell(lang_col, source_col)})
+    same = marked[id_col].eqNullSafe(keys["_tw_id"]) & (marked["_tw_hash"] == keys["_tw_twin"]) & (marked["_tw_cell"] == keys["_tw_of"])
+    return marked.join(keys, same, "left_semi").drop("_tw_hash", "_tw_cell")
