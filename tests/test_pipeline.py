@@ -11,7 +11,9 @@ from tradewind.operators.scratch import materialize, scratch_root, scratch_scope
 from tradewind.sources.csv_load import CsvLoad
 from tradewind.sources.raw import RAW_SCHEMAS, read_csv_folder, read_database, read_parquet_folder, stage
 from tradewind.sources.retail import RETAIL_SETTINGS, marketplace_tables
-from tradewind.sources.sink import ensure_database, row_counts, write_table
+from tradewind.operators.quality import RowCheck
+from tradewind.plans.checks import WAREHOUSE_CHECKS, quality_report
+from tradewind.sources.sink import ensure_database, observations, row_counts, write_table
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -91,6 +93,23 @@ def test_csv_load_to_marts_counts_rejected_rows(spark, csv_folder, databases):
         run_pipeline(spark, CsvLoad(spark, csv_folder), *databases, stop_on_failed_checks=True)
 
 
+@pytest.mark.parametrize("buckets", [0, 3])
+def test_row_checks_are_counted_while_the_facts_are_written(spark, databases, buckets):
+    raw = marketplace_tables(spark, FOLDER)
+    built = run_pipeline(spark, raw, *databases, settings=RETAIL_SETTINGS, buckets=buckets)
+    rows = lambda df: {tuple(r) for r in df.collect()}
+    assert rows(built.quality) == rows(quality_report(built.warehouse)) and built.quality.count() == 17
+    row_checks = {c.name for c in WAREHOUSE_CHECKS if isinstance(c, RowCheck)}
+    known = observations(databases[0], "fact_orders", built.warehouse["fact_orders"])
+    known |= observations(databases[0], "fact_order_items", built.warehouse["fact_order_items"])
+    assert row_checks <= set(known)
+    # What is known is not scanned for: no row check is left to be turned from a column into a row.
+    plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in (built.quality, quality_report(built.warehouse))]
+    assert ["Expand" in plan for plan in plans] == [False, True]
+    other = built.warehouse["fact_orders"].limit(5)
+    assert observations(databases[0], "fact_orders", other) == {}
+
+
 def test_csv_header_must_match(spark, csv_folder):
     (open(os.path.join(csv_folder, "sellers.csv"), "w")).write("seller_id,seller_state\ns,SP\n")
     with pytest.raises(Exception, match="(?i)header"):

@@ -115,5 +115,7 @@ WAREHOUSE_CHECKS: list[Check] = [
 ]
 
 
-def quality_report(wh: Mapping[str, DataFrame], checks: list[Check] = WAREHOUSE_CHECKS) -> DataFrame:
-    return run_checks(wh, checks)
+def quality_report(
+    wh: Mapping[str, DataFrame], checks: list[Check] = WAREHOUSE_CHECKS, known: Mapping[str, int] | None = None
+) -> DataFrame:
+    return run_checks(wh, checks, known)

@@ -6,8 +6,10 @@ import uuid
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
+ROWS = "rows"
+_OBSERVED: dict[tuple[str, str], dict[str, int]] = {}
 KEPT_VERSIONS = 2  # the current files of a table and those before them
 
 
@@ -23,6 +25,7 @@ def write_table(
     partition_by: tuple[str, ...] = (),
     bucket_by: str | None = None,
     buckets: int = 0,
+    observed: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Replace ``database.name`` with the rows of ``df`` and return the stored table.
 
@@ -33,10 +36,15 @@ def write_table(
 
     Tables bucketed on the same key and count join and aggregate on it without a shuffle; a
     shuffle before the write makes each bucket one file.
+
+    ``observed`` names aggregates of the rows, worked out by the tasks that write them; ``observations`` gives them back.
     """
     spark = df.sparkSession
     if bucket_by and buckets:
         df = df.repartition(buckets, bucket_by)
+    watch = Observation() if observed else None
+    if observed:
+        df = df.observe(watch, F.count(F.lit(1)).alias(ROWS), *[value.alias(f"m_{key}") for key, value in observed.items()])
     version = uuid.uuid4().hex
     folder = f"{spark.catalog.getDatabase(database).locationUri.rstrip('/')}/versions.{name}"
     staged = f"{name}__{version}"
@@ -53,7 +61,19 @@ def write_table(
         _delete(spark, f"{folder}/{version}")
         raise
     _forget_old(spark, folder, version)
-    return spark.table(f"`{database}`.`{name}`")
+    stored = spark.table(f"`{database}`.`{name}`")
+    if watch:
+        _OBSERVED[(database, name)] = {key.removeprefix("m_"): value for key, value in watch.get.items()}
+    return stored
+
+
+def observations(database: str, name: str, stored: DataFrame) -> dict[str, int]:
+    """What the last write of a table in this session observed, and its rows as ``ROWS``.
+
+    Nothing where the number of rows differs from what the files' footers say, as after a write by someone else.
+    """
+    found = _OBSERVED.get((database, name), {})
+    return found if found and found[ROWS] == stored.count() else {}
 
 
 def _swap(spark: SparkSession, database: str, name: str, staged: str, path: str) -> None:
@@ -95,7 +115,7 @@ def _delete(spark: SparkSession, path: str) -> None:
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """(table_name, n) for each table, as one query."""
+    """(table_name, n) for each table, as one query; of stored tables it reads the files' footers only."""
     counts = [
         df.agg(F.count("*").alias("n")).select(F.lit(name).alias("table_name"), "n")
         for name, df in tables.items()
