@@ -1,4 +1,5 @@
 import collections
+import random
 import zlib
 
 import numpy as np
@@ -98,3 +99,28 @@ def test_files_round_trip_in_order(make_docs, odd_pairs):
 
 def test_no_documents_no_files(make_docs):
     assert token_files.round_trip(make_docs([]), PATH, end_id=2).count() == 0
+
+
+def test_memory_is_bounded_and_long_chunks_are_not_kept(monkeypatch):
+    draw = random.Random(4)
+    encoder = tokens.Encoder(PATH)
+    long = ["".join(draw.choice("abcdefXYZ+/09é日本") for _ in range(5000)) for _ in range(4)]
+    texts = [f"{chunk} some words {chunk}, and\n{chunk[:90]}" for chunk in long] + ["x" * 300_000, "日本語" * 400, "aB" * 51 + "!"]
+    whole = [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(b, "<u4").tolist() for b in encoder.encode(texts)] == whole
+    assert max(map(len, encoder.chunks)) <= tokens.LONGEST_REMEMBERED
+    monkeypatch.setattr(tokens, "REMEMBERED", 20_000)
+    sizes = []
+    for k in range(60):
+        text = " ".join("".join(draw.choice("abcdefgh") for _ in range(9)) + draw.choice(["", ".", "(9)"]) for _ in range(50))
+        (found,) = encoder.encode([text])
+        assert np.frombuffer(found, "<u4").tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+        sizes.append(len(encoder.chunks))
+    assert max(sizes[1:]) < 200
+
+
+@pytest.mark.parametrize("text", ["É à Ünï ß. ÀÉ ÿŸ", "don't I'M a'b", "ﬁ Ⅷ ½ ² é", "NUL\x00x \x85 y  z", "Ａ １ İ ı ẞ", "a.b .c d., e- - --f", "\t\r\n \x0b"])
+def test_unusual_characters_give_the_librarys_ids(text):
+    encoder = tokens.Encoder(PATH)
+    (found,) = encoder.encode([text])
+    assert np.frombuffer(found, "<u4").tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids

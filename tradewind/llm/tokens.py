@@ -1,27 +1,41 @@
 """Token ids of whole texts by a public tokenizer, one encoder per Python worker.
 
 White space never enters a token of the tokenizers this is for, so a text's ids are those of
-its space-separated chunks in a row. An encoder remembers chunks it has met. Of new ones it
-sends the plain words through the tokenizers library together, without case and marks, and
-anything unusual on its own.
+its space-separated chunks in a row. An encoder remembers chunks it has met, up to a number of bytes. Of new
+ones it sends the plain words through the tokenizers library without case and marks, each once,
+and anything unusual as it is. Long chunks are not remembered.
 """
 
 from __future__ import annotations
 
-import json
-import re
-from collections.abc import Iterator
+import itertools
+import operator
+import struct
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-REMEMBERED = 600_000  # chunks; beyond it the memory starts anew
-LONGEST_REMEMBERED = 40  # characters
+REMEMBERED = 192 << 20  # bytes of chunks and ids, each with some overhead; beyond it the memory starts anew
+OVERHEAD = 120  # of an entry
+LONGEST_REMEMBERED = 100  # characters
 BATCH_CHARACTERS = 2_000_000  # of texts encoded at once
 # Letters of Latin-1, then ASCII marks: one word and one run of marks to the tokenizer, whatever the case.
-PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?%&*#$()\[\]>/-]*)").fullmatch
+WORD = "^[A-Za-zÀ-ÖØ-öø-ÿ]+$"
+MARKS = ".,;:!?%&*#$()[]>/-"
+
+
+def _byte_letters() -> dict[int, int]:
+    """The character a byte-level tokenizer writes for each byte: printable ones stand for themselves, others follow 255 in order."""
+    own = {*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)}
+    others = itertools.count(256)
+    return {byte: byte if byte in own else next(others) for byte in range(256)}
+
+
+BYTE_LETTERS = _byte_letters()
 
 
 class Encoder:
@@ -29,53 +43,59 @@ class Encoder:
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        with open(path, encoding="utf-8") as file:
-            model = json.load(file)["model"]
-        self.ends = np.zeros(max(model["vocab"].values()) + 1, bool)
-        suffix = model["end_of_word_suffix"]
-        self.ends[[i for token, i in model["vocab"].items() if token.endswith(suffix)]] = True
         self._forget()
 
     def _forget(self) -> None:
         self.chunks: dict[str, bytes] = {"": b""}
         self.words: dict[str, bytes] = {"": b""}
+        self.size = 0
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
-    def _learn_words(self, words: list[str]) -> None:
-        """Each is one word to the tokenizer, so its ids end with its only token that ends a word."""
-        for start in range(0, len(words), 2000):
-            some = words[start : start + 2000]
-            ids = self._ids(" ".join(some))
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) != len(some):
-                raise ValueError("the tokenizer cuts words in an unknown way")
-            data, begin = ids.tobytes(), 0
-            for word, end in zip(some, (cuts * 4).tolist()):
-                self.words[word] = data[begin:end]
-                begin = end
+    def _learn_words(self, words: Iterable[str]) -> None:
+        """Each is one word to the tokenizer and goes to its model directly, as the characters its bytes stand for."""
+        tokenize, pack = self.tokenizer.model.tokenize, struct.pack
+        for word in words:
+            letters = word if word.isascii() else word.encode().decode("latin-1").translate(BYTE_LETTERS)
+            ids = [token.id for token in tokenize(letters)]
+            self.words[word] = pack(f"<{len(ids)}I", *ids)
 
     def _learn(self, chunks: set[str]) -> None:
-        plain = [(c, m[1].lower(), m[2]) for c in chunks if len(c) <= LONGEST_REMEMBERED and (m := PLAIN(c))]
-        parts = {word for _, word, _ in plain} | {marks for _, _, marks in plain}
-        self._learn_words(list(parts.difference(self.words)))
-        words = self.words
-        self.chunks.update((chunk, words[word] + words[marks]) for chunk, word, marks in plain)
-        for chunk in chunks.difference(self.chunks):
-            self.chunks[chunk] = self._ids(chunk).tobytes()
+        short = [c for c in chunks if len(c) <= LONGEST_REMEMBERED]
+        bare = pc.utf8_rtrim(pa.array(short, pa.string()), characters=MARKS)
+        plain = pc.match_substring_regex(bare, WORD).to_numpy(zero_copy_only=False).tolist()
+        words = pc.utf8_lower(bare).to_numpy(zero_copy_only=False).tolist()
+        marks = [chunk[end:] for chunk, end in zip(short, pc.utf8_length(bare).to_numpy().tolist())]
+        words, marks = list(itertools.compress(words, plain)), list(itertools.compress(marks, plain))
+        met = set(words)
+        met.update(marks)
+        known = len(self.words)
+        self._learn_words(met.difference(self.words))
+        get = self.words.__getitem__
+        ids = list(map(operator.add, map(get, words), map(get, marks)))
+        self.chunks.update(zip(itertools.compress(short, plain), ids))
+        unusual = {chunk: self._ids(chunk).tobytes() for chunk, known_form in zip(short, plain) if not known_form}
+        self.chunks.update(unusual)
+        bytes_ = sum(map(len, short)) + sum(map(len, ids)) + sum(map(len, unusual.values()))
+        self.size += bytes_ + (len(short) + len(self.words) - known) * OVERHEAD
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         split = [text.replace("\n", " ").split(" ") for text in texts]
-        met = set(chain.from_iterable(split))
-        new = met.difference(self.chunks)
+        new = set(itertools.chain.from_iterable(split)).difference(self.chunks)
         if new:
-            if len(self.chunks) + len(new) > REMEMBERED:
+            if self.size > REMEMBERED:
                 self._forget()
-                new = met
+                new = set(itertools.chain.from_iterable(split)).difference(self.chunks)
             self._learn(new)
+        # Long chunks are encoded for these texts only.
+        long = {chunk: self._ids(chunk).tobytes() for chunk in new if len(chunk) > LONGEST_REMEMBERED}
+        self.chunks.update(long)
         get = self.chunks.__getitem__
-        return [b"".join(map(get, chunks)) for chunks in split]
+        encoded = [b"".join(map(get, chunks)) for chunks in split]
+        for chunk in long:
+            del self.chunks[chunk]
+        return encoded
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text. Very long texts are taken in stretches that end at a space."""
