@@ -13,6 +13,7 @@ from tradewind.sources.raw import RAW_SCHEMAS, read_csv_folder, read_database, r
 from tradewind.sources.retail import RETAIL_SETTINGS, marketplace_tables
 from tradewind.operators.quality import RowCheck
 from tradewind.plans.checks import WAREHOUSE_CHECKS, quality_report
+from tradewind.plans.marts import monthly_sales, orders_of_sales_years
 from tradewind.sources.sink import ensure_database, observations, row_counts, write_table
 
 FOLDER = "/root/testdata/sf0.001"
@@ -110,6 +111,22 @@ def test_row_checks_are_counted_while_the_facts_are_written(spark, databases, bu
     assert observations(databases[0], "fact_orders", other) == {}
 
 
+def test_facts_by_month_read_the_months_of_the_sales_years(spark, databases):
+    raw = marketplace_tables(spark, FOLDER)
+    built = run_pipeline(spark, raw, *databases, settings=RETAIL_SETTINGS, by_month=True)
+    orders = spark.table(f"{databases[0]}.fact_orders")
+    assert spark.table(f"{databases[0]}.fact_order_items").columns[-1] == orders.columns[-1] == "purchase_month"
+    sold = orders_of_sales_years(orders, built.warehouse["dim_date"], RETAIL_SETTINGS)
+    months = {p for p in sold.select("month_start").distinct().toPandas()["month_start"].astype(str).str[:7]}
+    assert len(months) == 24 == built.marts["monthly_sales"].count()
+    plan = sold._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(purchase_month" in plan and "199701" in plan and "199812" in plan
+    plain = monthly_sales(orders.drop("purchase_month"), built.warehouse["dim_date"], RETAIL_SETTINGS)
+    assert plain.collect() == built.marts["monthly_sales"].orderBy("month_start").collect()
+    again = run_pipeline(spark, raw, *databases, settings=RETAIL_SETTINGS)
+    assert "purchase_month" not in again.warehouse["fact_orders"].columns
+
+
 def test_csv_header_must_match(spark, csv_folder):
     (open(os.path.join(csv_folder, "sellers.csv"), "w")).write("seller_id,seller_state\ns,SP\n")
     with pytest.raises(Exception, match="(?i)header"):

@@ -27,6 +27,7 @@ def _arguments(words: list[str] | None) -> argparse.Namespace:
     for kind in ("csv", "parquet", "database"):
         source.add_argument(f"--{kind}", help="folder or database of the raw tables")
     run.add_argument("--buckets", type=int, default=0)
+    run.add_argument("--by-month", action="store_true", help="store the facts by month of purchase")
     run.add_argument("--parallel", type=int, default=4, help="tables built at the same time")
     run.add_argument("--run-id", help="go on with the run of this name: its tables that are stored are not built again")
     run.add_argument("--stop-on-failed-checks", action="store_true")
@@ -66,6 +67,7 @@ def main(words: list[str] | None = None, spark: SparkSession | None = None) -> i
                 stop_on_failed_checks=arguments.stop_on_failed_checks,
                 parallel=arguments.parallel,
                 run_id=arguments.run_id,
+                by_month=arguments.by_month,
             )
         except ValueError as failed:
             print(failed, file=sys.stderr)

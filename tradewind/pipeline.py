@@ -11,7 +11,14 @@ from tradewind.operators.quality import all_passed, violations
 from tradewind.operators.scratch import materialize, scratch_scope
 from tradewind.plans.checks import WAREHOUSE_CHECKS, quality_report
 from tradewind.plans.marts import build_marts, risk_register
-from tradewind.plans.warehouse import ORDER_ATTRIBUTES, build_warehouse, fact_order_items, geo_zip_centroid
+from tradewind.plans.warehouse import (
+    ORDER_ATTRIBUTES,
+    PURCHASE_MONTH,
+    build_warehouse,
+    fact_order_items,
+    geo_zip_centroid,
+    with_purchase_month,
+)
 from tradewind.settings import Settings
 from tradewind.sources.csv_load import CsvLoad
 from tradewind.sources.raw import stage
@@ -62,17 +69,20 @@ def store_warehouse(
     buckets: int = 0,
     parallel: int = 4,
     run_id: str | None = None,
+    by_month: bool = False,
 ) -> dict[str, DataFrame]:
     """Build the six warehouse tables and store each; the item fact reads a stored order fact.
 
     Tables that don't need each other are built at the same time, up to ``parallel``. With ``run_id``, those that a run of
     this name has stored are left as they are. With ``buckets`` both facts are bucketed by order, which spares later joins
-    a shuffle. The item join itself reads an unbucketed copy: its tasks don't depend on the number of buckets.
+    a shuffle. The item join itself reads an unbucketed copy: its tasks don't depend on the number of buckets. With
+    ``by_month`` the facts are stored by month of purchase, and whoever asks for some years reads their files only.
     """
     ensure_database(spark, database)
     staged = stage(raw)
     centroids: list[DataFrame] = []
-    by_order = {"bucket_by": "order_id", "buckets": buckets}
+    layout = {"bucket_by": "order_id", "buckets": buckets, "partition_by": (PURCHASE_MONTH,) if by_month else ()}
+    dated = with_purchase_month if by_month else lambda fact: fact
     checked = {fact: violations(fact, WAREHOUSE_CHECKS) for fact in ("fact_orders", "fact_order_items")}
 
     def built(name: str) -> DataFrame:
@@ -82,10 +92,10 @@ def store_warehouse(
         orders = spark.table(f"`{database}`.`fact_orders`")
         if buckets:
             orders = materialize(orders.select(*ORDER_ATTRIBUTES), "order_attributes")
-        return fact_order_items(staged["order_items"], orders)
+        return dated(fact_order_items(staged["order_items"], orders))
 
-    def store(name: str, build: Callable[[], DataFrame], **layout) -> Callable[[], DataFrame]:
-        return lambda: _stored(spark, database, name, run_id, build, **layout)
+    def store(name: str, build: Callable[[], DataFrame], **how) -> Callable[[], DataFrame]:
+        return lambda: _stored(spark, database, name, run_id, build, **how)
 
     places = ("centroids",)
     steps = {
@@ -94,9 +104,9 @@ def store_warehouse(
         "dim_customers": Step(store("dim_customers", lambda: built("dim_customers")), places),
         "dim_sellers": Step(store("dim_sellers", lambda: built("dim_sellers")), places),
         "dim_products": Step(store("dim_products", lambda: built("dim_products"))),
-        "fact_orders": Step(store("fact_orders", lambda: built("fact_orders"), observed=checked["fact_orders"], **by_order)),
+        "fact_orders": Step(store("fact_orders", lambda: dated(built("fact_orders")), observed=checked["fact_orders"], **layout)),
         "fact_order_items": Step(
-            store("fact_order_items", items, observed=checked["fact_order_items"], **by_order), ("fact_orders",)
+            store("fact_order_items", items, observed=checked["fact_order_items"], **layout), ("fact_orders",)
         ),
     }
     done = run_steps(steps, parallel)
@@ -141,6 +151,7 @@ def run_pipeline(
     stop_on_failed_checks: bool = False,
     parallel: int = 4,
     run_id: str | None = None,
+    by_month: bool = False,
 ) -> Built:
     """The whole refresh; scratch tables are gone when it ends.
 
@@ -152,7 +163,7 @@ def run_pipeline(
     """
     with scratch_scope(spark):
         tables = raw.tables if isinstance(raw, CsvLoad) else raw
-        warehouse = store_warehouse(spark, tables, warehouse_db, settings, buckets, parallel, run_id)
+        warehouse = store_warehouse(spark, tables, warehouse_db, settings, buckets, parallel, run_id, by_month)
         # Row checks of the facts were counted as the facts were written; only keys are looked at again.
         known: dict[str, int] = {}
         for fact in ("fact_orders", "fact_order_items"):

@@ -24,6 +24,7 @@ from tradewind.operators.order_statistics import with_ntiles
 from tradewind.operators.outliers import iqr_outliers
 from tradewind.operators.distinct import with_distinct_counts
 from tradewind.operators.scratch import materialize
+from tradewind.plans.warehouse import PURCHASE_MONTH
 from tradewind.settings import Settings
 
 CHURN_SEGMENTS = ("At Risk", "Cant Lose")
@@ -225,6 +226,8 @@ def orders_of_sales_years(orders: DataFrame, calendar: DataFrame, settings: Sett
     key = F.col("purchase_date_key")
     # Implied by the calendar join, stated on the fact so that it can reach its scan.
     in_years = (key >= first * 10000 + 101) & (key <= last * 10000 + 1231)
+    if PURCHASE_MONTH in orders.columns:  # stored by month: only these months' files are read
+        in_years &= F.col(PURCHASE_MONTH).between(first * 100 + 1, last * 100 + 12)
     days = calendar.filter(F.col("year").between(first, last)).select(
         "date_key", "year", "month", "month_name"
     )

@@ -192,6 +192,14 @@ ORDER_ATTRIBUTES = [
 ]
 
 
+PURCHASE_MONTH = "purchase_month"
+
+
+def with_purchase_month(fact: DataFrame) -> DataFrame:
+    """A fact with the month of purchase as yyyymm, by which it can be stored."""
+    return fact.withColumn(PURCHASE_MONTH, F.floor(F.col("purchase_date_key") / 100).cast("int"))
+
+
 def fact_order_items(items: DataFrame, orders: DataFrame) -> DataFrame:
     """One row per order line, with the attributes of its order."""
     gross = F.col("price") + F.col("freight_value")

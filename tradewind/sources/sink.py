@@ -42,6 +42,8 @@ def write_table(
     spark = df.sparkSession
     if bucket_by and buckets:
         df = df.repartition(buckets, bucket_by)
+    elif partition_by:
+        df = df.hint("rebalance", *partition_by)  # a partition's rows in few files, a large one's in several
     watch = Observation() if observed else None
     if observed:
         df = df.observe(watch, F.count(F.lit(1)).alias(ROWS), *[value.alias(f"m_{key}") for key, value in observed.items()])
