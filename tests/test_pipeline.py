@@ -77,7 +77,7 @@ def test_csv_to_marts(spark, csv_folder, databases):
     assert built.marts["customer_rfm"].first()["monetary"] == 100.0
     assert built.marts["category_performance"].first()["category"] == "toys"
     assert all_passed(built.quality)
-    assert {t.name for t in spark.catalog.listTables(databases[1])} == set(built.marts)
+    assert {t.name for t in spark.catalog.listTables(databases[1]) if not t.isTemporary} == set(built.marts)
     assert dict((r["table_name"], r["n"]) for r in row_counts(built.warehouse).collect())["dim_date"] == 791
 
 
