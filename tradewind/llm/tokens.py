@@ -81,21 +81,33 @@ class Encoder:
         self.size += bytes_ + (len(short) + len(self.words) - known) * OVERHEAD
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        split = [text.replace("\n", " ").split(" ") for text in texts]
-        new = set(itertools.chain.from_iterable(split)).difference(self.chunks)
+        """Chunks are told apart in Arrow, so that Python sees each of them once; ids are then gathered by number."""
+        lists = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " "), " ")
+        coded = lists.flatten().dictionary_encode()
+        chunks = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        new = {chunk for chunk in chunks if chunk not in self.chunks}
         if new:
             if self.size > REMEMBERED:
                 self._forget()
-                new = set(itertools.chain.from_iterable(split)).difference(self.chunks)
+                new = set(chunks)
             self._learn(new)
         # Long chunks are encoded for these texts only.
         long = {chunk: self._ids(chunk).tobytes() for chunk in new if len(chunk) > LONGEST_REMEMBERED}
         self.chunks.update(long)
-        get = self.chunks.__getitem__
-        encoded = [b"".join(map(get, chunks)) for chunks in split]
+        data = list(map(self.chunks.__getitem__, chunks))
         for chunk in long:
             del self.chunks[chunk]
-        return encoded
+        # A batch has far fewer ids than 32 bits can count.
+        lengths = np.fromiter(map(len, data), np.int32, len(data)) // 4
+        pool, begins = np.frombuffer(b"".join(data), "<u4"), np.cumsum(lengths, dtype=np.int32) - lengths
+        at = coded.indices.to_numpy()
+        n = lengths[at]
+        ends = np.cumsum(n, dtype=np.int32)
+        places = np.repeat(begins[at] - ends + n, n)
+        places += np.arange(len(places), dtype=np.int32)
+        ids = pool[places].tobytes()
+        bounds = np.r_[0, ends.astype(np.int64)][lists.offsets.to_numpy() - lists.offsets[0].as_py()] * 4
+        return [ids[a:b] for a, b in itertools.pairwise(bounds.tolist())]
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text. Very long texts are taken in stretches that end at a space."""
