@@ -16,6 +16,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
+from threading import Lock
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -242,12 +243,14 @@ class CsvLoad:
     def __init__(self, spark: SparkSession, folder: str, schemas: Mapping[str, str] = RAW_SCHEMAS, multiline=MULTILINE, **options):
         self._load = lambda t: load_csv(spark, f"{folder}/{t}.csv", t, schemas[t], t in multiline, **options)
         self._loaded: dict[str, Loaded] = {}
+        self._locks = {name: Lock() for name in schemas}  # tables may be asked for by several threads
         self.names = list(schemas)
 
     def __getitem__(self, name: str) -> Loaded:
-        if name not in self._loaded:
-            self._loaded[name] = self._load(name)
-        return self._loaded[name]
+        with self._locks[name]:
+            if name not in self._loaded:
+                self._loaded[name] = self._load(name)
+            return self._loaded[name]
 
     @property
     def tables(self) -> Frames:
