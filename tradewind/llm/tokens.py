@@ -19,7 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-REMEMBERED = 192 << 20  # bytes of chunks and ids, each with some overhead; beyond it the memory starts anew
+REMEMBERED = 80 << 20  # bytes of chunks and ids, each with some overhead; beyond it the memory starts anew
 OVERHEAD = 120  # of an entry
 LONGEST_REMEMBERED = 100  # characters
 BATCH_CHARACTERS = 2_000_000  # of texts encoded at once
