@@ -15,8 +15,9 @@ Identifiers of grams are 64-bit rolling hashes: different windows would have to
 identifiers to be taken as equal.
 
 Later copies of whole texts are told by their hash alone and bring no anchors, in groups of more than one row in
-``COPIED``; the copies of smaller groups meet like other repeats. An anchor met more than ``CROWD`` times is refined before its windows meet: they fall into parts by how far
-before the gram they begin, and a part's new bucket is the gram with all bytes that the part's windows have in
+``COPIED``; the copies of smaller groups meet like other repeats. Of an anchor met more than ``CROWD`` times, rows with the
+same bytes around the gram meet first, by grouping alone: all but the first of them are covered, and only the first goes on. If still
+more than ``CROWD`` differ, they are refined before their windows meet: they fall into parts by how far before the gram they begin, and a part's new bucket is the gram with all bytes that the part's windows have in
 common around it. Buckets that stay too large are parted again, until a part is one window and its
 bucket holds equal windows only. Those, if still more than ``CROWD``, are dealt over several tasks by document;
 each task leaves its first window, and these meet across tasks. A task streams over its buckets and carries of
@@ -202,6 +203,17 @@ def _parted(contexts: DataFrame, width: int) -> DataFrame:
     return contexts.mapInArrow(part, schema)
 
 
+def _first_contexts(contexts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The first of the contexts that have a gram and all bytes around it in common, and (id, twin, begin, end) of the others."""
+    first = F.min(F.struct("id", "twin", "begin")).alias("first")
+    firsts = stored(contexts.groupBy("gram", "at", "bytes").agg(first).select("gram", "first.*", "at", "bytes"), "first-contexts")
+    key = ["gram", "id", "twin", "begin", "at"]
+    end = (F.col("begin") + F.octet_length("bytes")).alias("end")
+    marked = [df.select(*key, end, F.lit(is_first).alias("first")) for df, is_first in ((contexts, False), (firsts, True))]
+    others = marked[0].unionByName(marked[1]).groupBy(*key, "end").agg(F.bool_or("first").alias("first")).filter(~F.col("first"))
+    return firsts, others.select("id", "twin", "begin", "end")
+
+
 def _uncrowded(crowded: DataFrame) -> tuple[list[DataFrame], DataFrame | None]:
     """Contexts in buckets of at most CROWD rows; those of equal windows that are more, with their number n."""
     columns = ["gram", "id", "twin", "begin", "at", "bytes"]
@@ -373,12 +385,19 @@ def _partly_repeated(source: DataFrame) -> DataFrame:
     # Counted apart and joined, so that no task has to take all rows of a gram. Anchors are sought twice rather than stored.
     grams = stored(_anchor_rows(source).groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1"), "grams")
     met = stored(_anchor_rows(source).join(grams, "gram"), "anchors")
-    buckets, large = [_contexts(source, met.filter(F.col("n") <= CROWD))], None
+    buckets, alike, large = [_contexts(source, met.filter(F.col("n") <= CROWD))], None, None
     if not grams.filter(F.col("n") > CROWD).isEmpty():
-        small, large = _uncrowded(_contexts(source, met.filter(F.col("n") > CROWD)))
-        buckets += small
+        firsts, alike = _first_contexts(stored(_contexts(source, met.filter(F.col("n") > CROWD)), "crowd-contexts"))
+        sizes = stored(firsts.groupBy("gram").agg(F.count("*").alias("n")), "crowd-contexts-sizes")
+        sized = firsts.join(sizes, "gram")
+        buckets.append(sized.filter(F.col("n") <= CROWD).drop("n"))
+        if not sizes.filter(F.col("n") > CROWD).isEmpty():
+            small, large = _uncrowded(sized.filter(F.col("n") > CROWD).drop("n"))
+            buckets += small
     columns, share = ["gram", "share", "id", "twin", "begin", "bytes"], F.lit(0).cast("long")
     spans = _repeats(reduce(DataFrame.unionByName, buckets).withColumn("share", share).select(*columns), survivors=False)
+    if alike is not None:
+        spans = spans.unionByName(alike)
     if large is not None:
         dealt = large.withColumn("share", 1 + F.pmod(F.xxhash64("id", "twin", "begin"), F.expr(f"n div {CROWD} + 1")))
         shares = stored(_repeats(dealt.select(*columns), survivors=True), "crowded")
