@@ -293,42 +293,38 @@ def delivery_by_state(
 ) -> DataFrame:
     """Delivery figures per customer state; all but the order count weigh each order by its lines.
 
-    Lines are reduced to one row per order first. The weighted sums are the same as over
-    the joined lines, but no line is joined twice and an order with very many lines is one
-    row. The order join comes last, so the distinct count needs no further shuffle by order.
+    Lines meet their order as they are and are summed by state at once, so that no task keeps sums for each
+    of its orders. Orders with lines are counted apart, by their keys alone.
     """
-    freight, ratio = F.col("freight_value"), F.col("freight_ratio")
-    lines = items.groupBy("order_id").agg(
-        F.count("*").alias("lines"),
-        exact_sum(freight).alias("freight"),
-        F.count(freight).alias("freight_n"),
-        exact_sum(ratio).alias("ratio"),
-        F.count(ratio).alias("ratio_n"),
-    )
+    delay, score = F.col("delivery_delay_days"), F.col("avg_review_score")
     places = customers.select("customer_key", F.col("state").alias("customer_state"))
-    delay, score, n = F.col("delivery_delay_days"), F.col("avg_review_score"), F.col("lines")
-    late = F.coalesce(F.sum(F.when(_late(), n)), F.lit(0))
-
-    def weighted_mean(value: Column) -> Column:
-        return safe_ratio(F.sum(value * n), F.sum(F.when(value.isNotNull(), n)))
-
-    return (
-        orders.filter(_delivered(settings))
-        .select("order_id", "customer_key", "delivery_delay_days", "avg_review_score")
-        .join(places, "customer_key")
-        .join(lines, "order_id")
+    placed = orders.filter(_delivered(settings)).join(places, "customer_key")
+    placed = materialize(
+        placed.select("order_id", "customer_state", "delivery_delay_days", "avg_review_score"), "placed_orders"
+    )
+    late = count_when(_late())
+    summed = (
+        items.select("order_id", "freight_value", "freight_ratio")
+        .join(placed, "order_id")
         .groupBy("customer_state")
         .agg(
-            F.countDistinct("order_id").alias("total_orders"),
-            round_half_away(weighted_mean(delay), 2).alias("avg_delay_days"),
+            round_half_away(exact_avg_of_ints(delay), 2).alias("avg_delay_days"),
             late.alias("late_count"),
-            round_half_away(percent(late, F.sum(n)), 1).alias("late_pct"),
-            round_half_away(weighted_mean(score.cast("decimal(5,2)")), 2).alias("avg_review_score"),
-            round_half_away(safe_ratio(exact_sum(F.col("ratio")), F.sum("ratio_n")), 3).alias("avg_freight_ratio"),
-            round_half_away(safe_ratio(exact_sum(F.col("freight")), F.sum("freight_n")), 2).alias(
-                "avg_freight_value"
-            ),
+            round_half_away(percent(late, F.count("*")), 1).alias("late_pct"),
+            round_half_away(safe_ratio(F.sum(score.cast("decimal(5,2)")), F.count(score)), 2).alias("avg_review_score"),
+            round_half_away(exact_avg(F.col("freight_ratio")), 3).alias("avg_freight_ratio"),
+            round_half_away(exact_avg(F.col("freight_value")), 2).alias("avg_freight_value"),
         )
+    )
+    counted = (
+        placed.select("order_id", "customer_state")
+        .join(items.select("order_id"), "order_id", "left_semi")
+        .groupBy(F.col("customer_state").alias("counted_state"))
+        .agg(F.countDistinct("order_id").alias("total_orders"))
+    )
+    return (
+        summed.join(counted, F.col("customer_state").eqNullSafe(F.col("counted_state")))
+        .select("customer_state", "total_orders", *summed.columns[1:])
         .orderBy(F.desc("total_orders"), "customer_state")
     )
 
