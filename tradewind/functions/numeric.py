@@ -14,6 +14,8 @@ from pyspark.sql import Column, functions as F
 # What sums add: 18 decimals of a double's shortest text, up to 20 digits before the point.
 EXACT = "decimal(38,18)"
 LOW_UNITS, LEAST = 1e20, 1e-21
+WHOLE = (0.1, 1e20)  # sizes between which 18 decimals hold all of a double's text
+FEW = 1e6  # so do they for numbers of at most six decimals
 
 
 def round_half_away(value: Column, digits: int = 0) -> Column:
@@ -42,12 +44,15 @@ def exact_sum(value: Column) -> Column:
     """
     number = value.cast("double")
     high = number.try_cast(EXACT)
-    rest = number - high.cast("double")  # exact: the two are next to each other
-    low = (rest * F.lit(LOW_UNITS)).try_cast(EXACT)
     size = F.abs(number)
+    # Of most numbers nothing is left over; for them the second decimal is neither made nor added.
+    whole = ((size >= WHOLE[0]) | (F.rint(size * FEW) / FEW == size)) & (size < WHOLE[1])
+    rest = number - high.cast("double")  # exact: the two are next to each other
+    low = F.when(~whole, (rest * F.lit(LOW_UNITS)).try_cast(EXACT))
     fine = (F.count_if((size > 0) & (size < LEAST)) == 0) | (F.max(size) >= 1000 * LEAST)
     within = (F.count(high) == F.count(number)) & fine
-    total = F.try_sum(high).cast("double") + F.try_sum(low).cast("double") / F.lit(LOW_UNITS)
+    rests = F.when(F.count(low) == 0, F.lit(0.0)).otherwise(F.try_sum(low).cast("double") / F.lit(LOW_UNITS))
+    total = F.try_sum(high).cast("double") + rests
     return F.coalesce(F.when(within, total), F.sum(number))
 
 
