@@ -43,13 +43,12 @@ BLOCKS_READ = 64  # at once
 def pack_block(ids: np.ndarray) -> bytes:
     low = int(ids.min())
     above = (ids - low).astype("<u4")
-    needed = np.zeros(len(above), np.int64)
-    np.log2(above + 1.0, out=(bits := np.empty(len(above))))
-    needed[:] = np.ceil(bits)
+    needed = np.frexp(above.astype(np.float64))[1]  # the bits of each difference
     fitting = np.cumsum(np.bincount(needed, minlength=33))
     width = int(np.searchsorted(fitting, FIT * len(above)))
     odd = np.flatnonzero(needed > width)
-    matrix = np.unpackbits(above.view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")[:, :width]
+    low_bytes = above.view(np.uint8).reshape(-1, 4)[:, : -(-width // 8)]
+    matrix = np.unpackbits(low_bytes, axis=1, count=width, bitorder="little")
     packed = np.packbits(matrix, bitorder="little").tobytes()
     high = (above[odd].astype(np.uint64) >> np.uint64(width)).astype("<u4")
     return HEAD.pack(low, len(ids), len(odd), width) + packed + odd.astype("<u2").tobytes() + high.tobytes()

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import itertools
 import operator
-import struct
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -26,6 +25,7 @@ BATCH_CHARACTERS = 2_000_000  # of texts encoded at once
 # Letters of Latin-1, then ASCII marks: one word and one run of marks to the tokenizer, whatever the case.
 WORD = "^[A-Za-zÀ-ÖØ-öø-ÿ]+$"
 MARKS = ".,;:!?%&*#$()[]>/-"
+ID = operator.attrgetter("id")
 
 
 def _byte_letters() -> dict[int, int]:
@@ -55,13 +55,14 @@ class Encoder:
 
     def _learn_words(self, words: Iterable[str]) -> None:
         """Each is one word to the tokenizer and goes to its model directly, as the characters its bytes stand for."""
-        tokenize, pack = self.tokenizer.model.tokenize, struct.pack
-        for word in words:
-            letters = word if word.isascii() else word.encode().decode("latin-1").translate(BYTE_LETTERS)
-            ids = [token.id for token in tokenize(letters)]
-            self.words[word] = pack(f"<{len(ids)}I", *ids)
-
-    def _learn(self, chunks: set[str]) -> None:
+        words = list(words)
+        letters = [w if w.isascii() else w.encode().decode("latin-1").translate(BYTE_LETTERS) for w in words]
+        tokens = list(map(self.tokenizer.model.tokenize, letters))
+        ends = itertools.accumulate(map(len, tokens), initial=0)
+        ids = np.fromiter(map(ID, itertools.chain.from_iterable(tokens)), "<u4").tobytes()
+        self.words.update(zip(words, [ids[4 * a : 4 * b] for a, b in itertools.pairwise(ends)]))
+
+    def _learn(self, chunks: list[str]) -> None:
         short = [c for c in chunks if len(c) <= LONGEST_REMEMBERED]
         bare = pc.utf8_rtrim(pa.array(short, pa.string()), characters=MARKS)
         plain = pc.match_substring_regex(bare, WORD).to_numpy(zero_copy_only=False).tolist()
@@ -85,11 +86,11 @@ class Encoder:
         lists = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " "), " ")
         coded = lists.flatten().dictionary_encode()
         chunks = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        new = {chunk for chunk in chunks if chunk not in self.chunks}
+        new = list(itertools.filterfalse(self.chunks.__contains__, chunks))
         if new:
             if self.size > REMEMBERED:
                 self._forget()
-                new = set(chunks)
+                new = chunks
             self._learn(new)
         # Long chunks are encoded for these texts only.
         long = {chunk: self._ids(chunk).tobytes() for chunk in new if len(chunk) > LONGEST_REMEMBERED}
