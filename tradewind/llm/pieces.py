@@ -1,215 +1,301 @@
-"""SentencePiece encoding and decoding as relations.
+"""SentencePiece encoding and decoding of the documents, partition by partition.
 
 Texts fall into units: a word with the blanks before it, a run of blanks at the end of a line, or a line
-break. No piece reaches over the border of a unit. For each distinct unit all substrings up to the longest
-piece are exploded and joined with the piece table; the matches, gathered per unit, are the edges
-of its lattice, and a fold over them with Spark's higher-order ``aggregate`` gives its ids.
+break. No piece reaches over the border of a unit. The distinct units of some megabytes of text are encoded
+together: all their substrings that are pieces are the edges of their lattices, found by walking a trie of
+the pieces from every character at once, and a fold over the edges gives the parts of each unit.
 
 Which fold depends on the model. For a unigram model it is Viterbi: the best score of each end
 is extended from the best scores of the begins. The ids of a BPE model are not those of the best
 path; there the fold repeatedly merges the best-scored edge that spans exactly two current parts
 (the leftmost of equals). Characters that are no piece become their bytes.
 
-The piece table is fixed by the model and broadcast only after its row count is checked. Distinct
-units stay where their grouping put them: the explosion, the join and the gathering of edges
-need no further shuffle. Texts meet the ids of their units in a join on the unit, which
-adaptive execution can split at frequent words, and are put together by position.
+A unit is encoded anew in each stretch of text it occurs in. To encode it once, every stretch and its
+units would have to be shuffled twice, which takes more disk and time than finding its ids again.
+So nothing is shuffled or stored; the tables of the model are broadcast.
 
-Defined results: a null or empty text has no pieces; rows are kept apart by an own row number,
-so repeated ids are encoded each; null ids are kept; an empty table gives an empty result;
-texts and units of any length are encoded whole. Columns other than id and text are ignored.
+Defined results: a null or empty text has no pieces; repeated ids are encoded each; null ids are
+kept; an empty table gives an empty result; texts and units of any length are encoded whole;
+bytes that are no UTF-8 count as U+FFFD. Columns other than id and text are ignored.
 """
 
 from __future__ import annotations
 
-import sentencepiece
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import heapq
+import zlib
+from collections.abc import Iterator
+from typing import NamedTuple
 
-from tradewind.llm.storage import stored
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+import sentencepiece
+from pyspark.sql import DataFrame, functions as F, types as T
 
 BLANK = "▁"
-UNIT = f"{BLANK}*[^{BLANK}\n]+|{BLANK}+|\n"
-MOST_PIECES = 1_000_000  # rows of a piece table that is broadcast
-LONGEST_MASK = 61  # characters of a unit whose cuts fit a 64-bit number
+STRETCH_BYTES = 16 << 20  # of texts whose distinct units are encoded together
+LATTICE_CHARACTERS = 500_000  # of units that share a lattice
+WIDTHS = (4, 8, 16, 32, 64)  # units of up to so many characters are merged side by side
+CHARACTER = np.int64(1) << 21  # above every code point
+NEVER = np.iinfo(np.int32).max  # rank of what is no piece
+
+
+class Model(NamedTuple):
+    """Pieces as a trie. Arrays by id have one more entry, which -1, the id of no piece, refers to."""
 
+    steps: np.ndarray  # node * CHARACTER + code point, ascending
+    nodes: np.ndarray  # where each step leads
+    node_ids: np.ndarray  # the piece that ends at a node, or -1
+    longest: int
+    ranks: np.ndarray  # by id: place of its score among all scores, best first
+    scores: np.ndarray  # by id
+    unknown: float  # score of a character that is no piece
+    first_byte: int  # id of byte 0
+    decoded: pa.LargeBinaryArray  # by id: the bytes it stands for
 
-def piece_table(spark: SparkSession, model_file: str) -> DataFrame:
-    """(piece, id, score) of the pieces that text can match."""
+
+def read_model(model_file: str) -> Model:
     model = sentencepiece.SentencePieceProcessor(model_file=model_file)
     special = lambda i: model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i)
-    rows = [(model.id_to_piece(i), i, model.get_score(i)) for i in range(model.get_piece_size()) if not special(i)]
-    return stored(spark.createDataFrame(rows, "piece string, id int, score double").coalesce(1), "pieces")
-
-
-def _le32(number: Column) -> Column:
-    """A number as the hex text of its four bytes, lowest first."""
-    text = F.lpad(F.hex(number.cast("bigint")), 8, "0")
-    return F.concat(*[F.substring(text, at, 2) for at in (7, 5, 3, 1)])
-
-
-def lattice(units: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
-    """(unit, edges): edges (b, e, score, id) over the unit's characters. ``units`` has distinct units."""
-    n = F.length("unit")
-    spans = F.flatten(
-        F.transform(
-            F.sequence(F.lit(0), n - 1),
-            lambda b: F.transform(
-                F.sequence(b + 1, F.least(b + longest, n)), lambda e: F.struct(b.alias("b"), e.alias("e"))
-            ),
-        )
-    )
-    exploded = units.select("unit", F.explode(spans).alias("s")).select("unit", "s.b", "s.e")
-    substring = F.substr("unit", F.col("b") + 1, F.col("e") - F.col("b"))
-    table = F.broadcast(pieces) if pieces.count() <= MOST_PIECES else pieces
-    matched = exploded.withColumn("piece", substring).join(table, "piece")
-    bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("bigint"), x)
-    # For units of up to LONGEST_MASK characters also as bits: both ends, and the places between them.
-    ends, inner = bit(F.col("b")).bitwiseOR(bit(F.col("e"))), bit(F.col("e")) - bit(F.col("b") + 1)
-    fits = F.col("e") <= LONGEST_MASK
-    edge = F.struct("b", "e", "score", "id", F.when(fits, ends).alias("ends"), F.when(fits, inner).alias("inner"))
-    gathered = matched.groupBy("unit").agg(F.collect_list(edge).alias("edges"))
-    # Units without any match have no row here; they consist of bytes.
-    return gathered
-
-
-def _spans(cuts: Column) -> Column:
-    """Neighbouring cuts as (b, e)."""
-    at = lambda i: F.get(cuts, i)
-    return F.transform(F.sequence(F.lit(1), F.size(cuts) - 1), lambda i: F.struct(at(i - 1).alias("b"), at(i).alias("e")))
-
-
-def merge_fold(n: Column, edges: Column) -> Column:
-    """The parts (b, e) that byte-pair merging leaves of a unit of ``n`` characters, of any length."""
-    start = F.sequence(F.lit(0), n)
-
-    def step(cuts: Column, _: Column) -> Column:
-        def place(x: Column) -> Column:
-            return F.array_position(cuts, x["b"]).cast("int")
-
-        def ranked(x: Column) -> Column:
-            open_ = (place(x) > 0) & F.coalesce(F.get(cuts, place(x) + 1) == x["e"], F.lit(False))
-            return F.when(open_, F.struct(x["score"], (-x["b"]).alias("b"), F.get(cuts, place(x)).alias("mid")))
-
-        best = F.array_max(F.transform(edges, ranked))
-        return F.when(best.isNull(), cuts).otherwise(F.array_remove(cuts, best["mid"]))
-
-    return F.aggregate(F.sequence(F.lit(1), n), start, step, _spans)
-
-
-def short_merge_fold(n: Column, edges: Column) -> Column:
-    """As ``merge_fold`` for units of at most LONGEST_MASK characters: the cuts are the bits of a number."""
-    power = lambda x: F.call_function("shiftleft", F.lit(1).cast("bigint"), x)
-
-    def step(cuts: Column, _: Column) -> Column:
-        def ranked(x: Column) -> Column:
-            open_ = (cuts.bitwiseAND(x["ends"]) == x["ends"]) & (F.bit_count(cuts.bitwiseAND(x["inner"])) == 1)
-            return F.when(open_, F.struct(x["score"], (-x["b"]).alias("b"), x["inner"]))
-
-        best = F.array_max(F.transform(edges, ranked))["inner"]
-        return cuts.bitwiseAND(F.bitwise_not(F.coalesce(best, F.lit(0).cast("bigint"))))
-
-    def parts(cuts: Column) -> Column:
-        ends = F.filter(F.sequence(F.lit(1), n), lambda i: cuts.bitwiseAND(power(i)) != 0)
-        return F.zip_with(F.concat(F.array(F.lit(0)), ends), ends, lambda b, e: F.struct(b.alias("b"), e.alias("e")))
-
-    all_cuts = F.call_function("shiftleft", F.lit(2).cast("bigint"), n) - 1
-    spans = F.aggregate(F.sequence(F.lit(1), n), all_cuts, step, parts)
-    return F.filter(spans, lambda x: x["e"].isNotNull())
-
-
-def viterbi_fold(n: Column, edges: Column, unknown: float) -> Column:
-    """The parts (b, e) of the best path. A character may stand alone for ``unknown``."""
-    first = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(-1).alias("back")))
-
-    def step(best: Column, end: Column) -> Column:
-        def reached(x: Column) -> Column:
-            path = F.struct((F.get(best, x["b"])["score"] + x["score"]).alias("score"), x["b"].alias("back"))
-            return F.when(x["e"] == end, path)
-
-        own = F.exists(edges, lambda x: (x["e"] == end) & (x["b"] == end - 1))
-        alone = F.struct((F.get(best, end - 1)["score"] + unknown).alias("score"), (end - 1).alias("back"))
-        here = F.array_max(F.concat(F.transform(edges, reached), F.array(F.when(~own, alone))))
-        return F.concat(best, F.array(here))
-
-    def walked(best: Column) -> Column:
-        def back(cuts: Column, _: Column) -> Column:
-            at = F.get(cuts, F.lit(0))
-            return F.when(at > 0, F.concat(F.array(F.get(best, at)["back"]), cuts)).otherwise(cuts)
-
-        return F.aggregate(F.sequence(F.lit(1), n), F.array(n), back, _spans)
-
-    return F.aggregate(F.sequence(F.lit(1), n), first, step, walked)
-
-
-def encode_units(units: DataFrame, pieces: DataFrame, kind: str, first_byte_id: int) -> DataFrame:
-    """(unit, ids_hex, text_hex, n_pieces): ids as little-endian 32-bit hex, and the bytes they decode to."""
-    longest = pieces.agg(F.max(F.length("piece"))).first()[0] or 1
-    worst = pieces.agg(F.min("score")).first()[0] or 0.0
-    found = units.join(lattice(units, pieces, longest), "unit", "left")
-    edges = F.coalesce("edges", F.array().cast("array<struct<b:int,e:int,score:double,id:int,ends:bigint,inner:bigint>>"))
-    found = found.select("unit", edges.alias("edges"), F.length("unit").alias("n"))
-    n, e = F.col("n"), F.col("edges")
-    if kind == "bpe":
-        parts = F.when(n <= LONGEST_MASK, short_merge_fold(n, e)).otherwise(merge_fold(n, e))
-    else:
-        parts = viterbi_fold(n, e, worst - 10)
-    cut = found.select("unit", "edges", parts.alias("parts"))
-
-    def ids_of(part: Column) -> Column:
-        edge = F.get(F.filter("edges", lambda x: (x["b"] == part["b"]) & (x["e"] == part["e"])), F.lit(0))
-        raw = F.hex(F.encode(F.substr("unit", part["b"] + 1, part["e"] - part["b"]), "utf-8"))
-        values = F.transform(
-            F.sequence(F.lit(1), F.length(raw) - 1, F.lit(2)),
-            lambda at: F.conv(F.substr(raw, at, F.lit(2)), 16, 10).cast("int") + first_byte_id,
-        )
-        return F.when(edge.isNotNull(), F.array(edge["id"])).otherwise(values)
-
-    ids = F.flatten(F.transform("parts", ids_of))
-    # Stored, so that the fold runs once though decoding reads its outcome again.
-    listed = stored(cut.select("unit", ids.alias("ids")), "unit-pieces")
-    return listed.select(
-        "unit", F.size("ids").alias("n_pieces"), "ids", F.array_join(F.transform("ids", _le32), "").alias("ids_hex")
+    pieces = {i: model.id_to_piece(i) for i in range(model.get_piece_size()) if not special(i)}
+    first_byte = model.piece_to_id("<0x00>")
+    trie: dict[tuple[int, int], int] = {}
+    ends = {}
+    for i, piece in pieces.items():
+        node = 0
+        for character in piece:
+            node = trie.setdefault((node, ord(character)), len(trie) + 1)
+        ends[node] = i
+    steps = np.array([node * int(CHARACTER) + character for node, character in trie], np.int64)
+    order = np.argsort(steps)
+    node_ids = np.full(len(trie) + 1, -1, np.int32)
+    node_ids[list(ends)] = list(ends.values())
+    size = max(model.get_piece_size(), first_byte + 256)
+    scores = np.full(size + 1, -np.inf)
+    scores[list(pieces)] = [model.get_score(i) for i in pieces]
+    ranks = np.full(size + 1, NEVER, np.int32)
+    ranks[list(pieces)] = np.unique(-scores[list(pieces)], return_inverse=True)[1]
+    decoded = {first_byte + byte: bytes([byte]) for byte in range(256)} | {i: p.encode() for i, p in pieces.items()}
+    return Model(
+        steps[order],
+        np.arange(1, len(trie) + 1, dtype=np.int32)[order],
+        node_ids,
+        max(map(len, pieces.values()), default=1),
+        ranks,
+        scores,
+        min(scores[list(pieces)], default=0.0) - 10,
+        first_byte,
+        pa.array([decoded.get(i, b"") for i in range(size + 1)], pa.large_binary()),
     )
 
 
-def decode_units(encoded: DataFrame, pieces: DataFrame, first_byte_id: int) -> DataFrame:
-    """Adds text_hex, the bytes that the ids of each unit stand for, from the piece table."""
-    table = pieces.select("id", F.hex(F.encode("piece", "utf-8")).alias("bytes"))
-    table = table.unionByName(pieces.sparkSession.range(256).select(
-        (F.col("id") + first_byte_id).cast("int").alias("id"), F.lpad(F.hex("id"), 2, "0").alias("bytes")
-    ))
-    table = F.broadcast(table) if table.count() <= MOST_PIECES else table
-    exploded = encoded.select("unit", F.posexplode("ids").alias("at", "id")).join(table, "id")
-    parts = exploded.groupBy("unit").agg(F.array_sort(F.collect_list(F.struct("at", "bytes"))).alias("parts"))
-    decoded = parts.select("unit", F.array_join(F.transform("parts", lambda p: p["bytes"]), "").alias("text_hex"))
-    return encoded.join(decoded, "unit")
+def lattice(characters: np.ndarray, ends: np.ndarray, model: Model) -> np.ndarray:
+    """[begin, length - 1]: the id of the piece there, or -1. ``ends``: of each character's unit."""
+    edges = np.full((len(characters), model.longest), -1, np.int32)
+    begins, nodes = np.arange(len(characters)), np.zeros(len(characters), np.int64)
+    for length in range(model.longest):
+        inside = begins + length < ends[begins]
+        begins, nodes = begins[inside], nodes[inside]
+        wanted = nodes * CHARACTER + characters[begins + length]
+        at = np.minimum(np.searchsorted(model.steps, wanted), len(model.steps) - 1)
+        found = model.steps[at] == wanted
+        begins, nodes = begins[found], model.nodes[at[found]].astype(np.int64)
+        edges[begins, length] = model.node_ids[nodes]
+    return edges
+
+
+def _pair_ranks(edges: np.ndarray, ranks: np.ndarray, begins: np.ndarray, middles: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The rank of the edge over each two neighbouring parts. A part past the end of its unit is empty."""
+    lengths = ends - begins
+    open_ = (ends > middles) & (middles > begins) & (lengths <= edges.shape[1])
+    return np.where(open_, ranks[edges[np.where(open_, begins, 0), np.where(open_, lengths, 1) - 1]], NEVER)
+
+
+def merge_fold(bounds: np.ndarray, edges: np.ndarray, model: Model) -> np.ndarray:
+    """Whether a part begins at each character, as byte-pair merging leaves them. ``bounds`` of the units, ascending."""
+    begins_part = np.ones(len(edges), bool)
+    sizes = np.diff(bounds)
+    for least, width in zip((1, *WIDTHS), WIDTHS):
+        here = np.flatnonzero((sizes > least) & (sizes <= width))
+        cuts = np.minimum(bounds[here, None] + np.arange(width + 1), bounds[here + 1, None])
+        ranks = _pair_ranks(edges, model.ranks, cuts[:, :-2], cuts[:, 1:-1], cuts[:, 2:])
+        column = np.arange(width + 1)
+        while len(cuts):
+            row, best = np.arange(len(cuts)), ranks.argmin(axis=1)
+            live = ranks[row, best] < NEVER
+            cuts, ranks, best = cuts[live], ranks[live], best[live]
+            row = np.arange(len(cuts))
+            begins_part[cuts[row, best + 1]] = False
+            moved = column + (column > best[:, None])
+            cuts = np.take_along_axis(cuts, np.minimum(moved, width), axis=1)
+            ranks = np.take_along_axis(ranks, np.minimum(moved[:, : width - 1], width - 2), axis=1)
+            ranks[:, -1] = NEVER
+            for pair in (best, np.maximum(best - 1, 0)):
+                pair = np.minimum(pair, width - 2)
+                ranks[row, pair] = _pair_ranks(edges, model.ranks, *(cuts[row, pair + i] for i in range(3)))
+    for unit in np.flatnonzero(sizes > WIDTHS[-1]).tolist():
+        begin, end = bounds[unit], bounds[unit + 1]
+        begins_part[begin:end] = _merge_long(model.ranks[edges[begin:end]])
+    return begins_part
+
+
+def _merge_long(ranks: np.ndarray) -> np.ndarray:
+    """As ``merge_fold`` for one unit, from the ranks of its edges, with the open edges in a heap."""
+    n, longest = ranks.shape
+    after, before = list(range(1, n + 1)), list(range(-1, n))
+    begins_part = np.ones(n, bool)
+    heap = [(rank, b, b + 1, b + 2) for b, rank in enumerate(ranks[:-1, 1].tolist()) if rank < NEVER] if longest > 1 else []
+    heapq.heapify(heap)
+
+    def meet(b: int, mid: int, e: int) -> None:
+        if e - b <= longest and ranks[b, e - b - 1] < NEVER:
+            heapq.heappush(heap, (int(ranks[b, e - b - 1]), b, mid, e))
+
+    while heap:
+        _, b, mid, e = heapq.heappop(heap)
+        if after[b] != mid or after[mid] != e:
+            continue
+        begins_part[mid] = False
+        after[b], before[e], after[mid] = e, b, -1
+        if b > 0:
+            meet(before[b], b, e)
+        if e < n:
+            meet(b, e, after[e])
+    return begins_part
+
+
+def viterbi_fold(bounds: np.ndarray, edges: np.ndarray, model: Model) -> np.ndarray:
+    """Whether a part of the best path begins at each character. A character may stand alone for ``model.unknown``."""
+    sizes = np.diff(bounds)
+    order = np.argsort(-sizes, kind="stable")
+    starts, falling = bounds[:-1][order], -sizes[order]
+    # By unit and character; the best path to the begin of a unit is not among them.
+    best, back = np.zeros(len(edges)), np.zeros(len(edges), np.int64)
+    alone = np.where(edges[:, 0] < 0, model.unknown, model.scores[edges[:, 0]])
+    for end in range(1, int(sizes.max(initial=0)) + 1):
+        units = starts[: np.searchsorted(falling, -end, side="right")]
+        score, begin = np.full(len(units), -np.inf), np.zeros(len(units), np.int64)
+        for length in range(min(end, model.longest), 0, -1):
+            at = units + end - length
+            own = alone[at] if length == 1 else model.scores[edges[at, length - 1]]
+            reached = (best[at - 1] if length < end else 0.0) + own
+            better = reached >= score
+            score[better], begin[better] = reached[better], at[better]
+        best[units + end - 1], back[units + end - 1] = score, begin
+    begins_part = np.zeros(len(edges), bool)
+    at, first = bounds[1:], bounds[:-1]
+    while len(at):
+        at = back[at - 1]
+        begins_part[at] = True
+        at, first = at[at > first], first[at > first]
+    return begins_part
+
+
+def _binary(data: np.ndarray, bounds: np.ndarray) -> pa.LargeBinaryArray:
+    """Values that begin and end at the bytes ``bounds``."""
+    buffers = [None, pa.py_buffer(np.ascontiguousarray(bounds, np.int64)), pa.py_buffer(np.ascontiguousarray(data))]
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(bounds) - 1, buffers)
+
+
+def _parted(values: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of the values in a row, and the bounds of each."""
+    bounds = np.frombuffer(values.buffers()[1], np.int64)[values.offset : values.offset + len(values) + 1]
+    data = np.frombuffer(values.buffers()[2] or b"", np.uint8)
+    return data[bounds[0] : bounds[-1]], bounds - bounds[0]
+
+
+def encode_units(characters: np.ndarray, bounds: np.ndarray, kind: str, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of the units, whose code points lie between ``bounds``, in a row, and the number of ids of each."""
+    unit_ends = np.repeat(bounds[1:], np.diff(bounds))
+    edges = lattice(characters, unit_ends, model)
+    begins_part = (merge_fold if kind == "bpe" else viterbi_fold)(bounds, edges, model)
+    begins = np.flatnonzero(begins_part)
+    ids = edges[begins, np.diff(begins, append=len(characters)) - 1].astype(np.int64)
+    n_ids = np.ones(len(ids), np.int64)
+    # Parts that are no piece are single characters; their bytes follow the ids in a table.
+    bare = ids < 0
+    points, which = np.unique(characters[begins[bare]], return_inverse=True)
+    raw = [chr(point).encode() for point in points.tolist()]
+    sizes = np.array([len(r) for r in raw], np.int64)
+    table = np.r_[np.arange(len(model.scores)), np.frombuffer(b"".join(raw), np.uint8) + np.int64(model.first_byte)]
+    n_ids[bare] = sizes[which]
+    ids[bare] = len(model.scores) + (np.cumsum(sizes) - sizes)[which]
+    ends = np.cumsum(n_ids)
+    spread = table[np.repeat(ids - ends + n_ids, n_ids) + np.arange(n_ids.sum())]
+    parts_before = np.r_[0, np.cumsum(begins_part)][bounds]
+    return spread.astype("<u4"), np.diff(np.r_[0, ends][parts_before])
+
+
+def decode_units(ids: np.ndarray, n_ids: np.ndarray, model: Model) -> pa.LargeBinaryArray:
+    """The bytes that the ids of each unit stand for, from the piece table."""
+    data, bounds = _parted(model.decoded.take(pa.array(ids.astype(np.int64))))
+    return _binary(data, bounds[np.r_[0, np.cumsum(n_ids)]])
+
+
+def _units(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """The bounds of the units in texts whose blanks are spaces."""
+    blank, line = data == ord(" "), data == ord("\n")
+    first = line.copy()
+    first[1:] |= line[:-1] | (blank[1:] & ~blank[:-1])
+    first[bounds[:-1][np.diff(bounds) > 0]] = True
+    return np.r_[np.flatnonzero(first), len(data)]
+
+
+def encode_texts(texts: pa.LargeBinaryArray, kind: str, model: Model) -> tuple[pa.LargeBinaryArray, pa.LargeBinaryArray]:
+    """The ids of each text as little-endian 32-bit numbers, and the bytes they decode to."""
+    data, bounds = _parted(texts)
+    cuts = _units(data, bounds)
+    coded = _binary(data, cuts).dictionary_encode()
+    letters, unit_bounds = _parted(coded.dictionary)
+    characters = np.frombuffer(letters.tobytes().decode().replace(" ", BLANK).encode("utf-32-le"), "<u4").astype(np.int64)
+    before = np.r_[0, np.cumsum(letters & 0xC0 != 0x80)][unit_bounds]
+    ids, n_ids, at = [np.empty(0, "<u4")], [np.empty(0, np.int64)], 0
+    while at < len(before) - 1:
+        end = max(at + 1, int(np.searchsorted(before, before[at] + LATTICE_CHARACTERS, side="right")) - 1)
+        found = encode_units(characters[before[at] : before[end]], before[at : end + 1] - before[at], kind, model)
+        ids.append(found[0])
+        n_ids.append(found[1])
+        at = end
+    ids, n_ids = np.concatenate(ids), np.concatenate(n_ids)
+    known = _binary(ids, 4 * np.r_[0, np.cumsum(n_ids)]), decode_units(ids, n_ids, model)
+    units_before = np.searchsorted(cuts[:-1], bounds)
+    whole = (_parted(values.take(coded.indices)) for values in known)
+    return tuple(_binary(part, ends[units_before]) for part, ends in whole)
+
+
+def _stretches(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows of about STRETCH_BYTES of text, one row at least."""
+    ends = np.cumsum(pc.binary_length(batch.column("text")).to_numpy().astype(np.int64))
+    at = 0
+    while at < len(ends):
+        read = int(ends[at - 1]) if at else 0
+        end = max(at + 1, int(np.searchsorted(ends, read + STRETCH_BYTES, side="right")))
+        yield batch.slice(at, end - at)
+        at = end
 
 
 def encode(
     docs: DataFrame, model_file: str, kind: str = "bpe", id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True
 ) -> DataFrame:
     """id, n_pieces, ids_crc32 (of little-endian 32-bit ids), decoded (the text from the ids) and, if wanted, ids as bytes."""
-    spark = docs.sparkSession
-    model = sentencepiece.SentencePieceProcessor(model_file=model_file)
-    first_byte_id = model.piece_to_id("<0x00>")
-    pieces = piece_table(spark, model_file)
+    shared = docs.sparkSession.sparkContext.broadcast(read_model(model_file))
     text = F.coalesce(F.col(text_col), F.lit(""))
-    dressed = F.when(text == "", text).otherwise(F.concat(F.lit(BLANK), F.replace(text, F.lit(" "), F.lit(BLANK))))
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), dressed.alias("text"))
-    split = F.posexplode_outer(F.regexp_extract_all("text", F.lit(UNIT), F.lit(0)))
-    used = stored(rows.select("row", "id", split.alias("at", "unit")), "units")
-    units = used.filter("unit is not null").select("unit").distinct()
-    encoded = decode_units(encode_units(units, pieces, kind, first_byte_id), pieces, first_byte_id)
-    known = stored(encoded.select("unit", "n_pieces", "ids_hex", "text_hex"), "unit-ids")
-    met = used.join(known, "unit", "left")
-    whole = met.groupBy("row").agg(
-        F.first("id").alias("id"),
-        F.coalesce(F.sum("n_pieces"), F.lit(0)).alias("n_pieces"),
-        F.array_sort(F.collect_list(F.struct("at", "ids_hex", "text_hex"))).alias("parts"),
-    )
-    ids = F.unhex(F.array_join(F.transform("parts", lambda p: p["ids_hex"]), ""))
-    raw = F.decode(F.unhex(F.array_join(F.transform("parts", lambda p: p["text_hex"]), "")), "utf-8")
-    decoded = F.expr("substr(raw, 2)")
-    shown = whole.select("id", "n_pieces", ids.alias("ids"), F.replace(raw, F.lit(BLANK), F.lit(" ")).alias("raw"))
-    columns = ["id", "n_pieces", F.crc32("ids").alias("ids_crc32"), decoded.alias("decoded")] + ["ids"] * with_ids
-    return shown.select(*columns)
+    # A regular expression reads its input as characters, which replaces what is no UTF-8.
+    text = F.when(F.is_valid_utf8(text), text).otherwise(F.regexp_replace(text, "^", ""))
+    dressed = F.when(text == "", text).otherwise(F.concat(F.lit(" "), F.replace(text, F.lit(BLANK), F.lit(" "))))
+    rows = docs.select(F.col(id_col).alias("id"), dressed.alias("text"))
+
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in (part for batch in batches for part in _stretches(batch)):
+            ids, raw = encode_texts(part.column("text").cast(pa.large_binary()), kind, shared.value)
+            data, bounds = _parted(ids)
+            crc = [zlib.crc32(data[a:b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+            shown = pc.replace_substring(raw.cast(pa.large_string()), BLANK, " ")
+            decoded = pc.utf8_slice_codeunits(shown, 1).cast(pa.string())
+            columns = [part.column("id"), pa.array(np.diff(bounds) // 4), pa.array(crc, pa.int64()), decoded, ids.cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns[: len(schema)], names=schema.names)
+
+    schema = T.StructType([T.StructField("id", rows.schema["id"].dataType)])
+    schema = schema.add("n_pieces", "long").add("ids_crc32", "long").add("decoded", "string")
+    schema = schema.add("ids", "binary") if with_ids else schema
+    return rows.mapInArrow(encoded, schema)
