@@ -10,9 +10,8 @@ is extended from the best scores of the begins. The ids of a BPE model are not t
 path; there the fold repeatedly merges the best-scored edge that spans exactly two current parts
 (the leftmost of equals). Characters that are no piece become their bytes.
 
-A unit is encoded anew in each stretch of text it occurs in. To encode it once, every stretch and its
-units would have to be shuffled twice, which takes more disk and time than finding its ids again.
-So nothing is shuffled or stored; the tables of the model are broadcast.
+A unit is encoded anew in each stretch of text it occurs in. To encode it once, stretches and their units
+would have to be shuffled and joined; so nothing is shuffled or stored, and the tables of the model are broadcast.
 
 Defined results: a null or empty text has no pieces; repeated ids are encoded each; null ids are
 kept; an empty table gives an empty result; texts and units of any length are encoded whole;
@@ -43,7 +42,7 @@ NEVER = np.iinfo(np.int32).max  # rank of what is no piece
 class Model(NamedTuple):
     """Pieces as a trie. Arrays by id have one more entry, which -1, the id of no piece, refers to."""
 
-    steps: np.ndarray  # node * CHARACTER + code point, ascending
+    steps: np.ndarray  # node * CHARACTER + code point, ascending; the last one is above all
     nodes: np.ndarray  # where each step leads
     node_ids: np.ndarray  # the piece that ends at a node, or -1
     longest: int
@@ -66,7 +65,8 @@ def read_model(model_file: str) -> Model:
         for character in piece:
             node = trie.setdefault((node, ord(character)), len(trie) + 1)
         ends[node] = i
-    steps = np.array([node * int(CHARACTER) + character for node, character in trie], np.int64)
+    steps = [node * int(CHARACTER) + character for node, character in trie]
+    steps = np.array([*steps, np.iinfo(np.int64).max], np.int64)
     order = np.argsort(steps)
     node_ids = np.full(len(trie) + 1, -1, np.int32)
     node_ids[list(ends)] = list(ends.values())
@@ -78,7 +78,7 @@ def read_model(model_file: str) -> Model:
     decoded = {first_byte + byte: bytes([byte]) for byte in range(256)} | {i: p.encode() for i, p in pieces.items()}
     return Model(
         steps[order],
-        np.arange(1, len(trie) + 1, dtype=np.int32)[order],
+        np.r_[1 : len(trie) + 1, 0][order],
         node_ids,
         max(map(len, pieces.values()), default=1),
         ranks,
@@ -97,9 +97,9 @@ def lattice(characters: np.ndarray, ends: np.ndarray, model: Model) -> np.ndarra
         inside = begins + length < ends[begins]
         begins, nodes = begins[inside], nodes[inside]
         wanted = nodes * CHARACTER + characters[begins + length]
-        at = np.minimum(np.searchsorted(model.steps, wanted), len(model.steps) - 1)
+        at = np.searchsorted(model.steps, wanted)
         found = model.steps[at] == wanted
-        begins, nodes = begins[found], model.nodes[at[found]].astype(np.int64)
+        begins, nodes = begins[found], model.nodes[at[found]]
         edges[begins, length] = model.node_ids[nodes]
     return edges
 
