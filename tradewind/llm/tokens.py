@@ -1,16 +1,17 @@
 """Token ids of whole texts by a public tokenizer, one encoder per Python worker.
 
 White space never enters a token of the tokenizers this is for, so a text's ids are those of
-its space-separated chunks in a row. An encoder remembers chunks it has met, up to a number of bytes. Of new
-ones it sends the plain words through the tokenizers library without case and marks, each once,
-and anything unusual as it is. Long chunks are not remembered.
+its space-separated chunks in a row. Most chunks are a plain word and the marks after it, which the
+tokenizer takes one by one and whatever the case, so both go to its model on their own; anything unusual
+goes through the tokenizers library as it is. An encoder remembers words, marks and unusual chunks, up to a number of
+bytes: what was not met again for half of them is forgotten first. Long chunks are not remembered.
 """
 
 from __future__ import annotations
 
 import itertools
 import operator
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -18,12 +19,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-REMEMBERED = 80 << 20  # bytes of chunks and ids, each with some overhead; beyond it the memory starts anew
-OVERHEAD = 120  # of an entry
+REMEMBERED = 80 << 20  # bytes of parts and ids, each with some overhead; the older half of them is forgotten at once
+OVERHEAD = 200  # of an entry
 LONGEST_REMEMBERED = 100  # characters
-BATCH_CHARACTERS = 2_000_000  # of texts encoded at once
+BATCH_CHARACTERS = 4_000_000  # of texts encoded at once
 # Letters of Latin-1, then ASCII marks: one word and one run of marks to the tokenizer, whatever the case.
-WORD = "^[A-Za-zÀ-ÖØ-öø-ÿ]+$"
+LETTERS = "".join(c for c in map(chr, range(256)) if c.isalpha() and c not in "ªµº")
 MARKS = ".,;:!?%&*#$()[]>/-"
 ID = operator.attrgetter("id")
 
@@ -43,71 +44,64 @@ class Encoder:
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self._forget()
+        self.chunks: dict[str, bytes] = {}  # words, marks and unusual chunks met of late
+        self.older: dict[str, bytes] = {}
+        self.size = 0  # of the former
 
-    def _forget(self) -> None:
-        self.chunks: dict[str, bytes] = {"": b""}
-        self.words: dict[str, bytes] = {"": b""}
-        self.size = 0
+    def _ids(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
-
-    def _learn_words(self, words: Iterable[str]) -> None:
-        """Each is one word to the tokenizer and goes to its model directly, as the characters its bytes stand for."""
-        words = list(words)
+    def _plain_ids(self, words: list[str]) -> list[bytes]:
+        """Each is one word or run of marks to the tokenizer and goes to its model directly, as the characters its bytes stand for."""
         letters = [w if w.isascii() else w.encode().decode("latin-1").translate(BYTE_LETTERS) for w in words]
         tokens = list(map(self.tokenizer.model.tokenize, letters))
         ends = itertools.accumulate(map(len, tokens), initial=0)
         ids = np.fromiter(map(ID, itertools.chain.from_iterable(tokens)), "<u4").tobytes()
-        self.words.update(zip(words, [ids[4 * a : 4 * b] for a, b in itertools.pairwise(ends)]))
-
-    def _learn(self, chunks: list[str]) -> None:
-        short = [c for c in chunks if len(c) <= LONGEST_REMEMBERED]
-        bare = pc.utf8_rtrim(pa.array(short, pa.string()), characters=MARKS)
-        plain = pc.match_substring_regex(bare, WORD).to_numpy(zero_copy_only=False).tolist()
-        words = pc.utf8_lower(bare).to_numpy(zero_copy_only=False).tolist()
-        marks = [chunk[end:] for chunk, end in zip(short, pc.utf8_length(bare).to_numpy().tolist())]
-        words, marks = list(itertools.compress(words, plain)), list(itertools.compress(marks, plain))
-        met = set(words)
-        met.update(marks)
-        known = len(self.words)
-        self._learn_words(met.difference(self.words))
-        get = self.words.__getitem__
-        ids = list(map(operator.add, map(get, words), map(get, marks)))
-        self.chunks.update(zip(itertools.compress(short, plain), ids))
-        unusual = {chunk: self._ids(chunk).tobytes() for chunk, known_form in zip(short, plain) if not known_form}
-        self.chunks.update(unusual)
-        bytes_ = sum(map(len, short)) + sum(map(len, ids)) + sum(map(len, unusual.values()))
-        self.size += bytes_ + (len(short) + len(self.words) - known) * OVERHEAD
+        return [ids[4 * a : 4 * b] for a, b in itertools.pairwise(ends)]
+
+    def _remember(self, parts: list[str], ids: list[bytes]) -> None:
+        self.chunks.update(zip(parts, ids))
+        self.size += sum(map(len, parts)) + sum(map(len, ids)) + len(parts) * OVERHEAD
+
+    def _known(self, parts: list[str], unusual: set[str]) -> list[bytes]:
+        """The ids of each part, of which the unusual ones are chunks as they stand."""
+        if self.size > REMEMBERED // 2:
+            self.chunks, self.older, self.size = {}, self.chunks, 0
+        missing = list(itertools.filterfalse(self.chunks.__contains__, parts))
+        again = list(filter(self.older.__contains__, missing))
+        new = list(itertools.filterfalse(self.older.__contains__, missing))
+        self._remember(again, list(map(self.older.__getitem__, again)))
+        words = list(itertools.filterfalse(unusual.__contains__, new))
+        self._remember(words, self._plain_ids(words))
+        odd = [p for p in filter(unusual.__contains__, new) if len(p) <= LONGEST_REMEMBERED]
+        self._remember(odd, list(map(self._ids, odd)))
+        # Long chunks are encoded for these texts only.
+        long = {p: self._ids(p) for p in unusual if len(p) > LONGEST_REMEMBERED}
+        self.chunks.update(long)
+        found = list(map(self.chunks.__getitem__, parts))
+        for part in long:
+            del self.chunks[part]
+        return found
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        """Chunks are told apart in Arrow, so that Python sees each of them once; ids are then gathered by number."""
+        """Chunks, then their parts, are told apart in Arrow, so that Python sees each part once; ids are then gathered by number."""
         lists = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " "), " ")
         coded = lists.flatten().dictionary_encode()
-        chunks = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        new = list(itertools.filterfalse(self.chunks.__contains__, chunks))
-        if new:
-            if self.size > REMEMBERED:
-                self._forget()
-                new = chunks
-            self._learn(new)
-        # Long chunks are encoded for these texts only.
-        long = {chunk: self._ids(chunk).tobytes() for chunk in new if len(chunk) > LONGEST_REMEMBERED}
-        self.chunks.update(long)
-        data = list(map(self.chunks.__getitem__, chunks))
-        for chunk in long:
-            del self.chunks[chunk]
+        chunks = coded.dictionary
+        words, marks = pc.utf8_rtrim(chunks, characters=MARKS), pc.utf8_ltrim(chunks, characters=LETTERS)
+        # Nothing but letters, then marks: what is left without either makes up the whole.
+        plain = pc.equal(pc.add(pc.binary_length(words), pc.binary_length(marks)), pc.binary_length(chunks))
+        plain = pc.and_(plain, pc.less_equal(pc.utf8_length(chunks), LONGEST_REMEMBERED))
+        words, marks = pc.if_else(plain, pc.utf8_lower(words), chunks), pc.if_else(plain, marks, "")
+        parts = pa.concat_arrays([words, marks]).dictionary_encode()
+        unusual = set(chunks.filter(pc.invert(plain)).to_pylist())
+        data = self._known(parts.dictionary.to_numpy(zero_copy_only=False).tolist(), unusual)
         # A batch has far fewer ids than 32 bits can count.
-        lengths = np.fromiter(map(len, data), np.int32, len(data)) // 4
-        pool, begins = np.frombuffer(b"".join(data), "<u4"), np.cumsum(lengths, dtype=np.int32) - lengths
-        at = coded.indices.to_numpy()
-        n = lengths[at]
-        ends = np.cumsum(n, dtype=np.int32)
-        places = np.repeat(begins[at] - ends + n, n)
-        places += np.arange(len(places), dtype=np.int32)
-        ids = pool[places].tobytes()
-        bounds = np.r_[0, ends.astype(np.int64)][lists.offsets.to_numpy() - lists.offsets[0].as_py()] * 4
+        numbers = parts.indices.to_numpy().reshape(2, -1).T.ravel()  # of each chunk's word and marks
+        ends = np.cumsum(np.fromiter(map(len, data), np.int32, len(data)) // 4, dtype=np.int32)
+        pool, bounds = _gathered(np.frombuffer(b"".join(data), "<u4"), np.r_[np.int32(0), ends], numbers)
+        ids, bounds = _gathered(pool, bounds[::2], coded.indices.to_numpy())
+        ids, bounds = ids.tobytes(), bounds[lists.offsets.to_numpy() - lists.offsets[0].as_py()].astype(np.int64) * 4
         return [ids[a:b] for a, b in itertools.pairwise(bounds.tolist())]
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
@@ -126,6 +120,15 @@ class Encoder:
         yield from self._encode(waiting)
 
 
+def _gathered(pool: np.ndarray, bounds: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbered stretches of ``pool`` in a row, and their bounds."""
+    n = np.diff(bounds)[numbers]
+    ends = np.cumsum(n, dtype=np.int32)
+    places = np.repeat(bounds[1:][numbers] - ends, n)
+    places += np.arange(len(places), dtype=np.int32)
+    return pool[places], np.r_[np.int32(0), ends]
+
+
 def _stretches(text: str) -> Iterator[str]:
     begin = 0
     while begin < len(text):
