@@ -4,7 +4,7 @@ White space never enters a token of the tokenizers this is for, so a text's ids
 its space-separated chunks in a row. Most chunks are a plain word and the marks after it, which the
 tokenizer takes one by one and whatever the case, so both go to its model on their own; anything unusual
 goes through the tokenizers library as it is. An encoder remembers words, marks and unusual chunks, up to a number of
-bytes: what was not met again for half of them is forgotten first. Long chunks are not remembered.
+bytes, in arrays; then it forgets those it hasn't met again. Long chunks are not remembered.
 """
 
 from __future__ import annotations
@@ -19,8 +19,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-REMEMBERED = 80 << 20  # bytes of parts and ids, each with some overhead; the older half of them is forgotten at once
-OVERHEAD = 200  # of an entry
+REMEMBERED = 80 << 20  # bytes of parts and ids, each with some overhead; beyond it what was not met again is forgotten
+OVERHEAD = 120  # of an entry, with that of finding it
 LONGEST_REMEMBERED = 100  # characters
 BATCH_CHARACTERS = 4_000_000  # of texts encoded at once
 # Letters of Latin-1, then ASCII marks: one word and one run of marks to the tokenizer, whatever the case.
@@ -44,47 +44,58 @@ class Encoder:
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.chunks: dict[str, bytes] = {}  # words, marks and unusual chunks met of late
-        self.older: dict[str, bytes] = {}
-        self.size = 0  # of the former
-
-    def _ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _plain_ids(self, words: list[str]) -> list[bytes]:
-        """Each is one word or run of marks to the tokenizer and goes to its model directly, as the characters its bytes stand for."""
-        letters = [w if w.isascii() else w.encode().decode("latin-1").translate(BYTE_LETTERS) for w in words]
-        tokens = list(map(self.tokenizer.model.tokenize, letters))
-        ends = itertools.accumulate(map(len, tokens), initial=0)
-        ids = np.fromiter(map(ID, itertools.chain.from_iterable(tokens)), "<u4").tobytes()
-        return [ids[4 * a : 4 * b] for a, b in itertools.pairwise(ends)]
-
-    def _remember(self, parts: list[str], ids: list[bytes]) -> None:
-        self.chunks.update(zip(parts, ids))
-        self.size += sum(map(len, parts)) + sum(map(len, ids)) + len(parts) * OVERHEAD
-
-    def _known(self, parts: list[str], unusual: set[str]) -> list[bytes]:
-        """The ids of each part, of which the unusual ones are chunks as they stand."""
-        if self.size > REMEMBERED // 2:
-            self.chunks, self.older, self.size = {}, self.chunks, 0
-        missing = list(itertools.filterfalse(self.chunks.__contains__, parts))
-        again = list(filter(self.older.__contains__, missing))
-        new = list(itertools.filterfalse(self.older.__contains__, missing))
-        self._remember(again, list(map(self.older.__getitem__, again)))
-        words = list(itertools.filterfalse(unusual.__contains__, new))
-        self._remember(words, self._plain_ids(words))
-        odd = [p for p in filter(unusual.__contains__, new) if len(p) <= LONGEST_REMEMBERED]
-        self._remember(odd, list(map(self._ids, odd)))
-        # Long chunks are encoded for these texts only.
-        long = {p: self._ids(p) for p in unusual if len(p) > LONGEST_REMEMBERED}
-        self.chunks.update(long)
-        found = list(map(self.chunks.__getitem__, parts))
-        for part in long:
-            del self.chunks[part]
-        return found
+        self.parts = pa.array([], pa.large_string())  # words, marks and unusual chunks
+        self.ids, self.bounds = np.empty(0, "<u4"), np.zeros(1, np.int32)
+        self.again = np.empty(0, bool)
+
+    @property
+    def chunks(self) -> list[str]:
+        """All that is remembered."""
+        return self.parts.to_pylist()
+
+    def _forget(self) -> None:
+        """What was met again stays, until next time."""
+        met = np.flatnonzero(self.again)
+        self.parts = self.parts.take(pa.array(met))
+        self.ids, self.bounds = _gathered(self.ids, self.bounds, met)
+        self.again = np.zeros(len(met), bool)
+
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _plain_ids(self, word: str) -> list[int]:
+        """One word or run of marks to the tokenizer goes to its model directly, as the characters its bytes stand for."""
+        letters = word if word.isascii() else word.encode().decode("latin-1").translate(BYTE_LETTERS)
+        return list(map(ID, self.tokenizer.model.tokenize(letters)))
+
+    def _known(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, the bounds of stretches of them, and the number of each part's stretch. Short new parts are remembered."""
+        if len(self.parts) * OVERHEAD + pc.sum(pc.binary_length(self.parts), min_count=0).as_py() + self.ids.nbytes > REMEMBERED:
+            self._forget()
+        found = pc.index_in(parts, value_set=self.parts)
+        self.again[found.drop_null().to_numpy()] = True
+        new = parts.filter(found.is_null())
+        plain = pc.or_(pc.equal(pc.utf8_ltrim(new, characters=LETTERS), ""), pc.equal(pc.utf8_rtrim(new, characters=MARKS), ""))
+        long = pc.greater(pc.utf8_length(new), LONGEST_REMEMBERED)
+        kind = pc.if_else(long, 2, pc.if_else(plain, 0, 1)).to_numpy()
+        order = np.argsort(kind, kind="stable")
+        words, odd, _ = np.bincount(kind, minlength=3).tolist()
+        new = new.take(pa.array(order))
+        texts = new.to_pylist()
+        learnt = [*map(self._plain_ids, texts[:words]), *map(self._ids, texts[words:])]
+        ids = np.concatenate([self.ids, np.fromiter(itertools.chain.from_iterable(learnt), "<u4")])
+        ends = np.cumsum(np.fromiter(map(len, learnt), np.int32, len(learnt)), dtype=np.int32)
+        bounds = np.r_[self.bounds, self.bounds[-1] + ends]
+        numbers = found.fill_null(0).to_numpy().copy()
+        numbers[np.flatnonzero(found.is_null().to_numpy(zero_copy_only=False))[order]] = np.arange(len(self.parts), len(bounds) - 1)
+        self.parts = pa.concat_arrays([self.parts, new.slice(0, words + odd)])
+        self.bounds = bounds[: len(self.parts) + 1].copy()
+        self.ids = ids[: self.bounds[-1]].copy()
+        self.again = np.r_[self.again, np.zeros(words + odd, bool)]
+        return ids, bounds, numbers
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        """Chunks, then their parts, are told apart in Arrow, so that Python sees each part once; ids are then gathered by number."""
+        """Chunks, then their parts, are told apart in Arrow, so that Python sees new parts only; ids are then gathered by number."""
         lists = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " "), " ")
         coded = lists.flatten().dictionary_encode()
         chunks = coded.dictionary
@@ -94,12 +105,10 @@ class Encoder:
         plain = pc.and_(plain, pc.less_equal(pc.utf8_length(chunks), LONGEST_REMEMBERED))
         words, marks = pc.if_else(plain, pc.utf8_lower(words), chunks), pc.if_else(plain, marks, "")
         parts = pa.concat_arrays([words, marks]).dictionary_encode()
-        unusual = set(chunks.filter(pc.invert(plain)).to_pylist())
-        data = self._known(parts.dictionary.to_numpy(zero_copy_only=False).tolist(), unusual)
         # A batch has far fewer ids than 32 bits can count.
-        numbers = parts.indices.to_numpy().reshape(2, -1).T.ravel()  # of each chunk's word and marks
-        ends = np.cumsum(np.fromiter(map(len, data), np.int32, len(data)) // 4, dtype=np.int32)
-        pool, bounds = _gathered(np.frombuffer(b"".join(data), "<u4"), np.r_[np.int32(0), ends], numbers)
+        ids, bounds, numbers = self._known(parts.dictionary)
+        pairs = parts.indices.to_numpy().reshape(2, -1).T.ravel()  # each chunk's word and marks
+        pool, bounds = _gathered(ids, bounds, numbers[pairs])
         ids, bounds = _gathered(pool, bounds[::2], coded.indices.to_numpy())
         ids, bounds = ids.tobytes(), bounds[lists.offsets.to_numpy() - lists.offsets[0].as_py()].astype(np.int64) * 4
         return [ids[a:b] for a, b in itertools.pairwise(bounds.tolist())]
